@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import quality
+from corvane.llm import mixing, packing, quality, tokens
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +15,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_mixing": lambda spark, d: mixing.digest(_documents(spark, d)),
         "op2_quality_rules": lambda spark, d: quality.digest(_documents(spark, d)),
+        "op9_token_counts": lambda spark, d: tokens.digest(_documents(spark, d)),
+        "op10_packing": lambda spark, d: packing.digest(_documents(spark, d)),
     }
 
 
