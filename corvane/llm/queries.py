@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import mixing, packing, quality, substring, tokens
+from corvane.llm import mixing, packing, quality, scoring, substring, tokens
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mixing": lambda spark, d: mixing.digest(_documents(spark, d)),
         "op2_quality_rules": lambda spark, d: quality.digest(_documents(spark, d)),
         "op5_substring_dedup": lambda spark, d: substring.digest(_documents(spark, d)),
+        "op8_lm_scoring": lambda spark, d: scoring.digest(_documents(spark, d)),
         "op9_token_counts": lambda spark, d: tokens.digest(_documents(spark, d)),
         "op10_packing": lambda spark, d: packing.digest(_documents(spark, d)),
     }
