@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import language, mixing, packing, quality, scoring, substring, tokens
+from corvane.llm import jaccard, language, mixing, packing, quality, scoring, substring, tokens
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": lambda spark, d: mixing.digest(_documents(spark, d)),
         "op2_quality_rules": lambda spark, d: quality.digest(_documents(spark, d)),
+        "op3_jaccard_join": lambda spark, d: jaccard.digest(_documents(spark, d)),
         "op5_substring_dedup": lambda spark, d: substring.digest(_documents(spark, d)),
         "op7_language_id": lambda spark, d: language.digest(_documents(spark, d)),
         "op8_lm_scoring": lambda spark, d: scoring.digest(_documents(spark, d)),
@@ -26,4 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_jaccard_join": jaccard.ORACLE_SQL,
+        "op5_substring_dedup": substring.ORACLE_SQL,
+    }

@@ -109,7 +109,7 @@ def paths(done: DataFrame) -> DataFrame:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    return remove_repeats(docs).select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256", F.size("spans").alias("n_spans"))
+    return remove_repeats(docs).select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
 ORACLE_SQL = """
