@@ -218,7 +218,7 @@ WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
 ), sh AS (
   SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-    ELSE list_transform(generate_series(1, len(ws) - 4), i -> array_to_string(ws[i:i + 4], ' ')) END) AS s FROM w
+    ELSE list_transform(generate_series(1, len(ws) - 4), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS s FROM w
 ), flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sh),
 pairs AS (
   SELECT a.doc_id AS a, b.doc_id AS b FROM flat a JOIN flat b ON a.x = b.x AND a.doc_id < b.doc_id

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import jaccard, language, mixing, packing, quality, scoring, substring, tokens
+from corvane.llm import jaccard, language, mixing, packing, preference, quality, scoring, substring, tokens, topk
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,7 +18,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mixing": lambda spark, d: mixing.digest(_documents(spark, d)),
         "op2_quality_rules": lambda spark, d: quality.digest(_documents(spark, d)),
         "op3_jaccard_join": lambda spark, d: jaccard.digest(_documents(spark, d)),
+        "op4_exact_top_k": lambda spark, d: topk.digest(spark.read.parquet(f"{d}/embeddings.parquet")),
         "op5_substring_dedup": lambda spark, d: substring.digest(_documents(spark, d)),
+        "op6_preference_format": lambda spark, d: preference.digest(spark.read.parquet(f"{d}/conversations.parquet")),
         "op7_language_id": lambda spark, d: language.digest(_documents(spark, d)),
         "op8_lm_scoring": lambda spark, d: scoring.digest(_documents(spark, d)),
         "op9_token_counts": lambda spark, d: tokens.digest(_documents(spark, d)),
@@ -29,5 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_jaccard_join": jaccard.ORACLE_SQL,
+        "op4_exact_top_k": topk.ORACLE_SQL,
         "op5_substring_dedup": substring.ORACLE_SQL,
+        "op6_preference_format": preference.ORACLE_SQL,
     }

@@ -126,6 +126,6 @@ WITH w AS (
   SELECT w.doc_id, len(ws) AS n, ws, coalesce(js, []) AS js FROM w LEFT JOIN gone USING (doc_id)
 )
 SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(js) AS BIGINT) AS n_removed,
-  sha256(array_to_string(list_filter(ws, (x, i) -> NOT list_contains(js, i)), ' ')) AS kept_sha256
+  sha256(array_to_string(list_filter(ws, lambda x, i: NOT list_contains(js, i)), ' ')) AS kept_sha256
 FROM word
 """
