@@ -1,0 +1 @@
+"""Street corners scored for pedestrian risk, and training-data operators, on Spark."""

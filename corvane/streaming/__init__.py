@@ -1,0 +1 @@
+"""Kept for streaming sources; the data at hand has none, so nothing is streamed."""
