@@ -155,7 +155,7 @@ def scope_accent_insensitive(spark, d):
 
 # Network -------------------------------------------------------------------
 
-_ENDS = ", ends AS (SELECT u AS at, v AS other, x1, y1, x2, y2, cu, cv, name FROM road UNION ALL SELECT v, u, x2, y2, x1, y1, cv, cu, name FROM road)\n"
+_ENDS = ", ends AS (SELECT u AS node, v AS other, x1, y1, x2, y2, cu, cv, name FROM road UNION ALL SELECT v, u, x2, y2, x1, y1, cv, cu, name FROM road)\n"
 _REACH = """, near AS (SELECT a.key AS a, b.key AS b FROM pts a JOIN pts b ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 100),
 reach(key, r) AS (SELECT key, key FROM pts UNION SELECT near.b, reach.r FROM reach JOIN near ON reach.key = near.a),
 tied AS (SELECT key AS node, min(r) AS root FROM reach GROUP BY key)
@@ -163,11 +163,11 @@ tied AS (SELECT key AS node, min(r) AS root FROM reach GROUP BY key)
 
 
 def _ends(spark, d) -> DataFrame:
-    ends = roads(spark, d).withColumns({"seg_id": F.col("u") * 1_000_000 + F.col("v"), "a": F.struct("x1", "y1"), "b": F.struct("x2", "y2")})
+    ends = roads(spark, d).withColumns({"seg_id": F.col("u") * 1_000_000 + F.col("v"), "a": F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), "b": F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))})
     return network.incidence(ends)
 
 
-@query(_CITY + _ENDS + "SELECT at AS node, count(*) AS degree FROM ends GROUP BY at HAVING count(*) >= 3")
+@query(_CITY + _ENDS + "SELECT node, count(*) AS degree FROM ends GROUP BY node HAVING count(*) >= 3")
 def node_degree(spark, d):
     ends = _ends(spark, d).withColumn("node", F.when(F.col("end") == 0, F.col("u")).otherwise(F.col("v")))
     return ends.groupBy("node").agg(F.count("*").alias("degree")).filter("degree >= 3")
@@ -188,8 +188,8 @@ def cluster_centroid(spark, d):
     return p.groupBy("root").agg(F.round(F.avg("x"), 6).alias("x"), F.round(F.avg("y"), 6).alias("y"), F.count("*").alias("n_merged_nodes"))
 
 
-_BEARING = ", br AS (SELECT at, other, name, cu, cv, round_even(CASE WHEN b < 0 THEN b + 360 ELSE b END, 1) AS bearing_deg FROM (SELECT *, degrees(atan2(x2 - x1, y2 - y1)) AS b FROM ends))\n"
-_DEDUPE = ", ded AS (SELECT at AS node, name AS nomoficial, (round_even(bearing_deg / 30, 0)::BIGINT % 12) AS sector, min_by(bearing_deg, other) AS bearing_deg, min(other) AS o FROM br GROUP BY ALL)\n"
+_BEARING = ", br AS (SELECT node, other, name, cu, cv, round_even(CASE WHEN b < 0 THEN b + 360 ELSE b END, 1) AS bearing_deg FROM (SELECT *, degrees(atan2(x2 - x1, y2 - y1)) AS b FROM ends))\n"
+_DEDUPE = ", ded AS (SELECT node, name AS nomoficial, (round_even(bearing_deg / 30, 0)::BIGINT % 12) AS sector, min_by(bearing_deg, other) AS bearing_deg, min(other) AS o FROM br GROUP BY ALL)\n"
 
 
 def _branches(spark, d) -> DataFrame:
@@ -200,7 +200,7 @@ def _branches(spark, d) -> DataFrame:
     return ends.withColumn("bearing_deg", F.bround(g.bearing(to["x"] - F.col("path")[0]["x"], to["y"] - F.col("path")[0]["y"]), 1))
 
 
-@query(_CITY + _ENDS + _BEARING + "SELECT at AS node, other AS far, bearing_deg FROM br")
+@query(_CITY + _ENDS + _BEARING + "SELECT node, other AS far, bearing_deg FROM br")
 def branch_bearing(spark, d):
     return _branches(spark, d).select("node", "far", "bearing_deg")
 
@@ -230,9 +230,9 @@ def modal_first_seen(spark, d):
     return network.modal(_table(spark, d, "orders"), "o_custkey", "o_orderpriority", F.col("o_orderkey"))
 
 
-@query("SELECT vec_id, 'c' || left(sha1(printf('%.6f,%.6f', -58.0 - vec_id / 1024.0, -34.0 - label / 512.0)), 10) AS corner_id FROM embeddings")
+@query("SELECT vec_id, 'c' || left(sha1(printf('%.6f,%.6f', -58.0 - vec_id / 1000.0, -34.0 - label / 500.0)), 10) AS corner_id FROM embeddings")
 def corner_id_hash(spark, d):
-    return _table(spark, d, "embeddings").select("vec_id", network.corner_id(F.lit(-58.0) - F.col("vec_id") / 1024.0, F.lit(-34.0) - F.col("label") / 512.0).alias("corner_id"))
+    return _table(spark, d, "embeddings").select("vec_id", network.corner_id(F.lit(-58.0) - F.col("vec_id") / 1000.0, F.lit(-34.0) - F.col("label") / 500.0).alias("corner_id"))
 
 
 @query(_CITY + ", s AS (SELECT o_custkey AS node, o_orderpriority AS n, min(o_orderkey) AS f FROM orders GROUP BY ALL) SELECT node, string_agg(n, ', ' ORDER BY f) AS calles FROM s GROUP BY node")
@@ -243,11 +243,11 @@ def street_names(spark, d):
 
 # Transects -----------------------------------------------------------------
 
-_WIDTH = """, at AS (SELECT key, b AS branch, x + CASE b WHEN 1 THEN 12.0 ELSE 0 END AS px, y + CASE b WHEN 0 THEN 12.0 ELSE 0 END AS py, x, y FROM pts, (VALUES (0), (1)) v(b)),
-near AS (SELECT at.*, w.x AS wx, w.y AS wy, w.h FROM at JOIN walk w ON greatest(abs(at.x - w.x) - w.h, 0) ** 2 + greatest(abs(at.y - w.y) - w.h, 0) ** 2 <= 6400),
+_WIDTH = """, probe AS (SELECT key, b AS branch, x + CASE b WHEN 1 THEN 12.0 ELSE 0 END AS px, y + CASE b WHEN 0 THEN 12.0 ELSE 0 END AS py, x, y FROM pts, (VALUES (0), (1)) v(b)),
+near AS (SELECT probe.*, w.x AS wx, w.y AS wy, w.h FROM probe JOIN walk w ON greatest(abs(probe.x - w.x) - w.h, 0) ** 2 + greatest(abs(probe.y - w.y) - w.h, 0) ** 2 <= 6400),
 cut AS (SELECT key, branch, unnest([c - h, c + h]) AS t, c, h FROM (SELECT key, branch, h, CASE branch WHEN 0 THEN wx - px ELSE py - wy END AS c, CASE branch WHEN 0 THEN py - wy ELSE px - wx END AS off FROM near) WHERE abs(off) < h),
 wid AS (SELECT key, branch, max(t) FILTER (t < 0) AS l, min(t) FILTER (t > 0) AS r, bool_or(abs(c) <= h) AS covered FROM cut GROUP BY ALL),
-width AS (SELECT at.key, at.branch, CASE WHEN NOT covered AND r < 40 AND l > -40 AND r - l <= 40 THEN r - l END AS width FROM at LEFT JOIN wid USING (key, branch))
+width AS (SELECT probe.key, probe.branch, CASE WHEN NOT covered AND r < 40 AND l > -40 AND r - l <= 40 THEN r - l END AS width FROM probe LEFT JOIN wid USING (key, branch))
 """
 
 
@@ -342,12 +342,14 @@ def _index(spark, d, group: str | None = None) -> scoring.Weighted:
 
 @query(_RISK + f"SELECT c_custkey, riesgo AS riesgo_bruto, round({_norm('riesgo')}, 6) AS indice FROM r")
 def index_global(spark, d):
-    return _index(spark, d).scores.select("c_custkey", F.round("riesgo_bruto", 9).alias("riesgo_bruto"), F.round("indice", 6).alias("indice"))
+    risk = _index(spark, d).scores.select("c_custkey", F.round("riesgo_bruto", 9).alias("riesgo_bruto"))
+    return scoring.normalise(risk, "riesgo_bruto", "indice", "percentile").select("c_custkey", "riesgo_bruto", F.round("indice", 6).alias("indice"))
 
 
 @query(_RISK + f"SELECT c_custkey, round({_norm('riesgo', 'c_nationkey')}, 6) AS indice_grupo FROM r")
 def index_by_group(spark, d):
-    return _index(spark, d, "c_nationkey").scores.select("c_custkey", F.round("indice_comuna", 6).alias("indice_grupo"))
+    risk = _index(spark, d).scores.select("c_custkey", "c_nationkey", F.round("riesgo_bruto", 9).alias("riesgo_bruto"))
+    return scoring.normalise(risk, "riesgo_bruto", "indice_grupo", "percentile", "c_nationkey").select("c_custkey", F.round("indice_grupo", 6).alias("indice_grupo"))
 
 
 @query("SELECT * FROM (VALUES ('balance', round(1.0 * 3.6 / 2.9, 9)::DOUBLE), ('big', round(0.8 * 3.6 / 2.9, 9)::DOUBLE), ('signal', round(0.6 * 3.6 / 2.9, 9)::DOUBLE), ('debt', round(0.5 * 3.6 / 2.9, 9)::DOUBLE)) v(axis, weight)")
@@ -495,7 +497,7 @@ def crs_round_trip(spark, d):
 _CITY_WEIGHTS = {"n_branches": 0.8, "crossing_length": 1.0, "roadway_width": 0.9, "no_refuge": 1.0, "crash_history": 1.0, "ped_flow_proxy": 0.7}
 
 
-@query(_CITY + _ENDS.replace(", ends", ", ends0") + _WIDTH + f""", ax AS (SELECT p.key, p.comuna, (SELECT count(*) FROM ends0 WHERE at = p.key)::DOUBLE AS n_branches, w.cl, w.rw,
+@query(_CITY + _ENDS.replace(", ends", ", ends0") + _WIDTH + f""", ax AS (SELECT p.key, p.comuna, (SELECT count(*) FROM ends0 WHERE node = p.key)::DOUBLE AS n_branches, w.cl, w.rw,
   (SELECT coalesce(sum({_W}), 0) FROM crash c WHERE {_NEAR.format(30)})::DOUBLE AS ch, (SELECT coalesce(sum(c.w), 0) FROM stop c WHERE {_NEAR.format(100)})::DOUBLE AS pf
   FROM pts p JOIN (SELECT key, max(width) AS cl, round(avg(width), 9) AS rw FROM width GROUP BY key) w USING (key)),
   n AS (SELECT *, {_norm('n_branches')} AS a, {_norm('cl')} AS b, {_norm('rw')} AS c, {_zero('ch')} AS d, {_zero('pf')} AS f FROM ax),

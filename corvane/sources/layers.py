@@ -148,8 +148,8 @@ def crop_near(layer: DataFrame, streets: DataFrame, buffer_m: float) -> DataFram
     near = within(ends, streets.select("shape"), buffer_m).select("key")
     street_ends = streets.select(F.explode(F.array_distinct(F.flatten(F.transform("shape", corners)))).alias("p")).select(F.lit(0).alias("key"), "p.x", "p.y").distinct()
     back = within(street_ends, rows.select("_row", "shape", "area"), buffer_m).select(F.col("_row").alias("key"))
-    hit = near.unionAll(back).distinct()
-    return rows.join(hit, F.col("_row") == F.col("key"), "left_semi").drop("_row")
+    hit = near.unionAll(back).select(F.col("key").alias("_row")).distinct()
+    return rows.join(hit, "_row", "left_semi").drop("_row")
 
 
 def load(spark: SparkSession, folder: str, scope: dict) -> Layers:
