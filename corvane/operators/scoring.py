@@ -7,20 +7,22 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvane.storage import materialise
+
 #: Axes that lower the risk.
 MITIGATION = ("has_ped_signal", "traffic_calming", "crossing_marked")
 RANGES = 64
 
 
-def percentile(df: DataFrame, value: str, out: str, group: str | None = None, only: Column | None = None) -> DataFrame:
+def percentile(df: DataFrame, value: str, out: str, group: str | None = None, only: Column | None = None, source: DataFrame | None = None) -> DataFrame:
     """Average rank over number of values, among the non-null values (that meet ``only``) of each group; else null.
 
-    Distinct values are counted first; they are cut into ranges of about equal size whose totals
+    The values are those of ``source``, by default ``df``. Distinct values are counted first; they are cut into ranges of about equal size whose totals
     give each range's first rank. So no partition holds all of a group.
     """
     own = F.lit(0) if group is None else F.col(group)
     use = F.col(value).isNotNull() if only is None else F.col(value).isNotNull() & only
-    counts = df.filter(use).groupBy(own.alias("_g"), F.col(value).alias("_v")).agg(F.count("*").alias("_n")).filter("_g is not null")
+    counts = (df if source is None else source).filter(use).groupBy(own.alias("_g"), F.col(value).alias("_v")).agg(F.count("*").alias("_n")).filter("_g is not null")
     edges = sorted(set(counts.approxQuantile("_v", [i / RANGES for i in range(1, RANGES)], 0.01)))
     place = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: F.col("_v") > e)) if edges else F.lit(0)
     counts = counts.withColumn("_r", place)
@@ -36,24 +38,26 @@ def percentile(df: DataFrame, value: str, out: str, group: str | None = None, on
     return met.withColumn(out, F.col("_pct")).drop("_use", "_own", "_g", "_v", "_pct")
 
 
-def normalise(df: DataFrame, value: str, out: str, method: str, group: str | None = None) -> DataFrame:
+def normalise(df: DataFrame, value: str, out: str, method: str, group: str | None = None, source: DataFrame | None = None) -> DataFrame:
     """``value`` on [0, 1] in column ``out`` by percentile, minmax, binary or zero_inflated; nulls stay null.
 
-    With a group each group is taken for itself, and rows of none get null.
+    With a group each group is taken for itself, and rows of none get null. Ranks and ranges come from
+    ``source``, by default ``df``: many axes of one table take it, so that plans do not nest.
     """
     v = F.col(value).cast("double")
+    source = df if source is None else source
     if method == "binary":
         return df.withColumn(out, v)
     if method == "zero_inflated":
-        ranked = percentile(df.withColumn("_x", v), "_x", "_z", group, F.col("_x") > 0)
+        ranked = percentile(df.withColumn("_x", v), "_x", "_z", group, F.col("_x") > 0, source.withColumn("_x", v))
         return ranked.withColumn(out, F.when(F.col("_x") > 0, F.col("_z")).when(F.col("_x").isNotNull(), 0.0)).drop("_x", "_z")
     if method not in ("percentile", "minmax"):
         raise ValueError(f"unknown normalisation: {method!r}")
     own = F.lit(0) if group is None else F.col(group)
-    sides = df.groupBy(own.alias("_k")).agg(F.min(v).alias("_lo"), F.max(v).alias("_hi")).filter("_k is not null")
+    sides = source.groupBy(own.alias("_k")).agg(F.min(v).alias("_lo"), F.max(v).alias("_hi")).filter("_k is not null")
     both = df.withColumn("_x", v).join(sides, own == F.col("_k"), "left")
     if method == "percentile":
-        both = percentile(both, "_x", "_y", group)
+        both = percentile(both, "_x", "_y", group, source=source.withColumn("_x", v))
     else:
         both = both.withColumn("_y", (F.col("_x") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)))
     flat = F.when(F.col("_x").isNotNull() & (F.col("_lo") == F.col("_hi")), 0.5).otherwise(F.col("_y"))
@@ -95,14 +99,16 @@ def compute_index(axes: DataFrame, weights: dict[str, float], method: str = "per
     out, risk = axes, F.lit(0.0)
     for axis in weights:
         out = out.withColumn(f"{axis}_raw", F.col(axis).cast("double") if axis in axes.columns else F.lit(None).cast("double"))
+    base = out = materialise(out)
     for axis in weights:
         if axis not in used:
             out = out.withColumn(f"{axis}_norm", F.lit(None).cast("double"))
             continue
         result.methods[axis] = method_of(axis, facts[axis][1], overrides or {}, method)
-        out = normalise(out, f"{axis}_raw", f"{axis}_norm", result.methods[axis])
+        out = normalise(out, f"{axis}_raw", f"{axis}_norm", result.methods[axis], source=base)
         signed = F.coalesce(F.col(f"{axis}_norm"), F.lit(0.0)) * F.lit(-1.0 if axis in mitigation else 1.0)
         risk = risk + signed * F.lit(result.included[axis])
-    out = normalise(out.withColumn("riesgo_bruto", risk), "riesgo_bruto", "indice", method)
-    result.scores = out.withColumn("indice_comuna", F.col("indice")) if group is None else normalise(out, "riesgo_bruto", "indice_comuna", method, group)
+    risky = materialise(out.withColumn("riesgo_bruto", risk))
+    out = normalise(risky, "riesgo_bruto", "indice", method)
+    result.scores = out.withColumn("indice_comuna", F.col("indice")) if group is None else normalise(out, "riesgo_bruto", "indice_comuna", method, group, source=risky)
     return result

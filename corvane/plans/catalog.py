@@ -515,5 +515,5 @@ def corner_index(spark, d):
 
     w = scoring.compute_index(materialise(table), _CITY_WEIGHTS, overrides={"crash_history": "zero_inflated", "ped_flow_proxy": "zero_inflated"}, group="comuna")
     risk = w.scores.select("key", "comuna", F.round("riesgo_bruto", 8).alias("riesgo_bruto"))
-    out = scoring.normalise(scoring.normalise(risk, "riesgo_bruto", "indice", "percentile"), "riesgo_bruto", "indice_comuna", "percentile", "comuna")
+    out = scoring.normalise(scoring.normalise(risk, "riesgo_bruto", "indice", "percentile"), "riesgo_bruto", "indice_comuna", "percentile", "comuna", source=risk)
     return out.select("key", "riesgo_bruto", F.round("indice", 4).alias("indice"), F.round("indice_comuna", 4).alias("indice_comuna"))
