@@ -13,7 +13,8 @@ Equal sets become one class. Then, by set relations:
   pair's answer is derived from these where it can be: sets that already are in one component need no
   comparison, and by the triangle inequality of the Jaccard distance two sets whose
   distances to the pivot differ by more than the threshold allows cannot link. Whole blocks
-  (token, component) are skipped by their bounds; what is left is compared exactly.
+  (token, component) are skipped by their bounds of size, position, distance and by their sketches
+  (bits that shingles set, so bits only one side has bound the overlap); what is left is compared exactly.
 
 No pair within a component is made beyond those with pivots, so a group of n near copies
 costs n comparisons, not n squared.
@@ -36,7 +37,9 @@ from corvane.llm._storage import materialise
 
 #: The part of the hash space whose frequencies are counted. Prefixes take a fifth of a set, so they nearly always lie in it.
 COUNTED = 0.4
-SETS = "id long, key long, holder long, n long, cls binary, prefix array<struct<token:long,pos:int>>, shingles binary"
+SETS = "id long, key long, holder long, n long, cls binary, prefix array<struct<token:long,pos:int>>, shingles binary, bits array<long>"
+#: Bits of a set's sketch: each shingle sets one.
+BITS = 512
 
 
 def _sets(column, k: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -85,8 +88,13 @@ def _describe(part: pa.Table, answers: pa.Table, k: int, percent: int) -> pa.Tab
         seen.add(c)
     token, pos = pa.array(key[keep].view(np.int64)), pa.array(pos[keep].astype(np.int32))
     prefix = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.StructArray.from_arrays([token, pos], ["token", "pos"]))
+    held = np.array([x is not None for x in sets])
+    sketch = np.zeros((n_docs, BITS), np.uint8)
+    sketch[doc, (key >> np.uint64(7)) % np.uint64(BITS)] = 1
+    words = np.packbits(sketch, axis=1).view(np.int64)[held].ravel()
+    bits = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(held * (BITS // 64))]).astype(np.int32)), pa.array(words))
     block = part.column("block")[0].as_py()
-    return pa.Table.from_arrays([part.column("id").combine_chunks(), part.column("carry_0").combine_chunks(), pa.array((block << 32) + np.arange(n_docs)), pa.array(n), pa.array(cls, pa.binary()), prefix, pa.array(sets, pa.binary())], ["id", "key", "holder", "n", "cls", "prefix", "shingles"])
+    return pa.Table.from_arrays([part.column("id").combine_chunks(), part.column("carry_0").combine_chunks(), pa.array((block << 32) + np.arange(n_docs)), pa.array(n), pa.array(cls, pa.binary()), prefix, pa.array(sets, pa.binary()), bits], ["id", "key", "holder", "n", "cls", "prefix", "shingles", "bits"])
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, block_bytes: int) -> DataFrame:
@@ -167,11 +175,21 @@ def link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     # A set of a size that cannot link to the pivot has an unknown distance over the limit.
     limit = 1 - percent / 100
     m = m.withColumn("root", F.coalesce("root", "holder")).withColumn("d_low", F.when(F.col("holder") == F.col("pivot"), 0.0).otherwise(F.coalesce("d", F.lit(limit)))).withColumn("d_high", F.when(F.col("holder") == F.col("pivot"), 0.0).otherwise(F.coalesce("d", F.lit(1.0))))
-    m = materialise(m.join(m.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("token"), "token", "left_semi").select("token", "holder", "n", "pos", "index", "root", "d_low", "d_high"))
-    blocks = m.groupBy("token", "root").agg(*(f(c).alias(f"{f.__name__}_{c}") for c in ("n", "d_low", "d_high") for f in (F.min, F.max)), F.min("pos").alias("min_pos"), F.max("index").alias("any_index"))
+    m = materialise(m.join(m.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("token"), "token", "left_semi").select("token", "holder", "n", "pos", "index", "root", "d_low", "d_high").join(sets.filter(F.col("shingles").isNotNull()).select("holder", "bits"), "holder"))
+    n_words = BITS // 64
+    blocks = m.groupBy("token", "root").agg(*(f(F.col("bits")[i]).alias(f"{name}_{i}") for i in range(n_words) for name, f in (("all", F.bit_and), ("any", F.bit_or))), *(f(c).alias(f"{f.__name__}_{c}") for c in ("n", "d_low", "d_high") for f in (F.min, F.max)), F.max(F.col("n") - F.col("pos")).alias("rest"), F.max("index").alias("any_index"))
     x, y = blocks.alias("x"), blocks.alias("y")
-    open_ = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") < F.col("y.root")) & (F.col("x.any_index") | F.col("y.any_index"))
+    open_ = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") < F.col("y.root"))
+    # The smaller set has the token in its index prefix, and equally large ones both; blocks of one size are decided here.
+    alike = (F.col("x.min_n") == F.col("y.max_n")) & (F.col("x.max_n") == F.col("y.min_n"))
+    open_ &= F.when(F.col("x.max_n") < F.col("y.min_n"), F.col("x.any_index")).when(F.col("x.min_n") > F.col("y.max_n"), F.col("y.any_index")).when(alike, F.col("x.any_index") & F.col("y.any_index")).otherwise(F.col("x.any_index") | F.col("y.any_index"))
+    # What follows the token in both is enough for the overlap.
+    open_ &= F.least(F.col("x.rest"), F.col("y.rest")) * (100 + percent) >= percent * (F.col("x.min_n") + F.col("y.min_n"))
     open_ &= (F.col("x.min_n") * percent <= F.col("y.max_n") * 100) & (F.col("y.min_n") * percent <= F.col("x.max_n") * 100)
+    # Bits that one set has and the other lacks are shingles that only the one has; a block's are at least those of all its sets that no set of the other has.
+    only = lambda x, y: sum((F.bit_count(x(i).bitwiseAND(F.bitwise_not(y(i)))) for i in range(n_words)), F.lit(0))
+    may = lambda x, y, most, least: only(x, y) * (100 + percent) <= 100 * most - percent * least
+    open_ &= may(lambda i: F.col(f"x.all_{i}"), lambda i: F.col(f"y.any_{i}"), F.col("x.max_n"), F.col("y.min_n")) & may(lambda i: F.col(f"y.all_{i}"), lambda i: F.col(f"x.any_{i}"), F.col("y.max_n"), F.col("x.min_n"))
     slack = limit + 1e-9
     open_ &= (F.col("x.min_d_low") - F.col("y.max_d_high") <= slack) & (F.col("y.min_d_low") - F.col("x.max_d_high") <= slack)
     kept = x.join(y, open_).select(F.col("x.token").alias("token"), F.col("x.root").alias("rx"), F.col("y.root").alias("ry"))
@@ -182,7 +200,8 @@ def link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     overlap = F.least(ln - lp, rn - rp) * (100 + percent) >= percent * (ln + rn)
     role = F.when(ln < rn, F.col("l.index")).when(ln > rn, F.col("r.index")).otherwise(F.col("l.index") & F.col("r.index"))
     close = (F.col("l.d_low") - F.col("r.d_high") <= slack) & (F.col("r.d_low") - F.col("l.d_high") <= slack)
-    rest = pairs.filter(fits(ln, rn) & overlap & role & close).select(F.least("l.holder", "r.holder").alias("a"), F.greatest("l.holder", "r.holder").alias("b")).distinct()
+    sketched = may(lambda i: F.col("l.bits")[i], lambda i: F.col("r.bits")[i], ln, rn) & may(lambda i: F.col("r.bits")[i], lambda i: F.col("l.bits")[i], rn, ln)
+    rest = pairs.filter(fits(ln, rn) & overlap & role & close & sketched).select(F.least("l.holder", "r.holder").alias("a"), F.greatest("l.holder", "r.holder").alias("b")).distinct()
     rest = rest.join(answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     more = materialise(_links(_compare(rest, sets, percent), percent))
     return classes, components(links.unionAll(more)) if not more.isEmpty() else roots
