@@ -105,5 +105,6 @@ def count_hashes(blocked: DataFrame, hashes_of, n_buckets: int, least: int = 2)
         h, c = distinct(hashes_of(part.column("text")))
         return send(part.column("block")[0].as_py(), h, c, n_buckets)
 
-    sent = blocked.select("block", "text").groupBy("block").applyInArrow(emit, SENT)
+    # All columns go along, so that this and the caller's cogroup share one shuffle of the texts.
+    sent = blocked.groupBy("block").applyInArrow(emit, SENT)
     return sent.groupBy("bucket").applyInArrow(lambda part: answer(part, least), ANSWER)

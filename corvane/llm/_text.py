@@ -35,6 +35,18 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(p)
 
 
+PART = 1 << 18
+_kept: dict[int, np.ndarray] = {}
+
+
+def _byte_powers(base: int, n: int) -> np.ndarray:
+    if n > PART * 2:
+        return powers(base, n)
+    if base not in _kept:
+        _kept[base] = powers(base, PART * 2)
+    return _kept[base]
+
+
 class Words(NamedTuple):
     """Words of a chunk of documents; ``ends`` are exclusive byte places in ``buf``."""
 
@@ -78,13 +90,20 @@ def split_words(column: pa.Array, lower: bool = False) -> Words:
 
 
 def hash_words(w: Words, seed: int = 0) -> np.ndarray:
-    """A 64-bit hash of each word's bytes."""
+    """A 64-bit hash of each word's bytes. Some words at a time: arrays of eight bytes a byte stay small."""
     table = mix(np.arange(1, 257, dtype=np.uint64) * _U(_STEP) + _U(seed * 7919 + 1))
-    n = len(w.buf)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(table[w.buf] * powers(_R_BYTE, n)[:n], out=total[1:])
-    back = powers(pow(_R_BYTE, -1, 2**64), n)
-    return mix((total[w.ends] - total[w.starts]) * back[w.starts] + (w.ends - w.starts).astype(np.uint64) * _U(_STEP))
+    out = np.empty(len(w.starts), np.uint64)
+    a = 0
+    while a < len(out):
+        low = w.starts[a]
+        b = max(a + 1, int(np.searchsorted(w.starts, low + PART)))
+        start, end = w.starts[a:b] - low, w.ends[a:b] - low
+        n = int(end[-1])
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(table[w.buf[low : low + n]] * _byte_powers(_R_BYTE, n)[:n], out=total[1:])
+        out[a:b] = (total[end] - total[start]) * _byte_powers(pow(_R_BYTE, -1, 2**64), n)[start] + (end - start).astype(np.uint64) * _U(_STEP)
+        a = b
+    return mix(out)
 
 
 def hash_windows(h: np.ndarray, k: int) -> np.ndarray:

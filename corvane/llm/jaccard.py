@@ -107,7 +107,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
         return key[: _low(key)]
 
     answers = _blocks.count_hashes(blocked, counted, max(1, n // 2))
-    whole = blocked.select("block", "text", "id", "carry_0").groupBy("block").cogroup(answers.groupBy("block"))
+    whole = blocked.groupBy("block").cogroup(answers.groupBy("block"))
     return materialise(whole.applyInArrow(lambda part, answer: _describe(part, answer, k, percent), SETS))
 
 

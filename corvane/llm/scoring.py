@@ -99,9 +99,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modul
         add = lambda x: np.add.reduceat(x, first[:-1])
         return pa.Table.from_arrays([part.column("id").combine_chunks(), part.column("carry_0").combine_chunks(), pa.array(np.diff(first)), pa.array(add((c > 0).astype(np.int64))), pa.array(add(np.log10(p))), pa.array(add(np.log10(weight)))], ["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    sent = blocked.select("block", "text", "carry_0").groupBy("block").applyInArrow(emit, SENT)
+    sent = blocked.groupBy("block").applyInArrow(emit, SENT)
     answers = sent.groupBy("bucket").applyInArrow(lambda part: _blocks.answer(part, 1), ANSWER)
-    done = blocked.select("block", "id", "text", "carry_0").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(walk, "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    done = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(walk, "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return done.withColumn("train_tokens", F.lit(n).cast("long"))
 
 
