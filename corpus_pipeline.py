@@ -28,9 +28,9 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without their repeated passages; what keeps no word goes. Untouched texts stay as they are."""
-    done = substring.remove_repeats(docs, carry=tuple(docs.columns), with_text=True).filter("n_words > n_removed or n_removed = 0")
-    new = {c: F.col(f"carry_{i}") for i, c in enumerate(docs.columns)}
-    new["text"] = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(new["text"])
+    others = [c for c in docs.columns if c != "text"]
+    done = substring.remove_repeats(docs, carry=tuple(others), with_text=True).filter("n_words > n_removed or n_removed = 0")
+    new = {c: F.col("kept_text") if c == "text" else F.col(f"carry_{others.index(c)}") for c in docs.columns}
     if "n_chars" in new:
         new["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(new["n_chars"])
     return done.select(*(x.alias(c) for c, x in new.items()))
