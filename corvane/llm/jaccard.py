@@ -12,7 +12,9 @@ Equal sets become one class. Then, by set relations:
 - Of each list one pivot, the set with most copies, is compared with all others. Every other
   pair's answer is derived from these where it can be: sets that already are in one component need no
   comparison, and by the triangle inequality of the Jaccard distance two sets whose
-  distances to the pivot differ by more than the threshold allows cannot link. Whole blocks
+  distances to the pivot differ by more than the threshold allows cannot link. The roots of two
+  components are compared in their place, and members only as far as their distances to the roots
+  leave a link possible. Whole blocks
   (token, component) are skipped by their bounds of size, position, distance and by their sketches
   (bits that shingles set, so bits only one side has bound the overlap); what is left is compared exactly.
 
@@ -175,9 +177,18 @@ def link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     # A set of a size that cannot link to the pivot has an unknown distance over the limit.
     limit = 1 - percent / 100
     m = m.withColumn("root", F.coalesce("root", "holder")).withColumn("d_low", F.when(F.col("holder") == F.col("pivot"), 0.0).otherwise(F.coalesce("d", F.lit(limit)))).withColumn("d_high", F.when(F.col("holder") == F.col("pivot"), 0.0).otherwise(F.coalesce("d", F.lit(1.0))))
-    m = materialise(m.join(m.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("token"), "token", "left_semi").select("token", "holder", "n", "pos", "index", "root", "d_low", "d_high").join(sets.filter(F.col("shingles").isNotNull()).select("holder", "bits"), "holder"))
-    n_words = BITS // 64
-    blocks = m.groupBy("token", "root").agg(*(f(F.col("bits")[i]).alias(f"{name}_{i}") for i in range(n_words) for name, f in (("all", F.bit_and), ("any", F.bit_or))), *(f(c).alias(f"{f.__name__}_{c}") for c in ("n", "d_low", "d_high") for f in (F.min, F.max)), F.max(F.col("n") - F.col("pos")).alias("rest"), F.max("index").alias("any_index"))
+    m = m.join(m.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("token"), "token", "left_semi").select("token", "holder", "n", "pos", "index", "root", "d_low", "d_high")
+    m = materialise(m.join(sets.filter(F.col("shingles").isNotNull()).select("holder", "bits"), "holder"))
+    # A component's root stands for it: how far its members are from it bounds their distances to all that its root is far from.
+    own = _compare(m.filter("root <> holder").select(F.col("root").alias("a"), F.col("holder").alias("b")).distinct(), sets, percent)
+    own = own.select(F.col("a").alias("root"), F.col("b").alias("holder"), (1 - F.col("shared") / F.col("either")).alias("d_own"))
+    m = materialise(m.join(own, ["root", "holder"], "left").withColumn("d_own", F.coalesce("d_own", F.lit(0.0))))
+    slack, n_words = limit + 1e-9, BITS // 64
+    # Bits that one set has and the other lacks are shingles that only the one has; a block's are at least those of all its sets that no set of the other has.
+    only = lambda x, y: sum((F.bit_count(x(i).bitwiseAND(F.bitwise_not(y(i)))) for i in range(n_words)), F.lit(0))
+    may = lambda x, y, most, least: only(x, y) * (100 + percent) <= 100 * most - percent * least
+    block_bits = (f(F.col("bits")[i]).alias(f"{name}_{i}") for i in range(n_words) for name, f in (("all", F.bit_and), ("any", F.bit_or)))
+    blocks = m.groupBy("token", "root").agg(*block_bits, *(f(c).alias(f"{f.__name__}_{c}") for c in ("n", "d_low", "d_high") for f in (F.min, F.max)), F.max(F.col("n") - F.col("pos")).alias("rest"), F.max("index").alias("any_index"), F.max("d_own").alias("radius"))
     x, y = blocks.alias("x"), blocks.alias("y")
     open_ = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") < F.col("y.root"))
     # The smaller set has the token in its index prefix, and equally large ones both; blocks of one size are decided here.
@@ -186,25 +197,27 @@ def link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     # What follows the token in both is enough for the overlap.
     open_ &= F.least(F.col("x.rest"), F.col("y.rest")) * (100 + percent) >= percent * (F.col("x.min_n") + F.col("y.min_n"))
     open_ &= (F.col("x.min_n") * percent <= F.col("y.max_n") * 100) & (F.col("y.min_n") * percent <= F.col("x.max_n") * 100)
-    # Bits that one set has and the other lacks are shingles that only the one has; a block's are at least those of all its sets that no set of the other has.
-    only = lambda x, y: sum((F.bit_count(x(i).bitwiseAND(F.bitwise_not(y(i)))) for i in range(n_words)), F.lit(0))
-    may = lambda x, y, most, least: only(x, y) * (100 + percent) <= 100 * most - percent * least
     open_ &= may(lambda i: F.col(f"x.all_{i}"), lambda i: F.col(f"y.any_{i}"), F.col("x.max_n"), F.col("y.min_n")) & may(lambda i: F.col(f"y.all_{i}"), lambda i: F.col(f"x.any_{i}"), F.col("y.max_n"), F.col("x.min_n"))
-    slack = limit + 1e-9
     open_ &= (F.col("x.min_d_low") - F.col("y.max_d_high") <= slack) & (F.col("y.min_d_low") - F.col("x.max_d_high") <= slack)
-    kept = x.join(y, open_).select(F.col("x.token").alias("token"), F.col("x.root").alias("rx"), F.col("y.root").alias("ry"))
+    kept = materialise(x.join(y, open_).select(F.col("x.token").alias("token"), F.col("x.root").alias("rx"), F.col("y.root").alias("ry"), F.col("x.radius").alias("rad_x"), F.col("y.radius").alias("rad_y")))
+    # Components whose roots link are one. The others are looked into as far as their radii reach.
+    between = materialise(_compare(kept.select(F.col("rx").alias("a"), F.col("ry").alias("b")).distinct(), sets, percent))
+    links = links.unionAll(_links(between, percent))
+    apart = between.filter(F.col("shared") * 100 < F.col("either") * percent).select(F.col("a").alias("rx"), F.col("b").alias("ry"), (1 - F.col("shared") / F.col("either")).alias("d_roots"))
+    kept = kept.filter("rad_x + rad_y > 0").join(apart, ["rx", "ry"]).filter(F.col("d_roots") - F.col("rad_x") - F.col("rad_y") <= slack)
     left, right = m.alias("l"), m.alias("r")
-    pairs = kept.join(left, (kept["token"] == F.col("l.token")) & (kept["rx"] == F.col("l.root"))).drop(F.col("l.token"))
-    pairs = pairs.join(right, (pairs["token"] == F.col("r.token")) & (pairs["ry"] == F.col("r.root")))
+    reach = F.col("d_roots") - F.col("l.d_own")
+    pairs = kept.join(left, (kept["token"] == F.col("l.token")) & (kept["rx"] == F.col("l.root")) & (reach - F.col("rad_y") <= slack)).drop(F.col("l.token"))
     ln, rn, lp, rp = F.col("l.n"), F.col("r.n"), F.col("l.pos"), F.col("r.pos")
     overlap = F.least(ln - lp, rn - rp) * (100 + percent) >= percent * (ln + rn)
     role = F.when(ln < rn, F.col("l.index")).when(ln > rn, F.col("r.index")).otherwise(F.col("l.index") & F.col("r.index"))
-    close = (F.col("l.d_low") - F.col("r.d_high") <= slack) & (F.col("r.d_low") - F.col("l.d_high") <= slack)
+    close = (F.col("l.d_low") - F.col("r.d_high") <= slack) & (F.col("r.d_low") - F.col("l.d_high") <= slack) & (reach - F.col("r.d_own") <= slack)
     sketched = may(lambda i: F.col("l.bits")[i], lambda i: F.col("r.bits")[i], ln, rn) & may(lambda i: F.col("r.bits")[i], lambda i: F.col("l.bits")[i], rn, ln)
-    rest = pairs.filter(fits(ln, rn) & overlap & role & close & sketched).select(F.least("l.holder", "r.holder").alias("a"), F.greatest("l.holder", "r.holder").alias("b")).distinct()
-    rest = rest.join(answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = materialise(_links(_compare(rest, sets, percent), percent))
-    return classes, components(links.unionAll(more)) if not more.isEmpty() else roots
+    pairs = pairs.join(right, (pairs["token"] == F.col("r.token")) & (pairs["ry"] == F.col("r.root")) & fits(ln, rn) & overlap & role & close & sketched)
+    rest = pairs.select(F.least("l.holder", "r.holder").alias("a"), F.greatest("l.holder", "r.holder").alias("b")).distinct()
+    rest = rest.join(answers.unionAll(between).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    more = materialise(links.unionAll(_links(_compare(rest, sets, percent), percent)))
+    return classes, components(more)
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, block_bytes: int = _blocks.BLOCK_BYTES) -> DataFrame:
