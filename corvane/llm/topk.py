@@ -134,6 +134,8 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
 
     def both(asked: DataFrame) -> DataFrame:
         spread = v.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        # Queries come from the same rows; under new names for Spark the two sides are told apart.
+        asked = asked.toDF(*(f"q_{c}" for c in asked.columns)).toDF(*asked.columns)
         return spread.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(in_shard, FOUND)
 
     home = materialise(both(queries))
