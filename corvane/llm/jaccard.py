@@ -188,7 +188,7 @@ def link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     only = lambda x, y: sum((F.bit_count(x(i).bitwiseAND(F.bitwise_not(y(i)))) for i in range(n_words)), F.lit(0))
     may = lambda x, y, most, least: only(x, y) * (100 + percent) <= 100 * most - percent * least
     block_bits = (f(F.col("bits")[i]).alias(f"{name}_{i}") for i in range(n_words) for name, f in (("all", F.bit_and), ("any", F.bit_or)))
-    blocks = m.groupBy("token", "root").agg(*block_bits, *(f(c).alias(f"{f.__name__}_{c}") for c in ("n", "d_low", "d_high") for f in (F.min, F.max)), F.max(F.col("n") - F.col("pos")).alias("rest"), F.max("index").alias("any_index"), F.max("d_own").alias("radius"))
+    blocks = m.groupBy("token", "root").agg(*block_bits, *(f(c).alias(f"{f.__name__}_{c}") for c in ("n", "d_low", "d_high") for f in (F.min, F.max)), F.max(F.col("n") - F.col("pos")).alias("rest"), F.max("index").alias("any_index"))
     x, y = blocks.alias("x"), blocks.alias("y")
     open_ = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") < F.col("y.root"))
     # The smaller set has the token in its index prefix, and equally large ones both; blocks of one size are decided here.
@@ -199,22 +199,24 @@ def link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     open_ &= (F.col("x.min_n") * percent <= F.col("y.max_n") * 100) & (F.col("y.min_n") * percent <= F.col("x.max_n") * 100)
     open_ &= may(lambda i: F.col(f"x.all_{i}"), lambda i: F.col(f"y.any_{i}"), F.col("x.max_n"), F.col("y.min_n")) & may(lambda i: F.col(f"y.all_{i}"), lambda i: F.col(f"x.any_{i}"), F.col("y.max_n"), F.col("x.min_n"))
     open_ &= (F.col("x.min_d_low") - F.col("y.max_d_high") <= slack) & (F.col("y.min_d_low") - F.col("x.max_d_high") <= slack)
-    kept = materialise(x.join(y, open_).select(F.col("x.token").alias("token"), F.col("x.root").alias("rx"), F.col("y.root").alias("ry"), F.col("x.radius").alias("rad_x"), F.col("y.radius").alias("rad_y")))
+    kept = x.join(y, open_).select(F.col("x.root").alias("a"), F.col("y.root").alias("b")).distinct()
     # Components whose roots link are one. The others are looked into as far as their radii reach.
-    between = materialise(_compare(kept.select(F.col("rx").alias("a"), F.col("ry").alias("b")).distinct(), sets, percent))
+    between = materialise(_compare(kept, sets, percent))
     links = links.unionAll(_links(between, percent))
     apart = between.filter(F.col("shared") * 100 < F.col("either") * percent).select(F.col("a").alias("rx"), F.col("b").alias("ry"), (1 - F.col("shared") / F.col("either")).alias("d_roots"))
-    kept = kept.filter("rad_x + rad_y > 0").join(apart, ["rx", "ry"]).filter(F.col("d_roots") - F.col("rad_x") - F.col("rad_y") <= slack)
-    left, right = m.alias("l"), m.alias("r")
-    reach = F.col("d_roots") - F.col("l.d_own")
-    pairs = kept.join(left, (kept["token"] == F.col("l.token")) & (kept["rx"] == F.col("l.root")) & (reach - F.col("rad_y") <= slack)).drop(F.col("l.token"))
-    ln, rn, lp, rp = F.col("l.n"), F.col("r.n"), F.col("l.pos"), F.col("r.pos")
-    overlap = F.least(ln - lp, rn - rp) * (100 + percent) >= percent * (ln + rn)
-    role = F.when(ln < rn, F.col("l.index")).when(ln > rn, F.col("r.index")).otherwise(F.col("l.index") & F.col("r.index"))
-    close = (F.col("l.d_low") - F.col("r.d_high") <= slack) & (F.col("r.d_low") - F.col("l.d_high") <= slack) & (reach - F.col("r.d_own") <= slack)
-    sketched = may(lambda i: F.col("l.bits")[i], lambda i: F.col("r.bits")[i], ln, rn) & may(lambda i: F.col("r.bits")[i], lambda i: F.col("l.bits")[i], rn, ln)
-    pairs = pairs.join(right, (pairs["token"] == F.col("r.token")) & (pairs["ry"] == F.col("r.root")) & fits(ln, rn) & overlap & role & close & sketched)
-    rest = pairs.select(F.least("l.holder", "r.holder").alias("a"), F.greatest("l.holder", "r.holder").alias("b")).distinct()
+    # From here on tokens no longer matter, so a pair comes once.
+    held = materialise(m.select("root", "holder", "n", "bits", "d_own").dropDuplicates(["holder"]))
+    whole = held.groupBy("root").agg(*(f(F.col("bits")[i]).alias(f"{name}_{i}") for i in range(n_words) for name, f in (("all", F.bit_and), ("any", F.bit_or))), F.min("n").alias("min_n"), F.max("n").alias("max_n"), F.max("d_own").alias("rad_y"))
+    near = apart.join(whole.select(F.col("root").alias("rx"), F.col("rad_y").alias("rad_x")), "rx").join(whole.withColumnRenamed("root", "ry"), "ry")
+    near = near.filter((F.col("rad_x") + F.col("rad_y") > 0) & (F.col("d_roots") - F.col("rad_x") - F.col("rad_y") <= slack))
+    left, right = held.alias("l"), held.alias("r")
+    ln, rn, reach = F.col("l.n"), F.col("r.n"), F.col("d_roots") - F.col("l.d_own")
+    bit, low, high = (lambda side: lambda i: F.col(f"{side}.bits")[i]), (lambda i: F.col(f"all_{i}")), (lambda i: F.col(f"any_{i}"))
+    sized = (F.col("min_n") * percent <= ln * 100) & (ln * percent <= F.col("max_n") * 100)
+    pairs = near.join(left, (near["rx"] == F.col("l.root")) & (reach - F.col("rad_y") <= slack) & sized & may(bit("l"), high, ln, F.col("min_n")) & may(low, bit("l"), F.col("max_n"), ln))
+    pairs = pairs.select("ry", "d_roots", F.struct("l.holder", "l.n", "l.bits", "l.d_own").alias("l"))
+    pairs = pairs.join(right, (pairs["ry"] == F.col("r.root")) & (reach - F.col("r.d_own") <= slack) & fits(ln, rn) & may(bit("l"), bit("r"), ln, rn) & may(bit("r"), bit("l"), rn, ln))
+    rest = pairs.select(F.least("l.holder", "r.holder").alias("a"), F.greatest("l.holder", "r.holder").alias("b"))
     rest = rest.join(answers.unionAll(between).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     more = materialise(links.unionAll(_links(_compare(rest, sets, percent), percent)))
     return classes, components(more)
