@@ -234,13 +234,18 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One document of each group: that of the smallest id. Documents without an id in a group go; alone they stay."""
+    """One document of each group: that of the smallest id. Documents without an id in a group go; alone they stay.
+
+    Rows of equal id and text are one document. Decisions are ids and hashes of texts; the
+    texts themselves are shuffled once, by these, which serves both the join and the removal of repeated rows.
+    """
     found = groups(docs, id_col, text_col, **options).filter(F.col("id").eqNullSafe(F.col("component_id")))
-    stay = found.groupBy(F.col("id").alias("_id")).agg(F.min("key").alias("_key"))
-    stay = stay.filter("_id is not null").unionAll(found.filter("id is null").select("id", "key").distinct())
-    hashed = docs.withColumn("_key_", F.xxhash64(F.col(f"`{text_col}`")))
-    kept = hashed.join(stay, hashed[id_col].eqNullSafe(stay["_id"]) & (hashed["_key_"] == stay["_key"]), "left_semi")
-    return kept.dropDuplicates([id_col, "_key_"]).drop("_key_")
+    # An id as a text is never empty, so that stands for no id and the join needs no special equality.
+    named = lambda c: F.coalesce(c.cast("long").cast("string"), F.lit(""))
+    stay = found.select(named(F.col("id")).alias("_id_"), "key").groupBy("_id_").agg(F.min("key").alias("_key_"))
+    stay = materialise(stay.filter("_id_ <> ''").unionAll(found.filter("id is null").select(F.lit("").alias("_id_"), "key").distinct()))
+    hashed = docs.withColumns({"_id_": named(F.col(f"`{id_col}`")), "_key_": F.xxhash64(F.col(f"`{text_col}`"))})
+    return hashed.join(stay, ["_id_", "_key_"], "left_semi").dropDuplicates(["_id_", "_key_"]).drop("_id_", "_key_")
 
 
 def digest(docs: DataFrame) -> DataFrame:
