@@ -132,11 +132,14 @@ def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long, shared long, either long")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of (a, b) edges; ``root`` is the smallest node in reach. Large-star and small-star steps by joins."""
+def _tied(edges: DataFrame) -> DataFrame:
+    """(node, root) for the nodes of (a, b) edges that are not roots themselves. Large-star and small-star steps by joins, until no star is tied to another."""
     e = materialise(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct())
-    state = None
     while True:
+        # Stars: nobody has two roots, and no root has a root.
+        ends = e.select(F.col("b").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(e.select(F.col("a").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        if not ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up + down > 1").count():
+            return e.select(F.col("b").alias("node"), F.col("a").alias("root"))
         # large star: each larger neighbour is tied to the smallest of the neighbourhood
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -145,11 +148,12 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(low, "b").select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y")).filter("x <> y")
         e = materialise(small.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
-    return e.select(F.col("b").alias("node"), F.col("a").alias("root")).unionAll(e.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) for every node of (a, b) edges; ``root`` is the smallest node in reach."""
+    tied = _tied(edges)
+    return tied.unionAll(tied.select(F.col("root").alias("node"), "root").distinct())
 
 
 def _links(found: DataFrame, percent: int) -> DataFrame:
@@ -157,7 +161,7 @@ def _links(found: DataFrame, percent: int) -> DataFrame:
 
 
 def link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Classes (cls, holder, copies, least_id), and components (node, root) of their holders."""
+    """Classes (cls, holder, copies, least_id), and (node, root) of the holders that have another as the root of their component."""
     classes = materialise(sets.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.min(F.when(F.col("shingles").isNotNull(), F.col("holder"))).alias("holder"), F.count("*").alias("copies"), F.min("id").alias("least_id"), F.first("n").alias("n")))
     listed = sets.filter(F.col("shingles").isNotNull()).select("holder", "prefix").join(classes, "holder").select("holder", "n", "copies", F.inline("prefix"))
     # The smaller set of a pair shares a shingle in its first n - ceil(percent * 2n / (100 + percent)) + 1 places.
@@ -170,7 +174,7 @@ def link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     near = members.filter(fits(F.col("n"), F.col("pivot_n")) & (F.col("holder") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("holder").alias("b")).distinct()
     answers = materialise(_compare(near, sets, percent))
     links = _links(answers, percent)
-    roots = materialise(components(links))
+    roots = _tied(links)
     # What the pivots' answers leave open.
     far = answers.select(F.col("a").alias("pivot"), F.col("b").alias("holder"), (1 - F.col("shared") / F.col("either")).alias("d"))
     m = members.join(far, ["pivot", "holder"], "left").join(roots.withColumnRenamed("node", "holder"), "holder", "left")
@@ -202,7 +206,7 @@ def link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     kept = x.join(y, open_).select(F.col("x.root").alias("a"), F.col("y.root").alias("b")).distinct()
     # Components whose roots link are one. The others are looked into as far as their radii reach.
     between = materialise(_compare(kept, sets, percent))
-    links = links.unionAll(_links(between, percent))
+    links = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(_links(between, percent))
     apart = between.filter(F.col("shared") * 100 < F.col("either") * percent).select(F.col("a").alias("rx"), F.col("b").alias("ry"), (1 - F.col("shared") / F.col("either")).alias("d_roots"))
     # From here on tokens no longer matter, so a pair comes once.
     held = materialise(m.select("root", "holder", "n", "bits", "d_own").dropDuplicates(["holder"]))
@@ -218,8 +222,7 @@ def link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     pairs = pairs.join(right, (pairs["ry"] == F.col("r.root")) & (reach - F.col("r.d_own") <= slack) & fits(ln, rn) & may(bit("l"), bit("r"), ln, rn) & may(bit("r"), bit("l"), rn, ln))
     rest = pairs.select(F.least("l.holder", "r.holder").alias("a"), F.greatest("l.holder", "r.holder").alias("b"))
     rest = rest.join(answers.unionAll(between).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = materialise(links.unionAll(_links(_compare(rest, sets, percent), percent)))
-    return classes, components(more)
+    return classes, _tied(links.unionAll(_links(_compare(rest, sets, percent), percent)))
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, block_bytes: int = _blocks.BLOCK_BYTES) -> DataFrame:
@@ -242,8 +245,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     found = groups(docs, id_col, text_col, **options).filter(F.col("id").eqNullSafe(F.col("component_id")))
     # An id as a text is never empty, so that stands for no id and the join needs no special equality.
     named = lambda c: F.coalesce(c.cast("long").cast("string"), F.lit(""))
-    stay = found.select(named(F.col("id")).alias("_id_"), "key").groupBy("_id_").agg(F.min("key").alias("_key_"))
-    stay = materialise(stay.filter("_id_ <> ''").unionAll(found.filter("id is null").select(F.lit("").alias("_id_"), "key").distinct()))
+    # One key for an id; without an id, each.
+    stay = found.select(named(F.col("id")).alias("_id_"), "key").withColumn("each", F.when(F.col("_id_") == "", F.col("key")))
+    stay = materialise(stay.groupBy("_id_", "each").agg(F.min("key").alias("_key_")).drop("each"))
     hashed = docs.withColumns({"_id_": named(F.col(f"`{id_col}`")), "_key_": F.xxhash64(F.col(f"`{text_col}`"))})
     return hashed.join(stay, ["_id_", "_key_"], "left_semi").dropDuplicates(["_id_", "_key_"]).drop("_id_", "_key_")
 
