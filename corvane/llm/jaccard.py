@@ -225,29 +225,36 @@ def link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return classes, _tied(links.unionAll(_links(_compare(rest, sets, percent), percent)))
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, block_bytes: int = _blocks.BLOCK_BYTES) -> DataFrame:
-    """(id, key, n_shingles, component_id) for each row; ``key`` is a hash of the text."""
+def _rooted(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, block_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """``SETS`` of the rows, and the classes with the root of each one's component."""
     sets = describe(docs, id_col, text_col, k, percent, block_bytes)
     classes, roots = link(sets, percent)
-    tied = classes.join(roots.withColumnRenamed("node", "holder"), "holder", "left").withColumn("root", F.coalesce("root", "holder"))
+    return sets, classes.join(roots.withColumnRenamed("node", "holder"), "holder", "left").withColumn("root", F.coalesce("root", "holder"))
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, block_bytes: int = _blocks.BLOCK_BYTES) -> DataFrame:
+    """(id, key, n_shingles, component_id) for each row; ``key`` is a hash of the text."""
+    sets, tied = _rooted(docs, id_col, text_col, k, percent, block_bytes)
     least = tied.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_class = tied.join(least, "root").select("cls", "component_id")
     alone = sets.filter(F.col("cls").isNull()).select("id", "key", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
     return sets.filter(F.col("cls").isNotNull()).select("id", "key", "n", "cls").join(of_class, "cls").select("id", "key", F.col("n").alias("n_shingles"), "component_id").unionAll(alone)
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One document of each group: that of the smallest id. Documents without an id in a group go; alone they stay.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, block_bytes: int = _blocks.BLOCK_BYTES) -> DataFrame:
+    """One document of each group: that of the smallest id, null ids last, and of these of the smallest hash of its text.
 
+    Groups are components, whatever ids their rows have: an id may be in several, and each keeps its own document.
     Rows of equal id and text are one document. Decisions are ids and hashes of texts; the
     texts themselves are shuffled once, by these, which serves both the join and the removal of repeated rows.
     """
-    found = groups(docs, id_col, text_col, **options).filter(F.col("id").eqNullSafe(F.col("component_id")))
+    sets, tied = _rooted(docs, id_col, text_col, k, percent, block_bytes)
+    first = sets.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("first"))
+    stay = tied.join(first, "cls").groupBy("root").agg(F.min("first").alias("first")).select("first.id", "first.key")
+    stay = stay.unionAll(sets.filter(F.col("cls").isNull()).select("id", "key").distinct())
     # An id as a text is never empty, so that stands for no id and the join needs no special equality.
     named = lambda c: F.coalesce(c.cast("long").cast("string"), F.lit(""))
-    # One key for an id; without an id, each.
-    stay = found.select(named(F.col("id")).alias("_id_"), "key").withColumn("each", F.when(F.col("_id_") == "", F.col("key")))
-    stay = materialise(stay.groupBy("_id_", "each").agg(F.min("key").alias("_key_")).drop("each"))
+    stay = materialise(stay.select(named(F.col("id")).alias("_id_"), F.col("key").alias("_key_")))
     hashed = docs.withColumns({"_id_": named(F.col(f"`{id_col}`")), "_key_": F.xxhash64(F.col(f"`{text_col}`"))})
     return hashed.join(stay, ["_id_", "_key_"], "left_semi").dropDuplicates(["_id_", "_key_"]).drop("_id_", "_key_")
 

@@ -175,6 +175,19 @@ def test_jaccard_chains(spark):
     assert ordered(got) == plain_components(rows)
 
 
+def test_keep_one_is_by_group(spark):
+    """An id in several groups keeps a document in each; of a group without any id one document stays."""
+    draw = random.Random(11)
+    text = lambda: [f"k{draw.randrange(10**6)}" for _ in range(80)]
+    near = lambda w, i: w[:i] + ["other"] + w[i + 1 :]
+    a, b, c, d = (text() for _ in range(4))
+    # Group a has ids 1 and 2, group b id 1 again, group c no ids, group d none and 7; two texts of id 3 are alone.
+    groups = {"a": [(1, a), (2, near(a, 40))], "b": [(1, b), (1, near(b, 3))], "c": [(None, c), (None, near(c, 20)), (None, near(c, 60)), (None, c)], "d": [(None, d), (7, near(d, 9))], "e": [(3, text())], "f": [(3, text())]}
+    rows = [(i, " ".join(w), g) for g, members in groups.items() for i, w in members]
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string, g string"), block_bytes=1000).collect()
+    assert ordered((r.g, r.doc_id) for r in kept) == ordered([("a", 1), ("b", 1), ("c", None), ("d", 7), ("e", 3), ("f", 3)])
+
+
 # 4 ---------------------------------------------------------------------------
 
 def test_top_k(spark):
