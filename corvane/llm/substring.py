@@ -1,12 +1,12 @@
 """Removing long repeated passages with a compacted de Bruijn graph of words.
 
-Each window of ``k`` words is an edge from its first ``k - 1`` words to its last. Edges are
-counted over the corpus by hash; those that occur once are of no more interest. In a document,
-neighbouring repeated edges of equal count make up a path, kept as its first edge's hash,
-its length and the place where it stands. Joined by first edge and length, all places of a
-path must have the same words by a second, independent hash; if any do not, two edges shared
-a hash, and the whole work is done again with other hashes. A path that stands at as many
-places as its edges were counted has no branching node. Every word of a verified path goes.
+Each window of ``k`` words is an edge from its first ``k - 1`` words to its last. An edge is named by
+a 64-bit hash and 32 bits of a second one with other word hashes; edges are joined and counted over the
+corpus by both, so windows that meet in the first hash alone fall apart. Those that occur once
+are of no more interest. In a document, neighbouring repeated edges of equal count make
+up a path, kept as its first edge's hash, its length, a hash of all its words and the place
+where it stands. A path that stands at as many places as its edges were counted has no
+branching node. Every word of a path goes.
 
 Defined results: a null or empty text has no words and nothing to remove; texts under ``k``
 words are left alone; equal rows repeat each other like any other texts; a null id is passed
@@ -25,14 +25,60 @@ from pyspark.sql import functions as F
 from corvane.llm import _blocks, _text
 from corvane.llm._storage import materialise
 
+SENT = "block long, bucket long, hashes binary, seconds binary, counts binary"
 SPANS = "array<struct<start:long,length:long,count:long,path:long,check:long>>"
 
 
-def _windows(column, k: int, seed: int):
+def _windows(column, k: int):
+    """Words, their second hashes, the places of the windows, and each window's hash and second hash."""
     w = _text.split_words(column)
-    h = _text.hash_words(w, seed)
+    other = _text.hash_words(w, 1)
     at = _text.inside(w, k)
-    return w, h, at, _text.hash_windows(h, k)[at] if len(at) else np.zeros(0, np.uint64)
+    if not len(at):
+        return w, other, at, np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+    return w, other, at, _text.hash_windows(_text.hash_words(w), k)[at], (_text.hash_windows(other, k)[at] >> np.uint64(32)).astype(np.uint32)
+
+
+def _sorted(key: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The order by hash and second hash, both in this order, and where each distinct edge begins."""
+    order = np.argsort(key, kind="stable")
+    a, b = key[order], second[order]
+    if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():
+        order = np.lexsort((second, key))
+        a, b = key[order], second[order]
+    return order, a, b, np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, bool)
+
+
+def _gaps(hashes: np.ndarray) -> bytes:
+    """Sorted hashes as the gaps between them, all first bytes, then all second ones and so on: the high bytes are mostly zeros and compress."""
+    return np.diff(hashes, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _ungapped(data: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _send(block: int, key: np.ndarray, second: np.ndarray, n_buckets: int) -> pa.Table:
+    """A block's distinct edges and their counts, to the buckets of their hashes."""
+    _, a, b, new = _sorted(key, second)
+    first = np.flatnonzero(new)
+    a, b, counts = a[first], b[first], np.diff(np.append(first, len(key))).astype(np.uint32)
+    cut = _blocks.bucket_edges(a, n_buckets)
+    full = np.flatnonzero(np.diff(cut))
+    binary = lambda x, pack=np.ndarray.tobytes: pa.array([pack(x[cut[i] : cut[i + 1]]) for i in full], pa.binary())
+    return pa.Table.from_arrays([pa.array([block] * len(full), pa.int64()), pa.array(full, pa.int64()), binary(a, _gaps), binary(b), binary(counts)], ["block", "bucket", "hashes", "seconds", "counts"])
+
+
+def _answer(part: pa.Table) -> pa.Table:
+    """To each block, in the order of its edges, the total of each; 0 for what occurs once."""
+    read = lambda c, t: [np.frombuffer(x, t) for x in part.column(c).to_pylist()]
+    hashes = [_ungapped(x) for x in part.column("hashes").to_pylist()]
+    order, _, _, new = _sorted(np.concatenate(hashes), np.concatenate(read("seconds", np.uint32)))
+    totals = np.add.reduceat(np.concatenate(read("counts", np.uint32))[order].astype(np.int64), np.flatnonzero(new))
+    value = np.empty(len(order), np.int64)
+    value[order] = np.where(totals > 1, totals, 0)[np.cumsum(new) - 1]
+    cut = np.cumsum([0, *map(len, hashes)])
+    return pa.Table.from_arrays([part.column("block").combine_chunks(), part.column("bucket").combine_chunks(), pa.array([_blocks.squeeze(value[x:y]) for x, y in zip(cut[:-1], cut[1:])], pa.binary())], ["block", "bucket", "totals"])
 
 
 def _joined(w: _text.Words, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -49,20 +95,20 @@ def _joined(w: _text.Words, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, np.concatenate([[0], end])[before]
 
 
-def _finish(part: pa.Table, answers: pa.Table, k: int, seed: int, with_text: bool) -> pa.Table:
+def _finish(part: pa.Table, answers: pa.Table, k: int, with_text: bool) -> pa.Table:
     text = part.column("text").combine_chunks()
-    w, h, at, key = _windows(text, k, seed)
-    known, _ = _blocks.distinct(key)
-    totals = _blocks.totals_of(answers)
-    known, totals = known[totals > 1], totals[totals > 1]
-    place = np.minimum(np.searchsorted(known, key), max(0, len(known) - 1))
-    hit = known[place] == key if len(known) else np.zeros(len(key), bool)
-    at, key, count = at[hit], key[hit], totals[place[hit]]
+    w, other, at, key, second = _windows(text, k)
+    order, _, _, first = _sorted(key, second)
+    count = np.empty(len(key), np.int64)
+    count[order] = _blocks.totals_of(answers)[np.cumsum(first) - 1] if len(key) else 0
+    del order, first, second, _
+    hit = count > 1
+    at, key, count = at[hit], key[hit], count[hit]
     new = np.concatenate([[True], (np.diff(at) != 1) | (np.diff(count) != 0)]) if len(at) else np.zeros(0, bool)
     head = np.flatnonzero(new)
     length = np.diff(np.append(head, len(at))) + k - 1
-    check = _text.hash_spans(_text.hash_words(w, seed + 101), at[head], length) if len(head) else key[:0]
-    change = np.zeros(len(h) + 1, np.int64)
+    check = _text.hash_spans(other, at[head], length) if len(head) else key[:0]
+    change = np.zeros(len(other) + 1, np.int64)
     np.add.at(change, at[head], 1)
     np.add.at(change, at[head] + length, -1)
     keep = np.cumsum(change[:-1]) == 0
@@ -86,26 +132,28 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``kept_text`` is the text itself where nothing goes, else the kept words joined by one space.
     """
     blocked, n = _blocks.deal(docs, id_col, text_col, carry, block_bytes)
-    for seed in range(4):
-        answers = _blocks.count_hashes(blocked, lambda column, seed=seed: _windows(column, k, seed)[3], n)
-        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in blocked.schema.fields if f.name not in ("block", "text"))
-        schema = f"{kinds}, n_words long, n_removed long, kept_sha256 string, spans {SPANS}" + ", kept_text string" * with_text
-        done = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_finisher(k, seed, with_text), schema)
-        done = materialise(done)
-        if paths(done).filter("not same_words").isEmpty():
-            return done
-    raise RuntimeError("window hashes met four times over")
 
+    def emit(part: pa.Table) -> pa.Table:
+        _, _, _, key, second = _windows(part.column("text"), k)
+        return _send(part.column("block")[0].as_py(), key, second, n)
 
-def _finisher(k: int, seed: int, with_text: bool):
-    return lambda part, answers: _finish(part, answers, k, seed, with_text)
+    # All columns go along, so that this and the cogroup share one shuffle of the texts.
+    answers = blocked.groupBy("block").applyInArrow(emit, SENT).groupBy("bucket").applyInArrow(_answer, _blocks.ANSWER)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in blocked.schema.fields if f.name not in ("block", "text"))
+    schema = f"{kinds}, n_words long, n_removed long, kept_sha256 string, spans {SPANS}" + ", kept_text string" * with_text
+    whole = blocked.groupBy("block").cogroup(answers.groupBy("block"))
+    return materialise(whole.applyInArrow(lambda part, answer: _finish(part, answer, k, with_text), schema))
 
 
 def paths(done: DataFrame) -> DataFrame:
-    """One row per repeated path: (path, length, count, places, same_words, branching)."""
+    """One row per repeated path: (path, length, count, places, same_words, branching).
+
+    Where paths of one first edge and length go on in different words, each is a row and ``same_words`` is false.
+    """
     spans = done.select(F.explode("spans").alias("s")).select("s.*")
-    by = spans.groupBy("path", "length").agg(F.max("count").alias("count"), F.count("*").alias("places"), F.min("check").alias("low"), F.max("check").alias("high"))
-    return by.select("path", "length", "count", "places", (F.col("low") == F.col("high")).alias("same_words"), (F.col("places") < F.col("count")).alias("branching"))
+    by = spans.groupBy("path", "length", "check").agg(F.max("count").alias("count"), F.count("*").alias("places"))
+    alike = by.groupBy("path", "length").agg((F.count("*") == 1).alias("same_words"))
+    return by.join(alike, ["path", "length"]).select("path", "length", "count", "places", "same_words", (F.col("places") < F.col("count")).alias("branching"))
 
 
 def digest(docs: DataFrame) -> DataFrame:

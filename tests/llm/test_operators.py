@@ -8,9 +8,11 @@ import struct
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from corvane.llm import jaccard, language, mixing, packing, preference, quality, scoring, substring, tokens, topk
+from corvane.llm import _blocks, jaccard, language, mixing, packing, preference, quality, scoring, substring, tokens, topk
 from corvane.llm.queries import oracle_sql, queries
 from tests._sql import SMALL, connect, same
 
@@ -225,6 +227,20 @@ def test_substring(docs):
     assert substring.paths(done).filter("not same_words").count() == 0
 
 
+def test_substring_branches_and_meeting_hashes(spark):
+    """Paths that part after an edge all counted twice are no error, and edges that meet in one hash stay apart."""
+    p = [f"p{i}" for i in range(35)]
+    texts = [p + ["a"], p + ["b"], p[1:] + ["a"], p[1:] + ["b"], p[:34]]
+    done = substring.remove_repeats(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string"), block_bytes=200)
+    assert ordered((r.id, r.n_removed) for r in done.collect()) == [(0, 36), (1, 36), (2, 35), (3, 35), (4, 0)]
+    assert sorted((r.length, r["count"], r.places, r.same_words, r.branching) for r in substring.paths(done).collect()) == [(35, 2, 1, True, True)] * 2 + [(36, 2, 1, False, True)] * 2
+    key, second = np.array([9, 5, 5, 5, 5], np.uint64), np.array([1, 3, 2, 3, 1], np.uint32)
+    sent = [substring._send(b, key[i], second[i], 1) for b, i in ((0, slice(0, 3)), (1, slice(3, 5)))]
+    answer = substring._answer(pa.concat_tables(sent))
+    # block 0 has (5, 2), (5, 3), (9, 1), block 1 has (5, 1), (5, 3)
+    assert [_blocks.spread(x).tolist() for x in answer.column("totals").to_pylist()] == [[0, 2, 0], [0, 2]]
+
+
 # 6 ---------------------------------------------------------------------------
 
 def test_preference(spark):
