@@ -14,7 +14,7 @@ conversation id or turn take no part; an empty table gives an empty result; only
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -54,6 +54,27 @@ def digest(conversations: DataFrame) -> DataFrame:
     return format_pairs(conversations, F.floor(F.col("conv_id") / 2), F.col("conv_id") % 2 == 0)
 
 
+def with_other_answers(conversations: DataFrame, ring: int = 1000) -> DataFrame:
+    """(conv_id, turn, role, text, chosen): each conversation, and as its rejected side the same turns with another conversation's last answer in place of its own.
+
+    Conversations with an answer stand in rings of about ``ring``, by hashes of their ids, and each takes the next
+    one's; one without an answer, or with the only one, is its own rejected side.
+    """
+    rows = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").filter("conv_id is not null and turn is not null")
+    # Of several rows of the last answer's turn the smallest text stands.
+    last = rows.filter("role = 'assistant'").groupBy("conv_id").agg(F.min(F.struct((-F.col("turn")).alias("back"), F.coalesce("text", F.lit("")).alias("text"))).alias("a"))
+    last = last.select("conv_id", (-F.col("a.back")).alias("turn"), F.col("a.text").alias("text"), F.xxhash64("conv_id").alias("h"))
+    order = Window.partitionBy(F.pmod("h", F.lit(1 + last.count() // ring))).orderBy("h", "conv_id")
+    other = last.select("conv_id", "turn", F.lit("assistant").alias("role"), F.coalesce(F.lead("text").over(order), F.first("text").over(order)).alias("text"))
+    rejected = rows.join(last.select("conv_id", "turn"), ["conv_id", "turn"], "left_anti").unionByName(other)
+    return rows.withColumn("chosen", F.lit(True)).unionByName(rejected.withColumn("chosen", F.lit(False)))
+
+
+def digest_shared(conversations: DataFrame) -> DataFrame:
+    """Every conversation against itself with another last answer: the turns before that answer are the prompt."""
+    return format_pairs(with_other_answers(conversations), F.col("conv_id"), F.col("chosen"))
+
+
 ORACLE_SQL = """
 WITH t AS (
   SELECT conv_id // 2 AS pair_id, conv_id % 2 = 0 AS chosen, turn, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said

@@ -254,6 +254,26 @@ def test_preference(spark):
     assert by[1].prompt == "" and by[3].chosen == "" and by[3].prompt == "<|user|>\ns\n"
 
 
+def test_preference_shared_prompts(spark):
+    """Over all conversations of a table: what comes before the last answer is the prompt, and the other answer is another conversation's."""
+    rows = spark.read.parquet(f"{SMALL}/conversations.parquet").collect()
+    talks = {i: sorted((r.turn, r.role, r.text) for r in rows if r.conv_id == i) for i in {r.conv_id for r in rows}}
+    last = {i: max(t for t in talk if t[1] == "assistant") for i, talk in talks.items() if any(t[1] == "assistant" for t in talk)}
+    show = lambda turns: "".join(f"<|{role}|>\n{text}\n" for _, role, text in turns)
+    got = preference.assemble(queries()["op6_preference_shared"](spark, SMALL)).collect()
+    assert len(got) == len(talks)
+    used = []
+    for r in got:
+        talk = talks[r.pair_id]
+        cut = last[r.pair_id][0] if r.pair_id in last else math.inf
+        assert r.prompt == show(t for t in talk if t[0] < cut) and r.chosen == show(t for t in talk if t[0] >= cut)
+        if r.pair_id in last:
+            tail = show(t for t in talk if t[0] > cut)
+            assert r.rejected.endswith(tail) and r.rejected != r.chosen and r.rejected_turns[0].trained and r.chosen_turns[0].trained
+            used.append(r.rejected.removesuffix(tail))
+    assert sorted(used) == sorted(show([t]) for t in last.values()) and any(r.prompt and r.chosen for r in got)
+
+
 # 7 ---------------------------------------------------------------------------
 
 def test_language(spark, docs):
