@@ -3,6 +3,10 @@
 A word is a maximal run of bytes other than space and \\t..\\r, which in UTF-8 is the
 same as the pattern ``[^\\x20\\x09-\\x0D]+``. Every function works on a whole Arrow
 chunk at once; a null text counts as an empty one.
+
+Hashes are 64 bits and not linear: every eight bytes of a word, and every word of a window, go through
+a mixing function together with their place before they are put together, so no two
+patterns of letters or words meet by construction, whatever the seed.
 """
 
 from __future__ import annotations
@@ -18,8 +22,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _U = np.uint64
 _STEP = 0x9E3779B97F4A7C15
-#: Hash steps are odd, so they have an inverse modulo 2**64.
-_R_BYTE, _R_WORD = 0xD1342543DE82EF95, 0xAF251AF3B0F025B5
+_R_WORD = 0xAF251AF3B0F025B5
+#: Bytes of text that a kernel takes at a time; it needs some ten times as much memory.
+SLICE_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -29,24 +34,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    p = np.full(n + 1, _U(base))
-    p[0] = 1
-    return np.multiply.accumulate(p)
-
-
-PART = 1 << 18
-_kept: dict[int, np.ndarray] = {}
-
-
-def _byte_powers(base: int, n: int) -> np.ndarray:
-    if n > PART * 2:
-        return powers(base, n)
-    if base not in _kept:
-        _kept[base] = powers(base, PART * 2)
-    return _kept[base]
-
-
 class Words(NamedTuple):
     """Words of a chunk of documents; ``ends`` are exclusive byte places in ``buf``."""
 
@@ -89,36 +76,63 @@ def split_words(column: pa.Array, lower: bool = False) -> Words:
     return Words(_LOWER[buf] if lower else buf, starts, ends, np.searchsorted(starts, off))
 
 
-def hash_words(w: Words, seed: int = 0) -> np.ndarray:
-    """A 64-bit hash of each word's bytes. Some words at a time: arrays of eight bytes a byte stay small."""
-    table = mix(np.arange(1, 257, dtype=np.uint64) * _U(_STEP) + _U(seed * 7919 + 1))
-    out = np.empty(len(w.starts), np.uint64)
-    a = 0
-    while a < len(out):
-        low = w.starts[a]
-        b = max(a + 1, int(np.searchsorted(w.starts, low + PART)))
-        start, end = w.starts[a:b] - low, w.ends[a:b] - low
-        n = int(end[-1])
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(table[w.buf[low : low + n]] * _byte_powers(_R_BYTE, n)[:n], out=total[1:])
-        out[a:b] = (total[end] - total[start]) * _byte_powers(pow(_R_BYTE, -1, 2**64), n)[start] + (end - start).astype(np.uint64) * _U(_STEP)
-        a = b
-    return mix(out)
+def _reduce(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values, first) if len(first) else values[:0]
+
+
+def hash_words(w: Words, *seeds: int) -> np.ndarray:
+    """A 64-bit hash of each word's bytes; a word has at least one. With several seeds a row for each, of independent hashes."""
+    size = w.ends - w.starts
+    parts = (size + 7) // 8
+    first = np.cumsum(parts) - parts
+    at = np.arange(int(parts.sum())) - np.repeat(first, parts)
+    left = np.repeat(size, parts) - 8 * at
+    padded = np.concatenate([w.buf, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+    value = eight[np.repeat(w.starts, parts) + 8 * at]
+    short = left < 8
+    value[short] &= (_U(1) << (left[short].astype(np.uint64) * _U(8))) - _U(1)
+    at, last, out = at.astype(np.uint64) * _U(_STEP), size.astype(np.uint64) * _U(_STEP), []
+    for seed in seeds or (0,):
+        salt = mix(at + _U(seed * 7919 + 1))
+        out.append(mix(_reduce(mix(value ^ salt) * _U(_R_WORD) + mix(value + salt), first) + last))
+    return np.stack(out) if len(seeds) > 1 else out[0]
 
 
 def hash_windows(h: np.ndarray, k: int) -> np.ndarray:
     """A hash of the ``k`` words from each place on; the last ``k - 1`` places have none."""
     if len(h) < k:
         return np.zeros(0, np.uint64)
-    return hash_spans(h, np.arange(len(h) - k + 1), np.full(len(h) - k + 1, k))
+    n, out, done, part, size = len(h) - k + 1, None, 0, h, 1
+    while True:  # windows of a power of two words each, put together by the bits of k
+        if k & size:
+            piece = part[done : done + n]
+            out = piece if out is None else mix(out * _U(_R_WORD) + piece + _U(size))
+            done += size
+        if done == k:
+            return mix(out + _U(k))
+        part = mix(part[: len(part) - size] * _U(_R_WORD) + (part[size:] ^ _U(_STEP)) + _U(size))
+        size *= 2
 
 
 def hash_spans(h: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    n = len(h)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(h * powers(_R_WORD, n)[:n], out=total[1:])
-    back = powers(pow(_R_WORD, -1, 2**64), n)
-    return mix((total[start + length] - total[start]) * back[start] + length.astype(np.uint64))
+    """A hash of the ``length`` words, at least one, from each ``start``."""
+    first = np.cumsum(length) - length
+    at = np.arange(int(length.sum())) - np.repeat(first, length)
+    value = h[np.repeat(start, length) + at]
+    salt = mix(at.astype(np.uint64) * _U(_STEP) + _U(3))
+    return mix(_reduce(mix(value ^ salt) * _U(_R_WORD) + mix(value + salt), first) + length.astype(np.uint64))
+
+
+def window_min(x: np.ndarray, k: int) -> np.ndarray:
+    """The least of the ``k`` values from each place on."""
+    n, size = len(x) - k + 1, 1
+    if n <= 0:
+        return x[:0]
+    while size * 2 <= k:
+        x = np.minimum(x[: len(x) - size], x[size:])
+        size *= 2
+    return np.minimum(x[:n], x[k - size : k - size + n])
 
 
 def inside(w: Words, k: int) -> np.ndarray:
@@ -127,7 +141,7 @@ def inside(w: Words, k: int) -> np.ndarray:
     return np.flatnonzero(doc[: len(doc) - k + 1] == doc[k - 1 :]) if len(doc) >= k else np.zeros(0, np.int64)
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
+def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES):
     """Row slices of about ``most`` bytes of text each; a longer text stands alone."""
     _, off = text_bytes(batch.column(column))
     at = 0

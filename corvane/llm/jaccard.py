@@ -66,12 +66,20 @@ def _low(key: np.ndarray) -> int:
 
 
 def _describe(part: pa.Table, answers: pa.Table, k: int, percent: int) -> pa.Table:
-    key, doc, n_docs = _sets(part.column("text"), k)
+    ids, keys, found, n_docs = [], [], [], 0
+    for rows in _blocks.chunks(part):
+        key, doc, n = _sets(rows.column("text"), k)
+        found.append((key, doc + n_docs))
+        ids.append(rows.column("id"))
+        keys.append(rows.column("carry_0"))
+        n_docs += n
+    key, doc = (np.concatenate(x) for x in zip(*found))
     n = np.bincount(doc, minlength=n_docs)
-    low = _low(key)
-    known, _ = _blocks.distinct(key[:low])
-    df = np.concatenate([_blocks.totals_of(answers)[np.searchsorted(known, key[:low])] if low else np.zeros(0, np.int64), np.full(len(key) - low, 1 << 62)])
     # answers hold 0 for what occurs once
+    counted = np.flatnonzero(key < np.uint64(int(COUNTED * 2**64)))
+    df = np.full(len(key), 1 << 62)
+    if len(counted):
+        df[counted] = _blocks.totals_of(answers)[_blocks.group(key[counted])[1]]
     order = np.lexsort((key, df, doc))
     key, df, doc = key[order], df[order], doc[order]
     first = np.searchsorted(doc, np.arange(n_docs + 1))
@@ -90,19 +98,21 @@ def _describe(part: pa.Table, answers: pa.Table, k: int, percent: int) -> pa.Tab
         seen.add(c)
     token, pos = pa.array(key[keep].view(np.int64)), pa.array(pos[keep].astype(np.int32))
     prefix = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.StructArray.from_arrays([token, pos], ["token", "pos"]))
-    held = np.array([x is not None for x in sets])
-    sketch = np.zeros((n_docs, BITS), np.uint8)
-    sketch[doc, (key >> np.uint64(7)) % np.uint64(BITS)] = 1
-    words = np.packbits(sketch, axis=1).view(np.int64)[held].ravel()
+    held = np.array([x is not None for x in sets], bool)
+    row = np.cumsum(held) - 1
+    mine = held[doc]
+    sketch = np.zeros((int(held.sum()), BITS), np.uint8)
+    sketch[row[doc[mine]], (key[mine] >> np.uint64(7)) % np.uint64(BITS)] = 1
+    words = np.packbits(sketch, axis=1).view(np.int64).ravel()
     bits = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(held * (BITS // 64))]).astype(np.int32)), pa.array(words))
     block = part.column("block")[0].as_py()
-    return pa.Table.from_arrays([part.column("id").combine_chunks(), part.column("carry_0").combine_chunks(), pa.array((block << 32) + np.arange(n_docs)), pa.array(n), pa.array(cls, pa.binary()), prefix, pa.array(sets, pa.binary()), bits], ["id", "key", "holder", "n", "cls", "prefix", "shingles", "bits"])
+    return pa.Table.from_arrays([pa.concat_arrays(ids), pa.concat_arrays(keys), pa.array((block << 32) + np.arange(n_docs)), pa.array(n), pa.array(cls, pa.binary()), prefix, pa.array(sets, pa.binary()), bits], ["id", "key", "holder", "n", "cls", "prefix", "shingles", "bits"])
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, block_bytes: int) -> DataFrame:
     """``SETS``: ``key`` is a hash of the text; ``cls`` names equal sets; class, prefix and set are only there where a link can be."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(F.col(f"`{text_col}`")).alias("key"))
-    blocked, n = _blocks.deal(rows, "id", "text", ("key",), block_bytes)
+    blocked, n, _ = _blocks.deal(rows, "id", "text", ("key",), block_bytes)
 
     def counted(column) -> np.ndarray:
         key, _, _ = _sets(column, k)
@@ -254,9 +264,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     stay = stay.unionAll(sets.filter(F.col("cls").isNull()).select("id", "key").distinct())
     # An id as a text is never empty, so that stands for no id and the join needs no special equality.
     named = lambda c: F.coalesce(c.cast("long").cast("string"), F.lit(""))
-    stay = materialise(stay.select(named(F.col("id")).alias("_id_"), F.col("key").alias("_key_")))
-    hashed = docs.withColumns({"_id_": named(F.col(f"`{id_col}`")), "_key_": F.xxhash64(F.col(f"`{text_col}`"))})
-    return hashed.join(stay, ["_id_", "_key_"], "left_semi").dropDuplicates(["_id_", "_key_"]).drop("_id_", "_key_")
+    stay = materialise(stay.select(F.struct(named(F.col("id")).alias("i"), F.col("key").alias("k")).alias("which")))
+    rows = docs.select(F.struct(named(F.col(f"`{id_col}`")).alias("i"), F.xxhash64(F.col(f"`{text_col}`")).alias("k")).alias("which"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return rows.join(stay, "which", "left_semi").dropDuplicates(["which"]).select("row.*")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -1,12 +1,20 @@
 """Removing long repeated passages with a compacted de Bruijn graph of words.
 
-Each window of ``k`` words is an edge from its first ``k - 1`` words to its last. An edge is named by
-a 64-bit hash and 32 bits of a second one with other word hashes; edges are joined and counted over the
-corpus by both, so windows that meet in the first hash alone fall apart. Those that occur once
-are of no more interest. In a document, neighbouring repeated edges of equal count make
-up a path, kept as its first edge's hash, its length, a hash of all its words and the place
-where it stands. A path that stands at as many places as its edges were counted has no
-branching node. Every word of a path goes.
+Nodes are the ``k - 1``-word strings of all texts, edges the windows of ``k`` words between them. An edge that
+stands at two places or more is repeated; all words of repeated edges go. The graph is built and compacted
+bucket by bucket:
+
+1. A node belongs to the bucket of its least ``ANCHOR``-word hash, so wherever it stands it falls into the same bucket.
+   Neighbouring nodes of one bucket make up a run; a run is told by a second, independent hash of all its edges,
+   those into its first and out of its last node included. Spark adds up the runs of each bucket. Where all runs
+   are alike, every node in them has one edge in and one out, so each run is a piece of a nonbranching path, and it is
+   repeated if there are two or more. Buckets with one run hold nothing repeated. Neither needs its edges one by one.
+2. The other buckets' nodes become rows (node, edge in, edge out). Spark counts the edges, by two independent
+   hashes, and the degrees of the nodes; both are joined back to the blocks of texts that asked.
+3. Each text's repeated edges compact to paths, cut at nodes that branch or end anywhere. Each path is kept as a span
+   of source coordinates with a hash of all its words; ``paths`` holds the places of a path against each other.
+
+Only about one row in ten words is shuffled in step 1, and in step 2 those around the ends of repeats.
 
 Defined results: a null or empty text has no words and nothing to remove; texts under ``k``
 words are left alone; equal rows repeat each other like any other texts; a null id is passed
@@ -19,69 +27,119 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm import _blocks, _text
 from corvane.llm._storage import materialise
 
-SENT = "block long, bucket long, hashes binary, seconds binary, counts binary"
-SPANS = "array<struct<start:long,length:long,count:long,path:long,check:long>>"
-
-
-def _windows(column, k: int):
-    """Words, their second hashes, the places of the windows, and each window's hash and second hash."""
-    w = _text.split_words(column)
-    other = _text.hash_words(w, 1)
-    at = _text.inside(w, k)
-    if not len(at):
-        return w, other, at, np.zeros(0, np.uint64), np.zeros(0, np.uint32)
-    return w, other, at, _text.hash_windows(_text.hash_words(w), k)[at], (_text.hash_windows(other, k)[at] >> np.uint64(32)).astype(np.uint32)
-
-
-def _sorted(key: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The order by hash and second hash, both in this order, and where each distinct edge begins."""
-    order = np.argsort(key, kind="stable")
-    a, b = key[order], second[order]
-    if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():
-        order = np.lexsort((second, key))
-        a, b = key[order], second[order]
-    return order, a, b, np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, bool)
-
-
-def _gaps(hashes: np.ndarray) -> bytes:
-    """Sorted hashes as the gaps between them, all first bytes, then all second ones and so on: the high bytes are mostly zeros and compress."""
-    return np.diff(hashes, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def _ungapped(data: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
-
-
-def _send(block: int, key: np.ndarray, second: np.ndarray, n_buckets: int) -> pa.Table:
-    """A block's distinct edges and their counts, to the buckets of their hashes."""
-    _, a, b, new = _sorted(key, second)
-    first = np.flatnonzero(new)
-    a, b, counts = a[first], b[first], np.diff(np.append(first, len(key))).astype(np.uint32)
-    cut = _blocks.bucket_edges(a, n_buckets)
-    full = np.flatnonzero(np.diff(cut))
-    binary = lambda x, pack=np.ndarray.tobytes: pa.array([pack(x[cut[i] : cut[i + 1]]) for i in full], pa.binary())
-    return pa.Table.from_arrays([pa.array([block] * len(full), pa.int64()), pa.array(full, pa.int64()), binary(a, _gaps), binary(b), binary(counts)], ["block", "bucket", "hashes", "seconds", "counts"])
-
-
-def _answer(part: pa.Table) -> pa.Table:
-    """To each block, in the order of its edges, the total of each; 0 for what occurs once."""
-    read = lambda c, t: [np.frombuffer(x, t) for x in part.column(c).to_pylist()]
-    hashes = [_ungapped(x) for x in part.column("hashes").to_pylist()]
-    order, _, _, new = _sorted(np.concatenate(hashes), np.concatenate(read("seconds", np.uint32)))
-    totals = np.add.reduceat(np.concatenate(read("counts", np.uint32))[order].astype(np.int64), np.flatnonzero(new))
-    value = np.empty(len(order), np.int64)
-    value[order] = np.where(totals > 1, totals, 0)[np.cumsum(new) - 1]
-    cut = np.cumsum([0, *map(len, hashes)])
-    return pa.Table.from_arrays([part.column("block").combine_chunks(), part.column("bucket").combine_chunks(), pa.array([_blocks.squeeze(value[x:y]) for x, y in zip(cut[:-1], cut[1:])], pa.binary())], ["block", "bucket", "totals"])
-
-
-def _joined(w: _text.Words, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+#: Words of the strings whose hashes choose a node's bucket.
+ANCHOR = 12
+SPANS = "array<struct<start:long,length:long,path:long,check:long>>"
+RUNS = "block long, anchor long, content long, n long, loose boolean"
+NODES = "block long, node long, edge long, second long, prev long, n long"
+#: Kinds of what a block is told: anchors of repeated and of mixed buckets, repeated edges, nodes that cut a path.
+SURE, MIXED, EDGE, CUT = range(4)
+
+
+class Graph:
+    """The nodes, edges and runs of a chunk of texts."""
+
+    def __init__(self, column, k: int, seconds: bool = True):
+        self.w = w = _text.split_words(column)
+        hashes = _text.hash_words(w, 0, 1) if seconds else _text.hash_words(w)[None]
+        self.h, self.k = hashes[0], k
+        self.second = _text.hash_windows(hashes[1], k) if seconds else None
+        m = min(ANCHOR, k - 1)
+        #: whether an edge starts at each word; one more place stands for the word before the first
+        self.edge_at = np.zeros(len(self.h) + 1, bool)
+        self.edge_at[_text.inside(w, k)] = True
+        node = _text.inside(w, k - 1)
+        self.node = node[w.counts[w.doc[node]] >= k] if len(node) else node
+        anchors = _text.hash_windows(self.h, m)
+        low = _text.window_min(anchors, k - m)[self.node] if len(self.node) else anchors[:0]
+        new = np.concatenate([[True], (np.diff(self.node) != 1) | (low[1:] != low[:-1])]) if len(low) else np.zeros(0, bool)
+        self.head = np.flatnonzero(new)
+        self.size = np.diff(np.append(self.head, len(low)))
+        self.anchor = low[self.head]
+        self._anchors, self._reach = anchors, k - 1 - m
+
+    def edges(self) -> np.ndarray:
+        return _text.hash_windows(self.h, self.k)
+
+    def nodes(self) -> np.ndarray:
+        return _text.hash_windows(self.h, self.k - 1)
+
+    def contents(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each run, a hash of its edges in order, and whether its anchor stands in it more than once."""
+        first, last = self.node[self.head], self.node[self.head + self.size - 1]
+        start = first - self.edge_at[first - 1]
+        content = _text.hash_spans(self.second, start, last + self.edge_at[last] - start)
+        size = last - first + self._reach + 1
+        at = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) + np.repeat(first - at, size)
+        same = self._anchors[place] == np.repeat(self.anchor, size)
+        return content, _text._reduce(same.astype(np.int64), at) > 1
+
+    def of_runs(self, chosen: np.ndarray) -> np.ndarray:
+        """The nodes' places in the chosen runs."""
+        return self.node[np.repeat(chosen, self.size)]
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def _summed(keys: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of several keys, and the sums of ``n``."""
+    if not len(n):
+        return keys, n
+    order = np.lexsort(keys[::-1])
+    keys = [x[order] for x in keys]
+    new = np.concatenate([[True], np.any([x[1:] != x[:-1] for x in keys], axis=0)])
+    at = np.flatnonzero(new)
+    return [x[at] for x in keys], np.add.reduceat(n[order], at)
+
+
+def _rows(block: int, names: list[str], keys: list[np.ndarray], n: np.ndarray) -> dict:
+    return {"block": pa.array(np.full(len(n), block, np.int64))} | {c: pa.array(x.view(np.int64)) for c, x in zip(names, keys)} | {"n": pa.array(n)}
+
+
+def _emit_runs(part: pa.Table, k: int) -> pa.Table:
+    found = []
+    for rows in _blocks.chunks(part):
+        g = Graph(rows.column("text"), k)
+        if len(g.head):
+            found.append((g.anchor, *g.contents()))
+    a, c, loose = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool))
+    (a, c, loose), n = _summed([a, c, loose], np.ones(len(a), np.int64))
+    return pa.table(_rows(part.column("block")[0].as_py(), ["anchor", "content"], [a, c], n) | {"loose": pa.array(loose)}).select(["block", "anchor", "content", "n", "loose"])
+
+
+def _told(answers: pa.Table, kind: int) -> np.ndarray:
+    return np.unique(answers.filter(pc.equal(answers.column("kind"), kind)).column("value").to_numpy().view(np.uint64))
+
+
+def _emit_nodes(part: pa.Table, answers: pa.Table, k: int) -> pa.Table:
+    """The nodes of mixed buckets with their edges in and out, 0 for none."""
+    mixed, found = _told(answers, MIXED), [[np.zeros(0, np.uint64)] * 4]
+    for rows in _blocks.chunks(part) if len(mixed) and part.num_rows else ():
+        g = Graph(rows.column("text"), k)
+        at = g.of_runs(_among(g.anchor, mixed))
+        if len(at):
+            edge, here, before = g.edges(), g.edge_at[at], g.edge_at[at - 1]
+            take = lambda x, p, there: np.where(there, x[np.where(there, p, 0)], 0)
+            found.append([g.nodes()[at], take(edge, at, here), take(g.second, at, here), take(edge, at - 1, before)])
+    keys = [np.concatenate(x).astype(np.uint64) for x in zip(*found)]
+    keys, n = _summed(keys, np.ones(len(keys[0]), np.int64))
+    block = part.column("block")[0].as_py() if part.num_rows else 0
+    return pa.table(_rows(block, ["node", "edge", "second", "prev"], keys, n))
+
+
+def _joined(w: _text.Words, keep: np.ndarray) -> tuple[bytes, np.ndarray]:
     """Kept words of all documents, each followed by a space, and each document's place therein."""
     start, size = w.starts[keep], w.ends[keep] - w.starts[keep] + 1
     end = np.cumsum(size)
@@ -92,38 +150,41 @@ def _joined(w: _text.Words, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         body[end - 1] = False
         out[body] = w.buf[source[body]]
     before = np.concatenate([[0], np.cumsum(keep)])[w.first]
-    return out, np.concatenate([[0], end])[before]
-
-
-def _finish(part: pa.Table, answers: pa.Table, k: int, with_text: bool) -> pa.Table:
-    text = part.column("text").combine_chunks()
-    w, other, at, key, second = _windows(text, k)
-    order, _, _, first = _sorted(key, second)
-    count = np.empty(len(key), np.int64)
-    count[order] = _blocks.totals_of(answers)[np.cumsum(first) - 1] if len(key) else 0
-    del order, first, second, _
-    hit = count > 1
-    at, key, count = at[hit], key[hit], count[hit]
-    new = np.concatenate([[True], (np.diff(at) != 1) | (np.diff(count) != 0)]) if len(at) else np.zeros(0, bool)
-    head = np.flatnonzero(new)
+    return out.tobytes(), np.concatenate([[0], end])[before]
+
+
+def _finish(rows: pa.RecordBatch, sure: np.ndarray, repeated: np.ndarray, cuts: np.ndarray, k: int, with_text: bool) -> pa.Table:
+    text = rows.column("text")
+    g = Graph(text, k, seconds=False)
+    w, edge = g.w, g.edges()
+    hit = np.zeros(len(g.edge_at), bool)
+    hit[g.of_runs(_among(g.anchor, sure))] = True
+    at = np.flatnonzero(g.edge_at)
+    hit[at] |= _among(edge[at], repeated)
+    hit &= g.edge_at
+    at = np.flatnonzero(hit)
+    cut = np.concatenate([[True], np.diff(at) != 1]) if len(at) else np.zeros(0, bool)
+    if len(at):
+        cut |= _among(g.nodes()[at], cuts)
+    head = np.flatnonzero(cut)
     length = np.diff(np.append(head, len(at))) + k - 1
-    check = _text.hash_spans(other, at[head], length) if len(head) else key[:0]
-    change = np.zeros(len(other) + 1, np.int64)
-    np.add.at(change, at[head], 1)
-    np.add.at(change, at[head] + length, -1)
+    start = at[head]
+    check = _text.hash_spans(_text.hash_words(w, 1), start, length) if len(head) else edge[:0]
+    change = np.zeros(len(g.h) + 1, np.int64)
+    np.add.at(change, start, 1)
+    np.add.at(change, start + length, -1)
     keep = np.cumsum(change[:-1]) == 0
-    out, cut = _joined(w, keep)
-    n, raw = w.counts, out.tobytes()
+    raw, place = _joined(w, keep)
     removed = np.diff(np.concatenate([[0], np.cumsum(~keep)])[w.first])
-    kept = [raw[a : max(a, b - 1)] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
-    owner = np.searchsorted(w.first, at[head], side="right") - 1
-    offsets = np.searchsorted(owner, np.arange(len(n) + 1)).astype(np.int32)
-    spans = pa.StructArray.from_arrays([pa.array(x.astype(np.int64)) for x in (at[head] - w.first[owner], length, count[head], key[head].view(np.int64), check.view(np.int64))], ["start", "length", "count", "path", "check"])
-    columns = {c: part.column(c).combine_chunks() for c in part.schema.names if c not in ("block", "text")}
-    columns |= {"n_words": pa.array(n), "n_removed": pa.array(removed), "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept]), "spans": pa.ListArray.from_arrays(pa.array(offsets), spans)}
+    kept = [raw[a : max(a, b - 1)] for a, b in zip(place[:-1].tolist(), place[1:].tolist())]
+    owner = np.searchsorted(w.first, start, side="right") - 1
+    offsets = np.searchsorted(owner, np.arange(len(w.first))).astype(np.int32)
+    spans = pa.StructArray.from_arrays([pa.array(x.astype(np.int64)) for x in (start - w.first[owner], length, edge[start].view(np.int64), check.view(np.int64))], ["start", "length", "path", "check"])
+    columns = {c: rows.column(c) for c in rows.schema.names if c != "text"}
+    columns |= {"n_words": pa.array(w.counts), "n_removed": pa.array(removed), "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()), "spans": pa.ListArray.from_arrays(pa.array(offsets), spans)}
     if with_text:
-        columns["kept_text"] = pa.array([x.decode() if r else t for x, r, t in zip(kept, removed.tolist(), text.to_pylist())], pa.string())
-    return pa.Table.from_pydict(columns)
+        columns["kept_text"] = pc.if_else(pa.array(removed > 0), pa.array(kept, pa.binary()).cast(pa.string()), text.cast(pa.string()))
+    return pa.table(columns)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 35, carry: tuple[str, ...] = (), with_text: bool = False, block_bytes: int = _blocks.BLOCK_BYTES) -> DataFrame:
@@ -131,29 +192,38 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     ``kept_text`` is the text itself where nothing goes, else the kept words joined by one space.
     """
-    blocked, n = _blocks.deal(docs, id_col, text_col, carry, block_bytes)
-
-    def emit(part: pa.Table) -> pa.Table:
-        _, _, _, key, second = _windows(part.column("text"), k)
-        return _send(part.column("block")[0].as_py(), key, second, n)
-
-    # All columns go along, so that this and the cogroup share one shuffle of the texts.
-    answers = blocked.groupBy("block").applyInArrow(emit, SENT).groupBy("bucket").applyInArrow(_answer, _blocks.ANSWER)
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in blocked.schema.fields if f.name not in ("block", "text"))
-    schema = f"{kinds}, n_words long, n_removed long, kept_sha256 string, spans {SPANS}" + ", kept_text string" * with_text
-    whole = blocked.groupBy("block").cogroup(answers.groupBy("block"))
-    return materialise(whole.applyInArrow(lambda part, answer: _finish(part, answer, k, with_text), schema))
+    blocked, _, kinds = _blocks.deal(docs, id_col, text_col, carry, block_bytes)
+    by_block = blocked.groupBy("block")
+    runs = by_block.applyInArrow(lambda part: _emit_runs(part, k), RUNS)
+    buckets = runs.groupBy("anchor").agg(F.sum("n").alias("total"), (F.min("content") != F.max("content")).alias("differ"), F.max("loose").alias("loose")).filter("total > 1 or loose")
+    state = F.when(F.col("differ") | F.col("loose"), MIXED).otherwise(SURE)
+    known = runs.select("block", "anchor").join(buckets.select("anchor", state.alias("kind")), "anchor").select("block", "kind", F.col("anchor").alias("value"))
+    nodes = by_block.cogroup(known.groupBy("block")).applyInArrow(lambda part, told: _emit_nodes(part, told, k), NODES)
+    twice = nodes.filter("edge <> 0").groupBy("edge", "second").agg(F.sum("n").alias("total")).filter("total > 1").select("edge", "second")
+    repeated = nodes.select("block", "edge", "second").join(twice, ["edge", "second"], "left_semi").select("block", F.lit(EDGE).alias("kind"), F.col("edge").alias("value"))
+    # A node of one edge in and one out has the same two wherever it stands; 0 is the end of a text.
+    forks = nodes.groupBy("node").agg(F.sum("n").alias("total"), F.min("prev").alias("p0"), F.max("prev").alias("p1"), F.min("edge").alias("e0"), F.max("edge").alias("e1"))
+    forks = forks.filter("total > 1 and (p0 <> p1 or e0 <> e1)").select("node")
+    cuts = nodes.select("block", "node").distinct().join(forks, "node", "left_semi").select("block", F.lit(CUT).alias("kind"), F.col("node").alias("value"))
+    answers = known.unionAll(repeated).unionAll(cuts)
+    schema = ", ".join(x for x in kinds.split(", ") if not x.startswith("text ")) + f", n_words long, n_removed long, kept_sha256 string, spans {SPANS}" + ", kept_text string" * with_text
+
+    def finish(part: pa.Table, told: pa.Table) -> pa.Table:
+        sure, repeats, forked = (_told(told, x) for x in (SURE, EDGE, CUT))
+        return pa.concat_tables([_finish(rows, sure, repeats, forked, k, with_text) for rows in _blocks.chunks(part)])
+
+    return materialise(by_block.cogroup(answers.groupBy("block")).applyInArrow(finish, schema))
 
 
 def paths(done: DataFrame) -> DataFrame:
-    """One row per repeated path: (path, length, count, places, same_words, branching).
+    """One row per repeated path: (path, length, places, same_words), from the source coordinates of ``remove_repeats``.
 
-    Where paths of one first edge and length go on in different words, each is a row and ``same_words`` is false.
+    ``path`` is the hash of the first edge. Every place of a path has the same words, so its hash of all words is one
+    and it stands at two places or more; a row that says otherwise would come of hashes that meet.
     """
     spans = done.select(F.explode("spans").alias("s")).select("s.*")
-    by = spans.groupBy("path", "length", "check").agg(F.max("count").alias("count"), F.count("*").alias("places"))
-    alike = by.groupBy("path", "length").agg((F.count("*") == 1).alias("same_words"))
-    return by.join(alike, ["path", "length"]).select("path", "length", "count", "places", "same_words", (F.col("places") < F.col("count")).alias("branching"))
+    by = spans.groupBy("path", "length").agg(F.count("*").alias("places"), (F.min("check") == F.max("check")).alias("same_words"))
+    return by.select("path", "length", "places", "same_words")
 
 
 def digest(docs: DataFrame) -> DataFrame:
