@@ -1,14 +1,21 @@
-"""Language-model scores by a weighted backoff automaton over word bigrams.
+"""Language-model scores by a weighted backoff automaton over words, of order three.
 
-States are the words that training texts contain, and the start of a text; an arc from a state
-is a word that followed it in training, and a failure arc leads to the root, whose arcs are single words.
-With c(u) the times a state was left, c(uw) the times by w, and m(u) = a * c(u) ** b, the arc
-weighs (c(uw) + m(u) p(w)) / (c(u) + m(u)), the failure arc m(u) / (c(u) + m(u)), and the
-root's arc p(w) = (c(w) + 1) / (N + V + 1), so that each state's weights add up to one. A text is
-read once from left to right; each token moves to the next state and adds one log weight.
+States are the root, each word of the training texts and the start of a text, and each pair of words that
+follow each other ``least`` times or more in training. An arc reads a word that followed the state in training; where there is none,
+a failure arc leads to the state of the shorter context, in the end to the root, whose arcs read any word. With
+c the counts in training, N the tokens and V the distinct ones, arcs weigh
 
-The automaton is nowhere held as a whole. Documents lie in blocks; each block asks for the
-counts of just the words and pairs that its texts contain, and is answered bucket by bucket.
+    root      p(w) = (c(w) + 1) / (N + V + 1)
+    word v    p(w | v) = (c(vw) + a p(w)) / (c(v) + a),         failure arc  a / (c(v) + a)
+    pair uv   p(w | uv) = (c(uvw) + a p(w | v)) / (c(uv) + a),  failure arc  a / (c(uv) + a)
+
+so each state's weights add up to one, whatever comes. A text is read once from left to right;
+each token takes its arc, after as many failure arcs as it needs, adds the log weights and moves on to the
+state that the arc leads to.
+
+The automaton is nowhere held as a whole. Documents lie in blocks; each block asks for the counts of just the
+words and pairs that its texts contain, then for those of the triples whose pair is a state, is answered bucket by
+bucket, and builds the part of the automaton that its texts run through. All its texts are read side by side, one token each at a time.
 
 Defined results: a null or empty text has one token, the end; a document with a null id counts
 as one with an empty id; repeated rows are counted and scored each; with no training text all counts are 0 and N = V = 0;
@@ -19,90 +26,189 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm import _blocks, _text
-from corvane.llm._blocks import ANSWER, SENT
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 _END, _START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _ONE = np.uint64(1)
-
-
-def _tokens(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all tokens, of the states before them, and each document's first token."""
-    w = _text.split_words(column, lower=True)
-    h = np.insert(_text.hash_words(w), w.first[1:], _END)
-    first = w.first + np.arange(len(w.first))
-    state = np.empty_like(h)
-    state[1:] = h[:-1]
-    state[first[:-1]] = _START
-    return h, state, first
-
-
-def _word_key(h: np.ndarray) -> np.ndarray:
-    return h & ~_ONE
-
-
-def _pair_key(state: np.ndarray, h: np.ndarray) -> np.ndarray:
-    return _text.mix(state * np.uint64(_text._R_WORD) + h) | _ONE
+#: What a block is told: totals in the order of its keys, and the tokens and distinct tokens of the bucket.
+ANSWER = "block long, bucket long, totals binary, n long, v long"
+PAIRS, TRIPLES = 0, 1
 
 
 def held_out(id_col: str, modulus: int, remainder: int):
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(modulus)) == remainder
 
 
-def vocabulary(train: DataFrame, text_col: str, n_buckets: int) -> tuple[int, int]:
-    """Training tokens, and distinct ones."""
-
-    def emit(batches):
-        for batch in batches:
-            for part in _text.slices(batch, "text", BLOCK_BYTES):
-                h, c = _blocks.distinct(_word_key(_tokens(part.column("text"))[0]))
-                yield from _blocks.send(0, h, c, n_buckets).to_batches()
-
-    def total(part: pa.Table) -> pa.Table:
-        _, _, known, totals, _ = _blocks.add_up(part)
-        return pa.table({"n": [int(totals.sum())], "v": [len(known)]})
-
-    sums = train.select(F.col(text_col).cast("string").alias("text")).mapInArrow(emit, SENT).groupBy("bucket").applyInArrow(total, "n long, v long")
-    n, v = sums.agg(F.sum("n"), F.sum("v")).first()
-    return n or 0, v or 0
-
-
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, remainder: int = 2, a: float = 2.0, b: float = 0.9, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return _text.mix(a * np.uint64(_text._R_WORD) + (b ^ np.uint64(_text._STEP)))
+
+
+class Tokens:
+    """All tokens of a block: distinct words and pairs, sorted, and each token's place among them."""
+
+    def __init__(self, part: pa.Table):
+        hashes, lengths, self.ids, self.out = [], [], [], []
+        for rows in _blocks.chunks(part):
+            w = _text.split_words(rows.column("text"), lower=True)
+            hashes.append(np.insert(_text.hash_words(w), w.first[1:], _END))
+            lengths.append(w.counts + 1)
+            self.ids.append(rows.column("id"))
+            self.out.append(rows.column("carry_0"))
+        self.length, h = np.concatenate(lengths), np.concatenate(hashes)
+        del hashes
+        #: each document's first token
+        self.first = np.cumsum(self.length) - self.length
+        before = np.empty_like(h)
+        before[1:] = h[:-1]
+        before[self.first] = _START
+        pairs = _join(before, h)
+        self.triples = np.empty_like(h)
+        self.triples[1:] = _join(pairs[:-1], h[1:] + _ONE)
+        self.begins = np.zeros(len(h), bool)
+        self.begins[self.first] = True
+        # The last bit tells words from pairs, so both lie in one sorted array.
+        self.words, self.word, _ = _blocks.group(h & ~_ONE)
+        self.pairs, self.pair, _ = _blocks.group(pairs | _ONE)
+        self.end = int(np.searchsorted(self.words, _END & ~_ONE))
+
+    @property
+    def trained(self) -> np.ndarray:
+        """1 for tokens of training texts, else 0."""
+        out = np.concatenate([x.to_numpy(zero_copy_only=False).astype(bool) for x in self.out])
+        return np.repeat(~out, self.length).astype(np.int64)
+
+    def keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """Words and pairs, sorted together, and their order."""
+        both = np.concatenate([self.words, self.pairs])
+        order = np.argsort(both)
+        return both[order], order
+
+    def told(self, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Totals of the words and of the pairs."""
+        both = np.empty(len(self.words) + len(self.pairs), np.int64)
+        both[self.keys()[1]] = _blocks.totals_of(answers)
+        return both[: len(self.words)], both[len(self.words) :]
+
+    def open_triples(self, of_pair: np.ndarray, least: int) -> np.ndarray:
+        """Tokens whose two predecessors are a state."""
+        at = np.flatnonzero(~self.begins)
+        return at[of_pair[self.pair[at - 1]] >= least]
+
+
+def _sum(place: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(place, weights=weight, minlength=n).astype(np.int64)
+
+
+def _answer(part: pa.Table) -> pa.Table:
+    """To each block the totals of what it asked, and to all how many tokens, and distinct ones, the bucket has."""
+    blocks, sizes, known, totals, place = _blocks.add_up(part)
+    words = (known & _ONE) == 0
+    n, v = int(totals[words].sum()), int((totals[words] > 0).sum())
+    value, cut, many = totals[place], np.cumsum([0, *sizes]), len(blocks)
+    told = pa.array([_blocks.squeeze(value[a:b]) for a, b in zip(cut[:-1], cut[1:])], pa.binary())
+    return pa.Table.from_arrays([pa.array(blocks, pa.int64()), pa.array([part.column("bucket")[0].as_py()] * many, pa.int64()), told, pa.array([n] * many, pa.int64()), pa.array([v] * many, pa.int64())], ["block", "bucket", "totals", "n", "v"])
+
+
+class Automaton:
+    """States 0 (root), 1 ... (words, then the start of a text) and ``pair0`` ... (pairs); arcs are kept by the words that they read."""
+
+    def __init__(self, t: Tokens, words: np.ndarray, pairs: np.ndarray, triple: np.ndarray, triples: np.ndarray, n: int, v: int, least: int, a: float):
+        """``words``, ``pairs``, ``triples``: counts; ``triple``: each token's triple, -1 for none."""
+        n_words = len(words)
+        self.start, self.pair0 = n_words + 1, n_words + 2
+        # A start is left as often as an end is read.
+        count = np.concatenate([[0], words, [words[t.end]], pairs]).astype(float)
+        self.back = np.log10(a / (count + a))
+        last = np.zeros(len(pairs), np.int64)
+        last[t.pair] = t.word
+        left = np.zeros(len(pairs), np.int64)  # the word, or start, that a pair begins with
+        left[t.pair[1:]] = t.word[:-1] + 1
+        left[t.pair[t.begins]] = self.start
+        word_state = np.where(words > 0, np.arange(1, n_words + 1), 0)
+        self.fail = np.concatenate([np.zeros(n_words + 2, np.int64), word_state[last]])
+        p1 = (words + 1.0) / (n + v + 1.0)
+        c = count[left]
+        p2 = np.where(c > 0, (pairs + a * p1[last]) / (c + a), p1[last])
+        self.reads1, self.reads2 = np.log10(p1), np.log10(p2)
+        self.to_word, self.to_pair = word_state, np.where(pairs >= least, self.pair0 + np.arange(len(pairs)), word_state[last])
+        of = np.zeros(len(triples), np.int64)
+        under = np.zeros(len(triples), np.int64)
+        at = np.flatnonzero(triple >= 0)
+        of[triple[at]], under[triple[at]] = t.pair[at - 1], t.pair[at]
+        self.reads3 = np.log10((triples + a * p2[under]) / (pairs[of] + a)) if len(triples) else np.zeros(0)
+        self.known1, self.known2, self.known3 = words > 0, pairs > 0, triples > 0
+
+    def read(self, t: Tokens, triple: np.ndarray) -> np.ndarray:
+        """Each document's log10 probability."""
+        # Documents by falling length; token i of all that have one lie side by side.
+        by = np.argsort(-t.length, kind="stable")
+        length = t.length[by]
+        alive = len(length) - np.searchsorted(length[::-1], np.arange(int(length[0]) if len(length) else 0), side="right")
+        state, total = np.full(len(by), self.start), np.zeros(len(by))
+        first = t.first[by]
+        none = np.zeros(1, bool)
+        known3, reads3 = np.concatenate([self.known3, none]), np.concatenate([self.reads3, np.zeros(1)])
+        for i, many in enumerate(alive.tolist()):
+            at = first[:many] + i
+            word, pair, three, s = t.word[at], t.pair[at], triple[at], state[:many]
+            on_pair = s >= self.pair0
+            by3 = on_pair & known3[three]
+            down = on_pair & ~by3
+            gain = np.where(by3, reads3[three], np.where(down, self.back[s], 0.0))
+            s = np.where(down, self.fail[s], s)
+            on_word = ~by3 & (s > 0)
+            by2 = on_word & self.known2[pair]
+            gain += np.where(by2, self.reads2[pair], np.where(on_word, self.back[s], 0.0))
+            root = ~by3 & ~by2
+            total[:many] += gain + np.where(root, self.reads1[word], 0.0)
+            state[:many] = np.where(root, self.to_word[word], self.to_pair[pair])
+        out = np.empty(len(by))
+        out[by] = total
+        return out
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, remainder: int = 2, a: float = 1.0, least: int = 2, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row, learning from all that are not held out."""
     marked = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), held_out(f"`{id_col}`", modulus, remainder).alias("held_out"))
-    blocked, n_blocks = _blocks.deal(marked, "id", "text", ("held_out",), block_bytes)
-    n, v = vocabulary(marked.filter("not held_out"), "text", n_blocks)
-
-    def emit(part: pa.Table) -> pa.Table:
-        h, state, first = _tokens(part.column("text"))
-        weight = np.repeat(~part.column("carry_0").to_numpy().astype(bool), np.diff(first)).astype(np.int64)
-        keys, counts = _blocks.distinct(np.concatenate([_word_key(h), _pair_key(state, h)]), np.concatenate([weight, weight]))
-        return _blocks.send(part.column("block")[0].as_py(), keys, counts, n_blocks)
-
-    def walk(part: pa.Table, answers: pa.Table) -> pa.Table:
-        h, state, first = _tokens(part.column("text"))
-        words, pairs = _word_key(h), _pair_key(state, h)
-        keys, totals = np.unique(np.concatenate([words, pairs])), _blocks.totals_of(answers)
-        c = totals[np.searchsorted(keys, words)].astype(float)
-        c_pair = totals[np.searchsorted(keys, pairs)].astype(float)
-        # A state is left as often as its word is read; the start as often as the end is.
-        left = np.empty_like(c)
-        left[1:] = c[:-1]
-        left[first[:-1]] = c[first[1:] - 1]
-        p = (c + 1) / (n + v + 1)
-        m = a * left**b
-        weight = np.where(left > 0, (c_pair + m * p) / np.maximum(left + m, 1e-300), p)
-        add = lambda x: np.add.reduceat(x, first[:-1])
-        return pa.Table.from_arrays([part.column("id").combine_chunks(), part.column("carry_0").combine_chunks(), pa.array(np.diff(first)), pa.array(add((c > 0).astype(np.int64))), pa.array(add(np.log10(p))), pa.array(add(np.log10(weight)))], ["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
-
-    sent = blocked.groupBy("block").applyInArrow(emit, SENT)
-    answers = sent.groupBy("bucket").applyInArrow(lambda part: _blocks.answer(part, 1), ANSWER)
-    done = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(walk, "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-    return done.withColumn("train_tokens", F.lit(n).cast("long"))
+    blocked, buckets, _ = _blocks.deal(marked, "id", "text", ("held_out",), block_bytes)
+    by_block = blocked.groupBy("block")
+
+    def ask_pairs(part: pa.Table) -> pa.Table:
+        t = Tokens(part)
+        weight = t.trained
+        counts = np.concatenate([_sum(t.word, weight, len(t.words)), _sum(t.pair, weight, len(t.pairs))])
+        keys, order = t.keys()
+        return _blocks.send(part.column("block")[0].as_py(), keys, counts[order], buckets, everywhere=True)
+
+    def ask_triples(part: pa.Table, told: pa.Table) -> pa.Table:
+        t = Tokens(part)
+        at = t.open_triples(t.told(told)[1], least)
+        keys, place, _ = _blocks.group(t.triples[at] | _ONE)
+        return _blocks.send(part.column("block")[0].as_py(), keys, _sum(place, t.trained[at], len(keys)), buckets)
+
+    def walk(part: pa.Table, told: pa.Table) -> pa.Table:
+        t = Tokens(part)
+        of = lambda kind: told.filter(pc.equal(told.column("kind"), kind))
+        words, pairs = t.told(of(PAIRS))
+        n, v = (int(pc.sum(of(PAIRS).column(c)).as_py() or 0) for c in ("n", "v"))
+        at = t.open_triples(pairs, least)
+        keys, place, _ = _blocks.group(t.triples[at] | _ONE)
+        triple = np.full(len(t.word), -1)
+        triple[at] = place
+        machine = Automaton(t, words, pairs, triple, _blocks.totals_of(of(TRIPLES)), n, v, least, a)
+        add = lambda x: np.add.reduceat(x, t.first) if len(t.first) else x
+        columns = [pa.concat_arrays(t.ids), pa.concat_arrays(t.out), pa.array(t.length), pa.array(add(machine.known1[t.word].astype(np.int64))), pa.array(np.full(len(t.length), n)), pa.array(add(machine.reads1[t.word])), pa.array(machine.read(t, triple))]
+        return pa.Table.from_arrays(columns, ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    pairs = by_block.applyInArrow(ask_pairs, _blocks.SENT).groupBy("bucket").applyInArrow(_answer, ANSWER)
+    triples = by_block.cogroup(pairs.groupBy("block")).applyInArrow(ask_triples, _blocks.SENT).groupBy("bucket").applyInArrow(_answer, ANSWER)
+    told = pairs.withColumn("kind", F.lit(PAIRS)).unionAll(triples.withColumn("kind", F.lit(TRIPLES)))
+    return by_block.cogroup(told.groupBy("block")).applyInArrow(walk, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def digest(docs: DataFrame) -> DataFrame:
