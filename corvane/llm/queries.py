@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_substring_dedup": lambda spark, d: substring.digest(_documents(spark, d)),
         "op6_preference_format": lambda spark, d: preference.digest(spark.read.parquet(f"{d}/conversations.parquet")),
         "op6_preference_shared": lambda spark, d: preference.digest_shared(spark.read.parquet(f"{d}/conversations.parquet")),
+        "op6_preference_pairs": lambda spark, d: preference.digest_pairs(spark.read.parquet(f"{d}/conversations.parquet")),
         "op7_language_id": lambda spark, d: language.digest(_documents(spark, d)),
         "op8_lm_scoring": lambda spark, d: scoring.digest(_documents(spark, d)),
         "op9_token_counts": lambda spark, d: tokens.digest(_documents(spark, d)),
@@ -35,4 +36,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_exact_top_k": topk.ORACLE_SQL,
         "op5_substring_dedup": substring.ORACLE_SQL,
         "op6_preference_format": preference.ORACLE_SQL,
+        "op6_preference_shared": preference.SHARED_SQL,
+        "op6_preference_pairs": preference.PAIRS_SQL,
     }
