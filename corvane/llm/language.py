@@ -1,12 +1,12 @@
 """Language identification by unigram pieces with all segmentations summed.
 
-The pieces are those of a fixed public vocabulary, up to ``MOST_BYTES`` bytes long; every single
-byte is one, so any text can be cut into pieces. Each language has its own piece probabilities,
-estimated by expectation-maximisation over the words of a bounded sample of labelled
+The pieces are all those of a fixed public vocabulary; every single byte is one, so any text can be cut into pieces. Each
+language has its own piece probabilities, estimated by expectation-maximisation over the words of a bounded sample of labelled
 documents. The probability of a word is the sum over all its segmentations, by the forward
-algorithm; a text's is the product over its words. A task scores each distinct word once.
+algorithm, whatever its length; a text's is the product over its words. A task scores each distinct word once.
 
-The sample: about ``per_language`` documents of each language, chosen by a hash of id and text.
+The sample: about ``per_language`` documents of each language, chosen by a hash of id and text; of these, words of over ``TAUGHT_BYTES``
+bytes, such as whole sentences of languages without spaces, are taught in parts of that length, and all parts count.
 Everything else covers whole texts of all documents.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0, and so is every
@@ -26,18 +26,28 @@ from pyspark.sql import functions as F
 
 from corvane.llm import _text
 
-MOST_BYTES = 12
-#: Distinct words whose probabilities a task remembers at a time.
-MOST_KNOWN = 1_000_000
+#: Bytes of the parts in which long words are taught.
+TAUGHT_BYTES = 32
+#: Words longer than this go through the forward algorithm one by one, with all pieces that end at a byte at once.
+LONG_BYTES = 24
+#: Doubles in the probabilities of distinct words that a task remembers, and in the arrays of a step.
+MOST_KNOWN, MOST_AT_ONCE = 4_000_000, 2_000_000
 _R = np.uint64(0x9E3779B97F4A7C15)
 
 
-def vocabulary(path: str) -> np.ndarray:
-    """Sorted hashes of the pieces in a rank file of base64 lines, and of all single bytes."""
-    with open(path, "rb") as f:
-        pieces = {base64.b64decode(line.split()[0]) for line in f if line.strip()}
-    pieces |= {bytes([b]) for b in range(256)}
-    return np.unique(np.array([_piece_hash(p) for p in pieces if len(p) <= MOST_BYTES], np.uint64))
+class Pieces:
+    """A vocabulary: sorted hashes of the pieces, and the lengths in bytes that pieces have."""
+
+    def __init__(self, pieces: set[bytes]):
+        pieces = {x for x in pieces if x} | {bytes([b]) for b in range(256)}
+        self.known = np.unique(np.array([_piece_hash(x) for x in pieces], np.uint64))
+        self.sizes = sorted({len(x) for x in pieces})
+
+    @classmethod
+    def of_file(cls, path: str) -> Pieces:
+        """Those of a rank file of base64 lines."""
+        with open(path, "rb") as f:
+            return cls({base64.b64decode(line.split()[0]) for line in f if line.strip()})
 
 
 def _piece_hash(piece: bytes) -> int:
@@ -48,45 +58,59 @@ def _piece_hash(piece: bytes) -> int:
 
 
 class Lattice:
-    """All pieces of equally long words: ``ids[l][:, i]`` is the piece of ``l + 1`` bytes at ``i``, or -1."""
+    """All pieces of equally long words: ``ids[size][:, i]`` is the piece of ``size`` bytes at ``i``, or -1."""
 
-    def __init__(self, words: np.ndarray, known: np.ndarray):
-        n = words.shape[1]
-        self.n, self.ids = n, []
+    def __init__(self, words: np.ndarray, pieces: Pieces):
+        n, known = words.shape[1], pieces.known
+        self.rows, self.n, self.ids = len(words), n, {}
         h = np.zeros(words.shape, np.uint64)
-        for size in range(1, min(n, MOST_BYTES) + 1):
+        for size in range(1, min(n, pieces.sizes[-1]) + 1):
             h = h[:, : n - size + 1] * _R + words[:, size - 1 :].astype(np.uint64) + np.uint64(1)
-            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            self.ids.append(np.where(known[at] == h, at, -1).astype(np.int32))
-
-    def forward(self, p: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-        """p: [piece + one zero row at the end, language]. Scaled sums over segmentations of each prefix, and log sums of whole words."""
-        rows = len(self.ids[0])
-        alpha = [np.ones((rows, p.shape[1]))]
-        scale = np.zeros((rows, p.shape[1]))
+            if size in pieces.sizes:
+                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                ids = np.where(known[at] == h, at, -1).astype(np.int32)
+                if (ids >= 0).any():
+                    self.ids[size] = ids
+
+    def sums(self, p: np.ndarray) -> list[np.ndarray]:
+        """p: [piece + one zero row at the end, language]. Sums over segmentations of each prefix, for words of at most ``LONG_BYTES``."""
+        alpha = [np.ones((self.rows, p.shape[1]))]
         for end in range(1, self.n + 1):
-            x = 0.0
-            for size in range(1, min(end, MOST_BYTES) + 1):
-                x = x + alpha[end - size] * p[self.ids[size - 1][:, end - size]]
-            alpha.append(x)
-            if end % 16 == 0 and end < self.n:
-                low = max(0, end - MOST_BYTES + 1)
-                for i in range(low, end + 1):
-                    alpha[i] = alpha[i] / x
-                scale += np.log(x)
-            if end > MOST_BYTES and rows > 1 and self.n > 64:
-                alpha[end - MOST_BYTES] = alpha[end]  # no longer needed
-        return alpha, np.log(alpha[-1]) + scale
-
-
-def _groups(w: _text.Words, pick: np.ndarray):
+            alpha.append(sum(alpha[end - size] * p[ids[:, end - size]] for size, ids in self.ids.items() if size <= end))
+        return alpha
+
+    def forward(self, p: np.ndarray) -> np.ndarray:
+        """[word, language]: log sums over segmentations of whole words."""
+        if self.n <= LONG_BYTES:
+            return np.log(self.sums(p)[-1])
+        return np.stack([self._one(row, p) for row in range(self.rows)])
+
+    def _one(self, row: int, p: np.ndarray) -> np.ndarray:
+        sizes, most = np.array(sorted(self.ids)), max(self.ids)
+        alpha, scale = np.zeros((self.n + most + 1, p.shape[1])), np.zeros(p.shape[1])
+        alpha[most] = 1  # place ``most + i`` is the prefix of i bytes
+        step = max(1, MOST_AT_ONCE // (len(sizes) * p.shape[1]))
+        for low in range(1, self.n + 1, step):
+            ends = np.arange(low, min(self.n + 1, low + step))
+            start = ends[:, None] - sizes
+            ids = np.stack([self.ids[s][row][np.maximum(start[:, i], 0)] for i, s in enumerate(sizes.tolist())], 1)
+            chance = np.where((start >= 0)[:, :, None], p[ids], 0.0)
+            for i, end in enumerate(ends.tolist()):
+                x = alpha[most + end] = (alpha[most + end - sizes] * chance[i]).sum(0)
+                if end % 8 == 0:
+                    alpha[end : most + end + 1] /= x
+                    scale += np.log(x)
+        return np.log(alpha[most + self.n]) + scale
+
+
+def _groups(w: _text.Words, pick: np.ndarray, languages: int):
     """Words ``pick`` by length in bytes, each with a space before it: (places in pick, byte matrix)."""
     size = w.ends[pick] - w.starts[pick]
     order = np.argsort(size, kind="stable")
     for part in np.split(order, np.flatnonzero(np.diff(size[order])) + 1):
         if len(part):
             n = int(size[part[0]])
-            step = max(1, 4_000_000 // (n * 40))
+            step = max(1, MOST_AT_ONCE // (n * (12 + languages)))
             for a in range(0, len(part), step):
                 some = part[a : a + step]
                 body = np.empty((len(some), n + 1), np.uint8)
@@ -95,34 +119,43 @@ def _groups(w: _text.Words, pick: np.ndarray):
                 yield some, body
 
 
-def fit(words: list[bytes], counts: np.ndarray, known: np.ndarray, rounds: int = 3) -> np.ndarray:
-    """Piece probabilities by EM over distinct words with their counts; words over 40 bytes teach nothing."""
-    keep = [i for i, x in enumerate(words) if 0 < len(x) <= 40]
+def _parts(word: bytes) -> list[bytes]:
+    """A word with a space before it, cut between characters into parts of at most ``TAUGHT_BYTES`` bytes."""
+    out, at, word = [], 0, b" " + word
+    while at < len(word):
+        to = min(len(word), at + TAUGHT_BYTES)
+        while at + 4 < to < len(word) and 0x80 <= word[to] < 0xC0:
+            to -= 1
+        out.append(word[at:to])
+        at = to
+    return out
+
+
+def fit(words: list[bytes], counts: np.ndarray, pieces: Pieces, rounds: int = 3) -> np.ndarray:
+    """Piece probabilities by EM over distinct words with their counts."""
+    known = pieces.known
     p = np.ones(len(known) + 1)
     p[-1] = 0
-    by: dict[int, list[int]] = {}
-    for i in keep:
-        by.setdefault(len(words[i]), []).append(i)
-    parts = []
-    for n, at in by.items():
-        body = np.frombuffer(b"".join(b" " + words[i] for i in at), np.uint8).reshape(-1, n + 1)
-        parts.append((Lattice(body, known), counts[at].astype(float)))
+    taught: dict[bytes, float] = {}
+    for word, n in zip(words, counts.tolist()):
+        for part in _parts(word):
+            taught[part] = taught.get(part, 0.0) + n
+    by: dict[int, list[bytes]] = {}
+    for part in taught:
+        by.setdefault(len(part), []).append(part)
+    parts = [(Lattice(np.frombuffer(b"".join(same), np.uint8).reshape(-1, n), pieces), np.array([taught[x] for x in same])) for n, same in by.items()]
     for step in range(rounds + 1):
         found = np.zeros(len(known) + 1)
         for lattice, count in parts:
             if step == 0:  # pieces as often as they stand anywhere
-                for ids in lattice.ids:
+                for ids in lattice.ids.values():
                     found += np.bincount(ids.ravel() % len(p), weights=np.repeat(count, ids.shape[1]), minlength=len(p))
                 continue
-            column = p[:, None]
-            alpha = [x[:, 0] for x in _plain_forward(lattice, column)]
+            alpha = [x[:, 0] for x in lattice.sums(p[:, None])]
             beta = [np.ones(len(count))]
             for start in range(lattice.n - 1, -1, -1):
-                x = 0.0
-                for size in range(1, min(lattice.n - start, MOST_BYTES) + 1):
-                    x = x + beta[lattice.n - start - size] * p[lattice.ids[size - 1][:, start]]
-                beta.append(x)
-            for size, ids in enumerate(lattice.ids, 1):
+                beta.append(sum(beta[lattice.n - start - size] * p[ids[:, start]] for size, ids in lattice.ids.items() if size <= lattice.n - start))
+            for size, ids in lattice.ids.items():
                 for start in range(lattice.n - size + 1):
                     share = alpha[start] * p[ids[:, start]] * beta[lattice.n - start - size] / alpha[-1]
                     found += np.bincount(ids[:, start] % len(p), weights=share * count, minlength=len(p))
@@ -132,49 +165,45 @@ def fit(words: list[bytes], counts: np.ndarray, known: np.ndarray, rounds: int =
     return p
 
 
-def _plain_forward(lattice: Lattice, p: np.ndarray) -> list[np.ndarray]:
-    alpha = [np.ones((len(lattice.ids[0]), p.shape[1]))]
-    for end in range(1, lattice.n + 1):
-        alpha.append(sum(alpha[end - size] * p[lattice.ids[size - 1][:, end - size]] for size in range(1, min(end, MOST_BYTES) + 1)))
-    return alpha
-
-
 class Scorer:
     """Log probabilities of words by language, each distinct word worked out once."""
 
-    def __init__(self, known: np.ndarray, p: np.ndarray):
-        self.known, self.p = known, p
+    def __init__(self, pieces: Pieces, p: np.ndarray):
+        self.pieces, self.p = pieces, p
         self.seen, self.value = np.zeros(0, np.uint64), np.zeros((0, p.shape[1]))
 
     def texts(self, column) -> np.ndarray:
         """[text, language]"""
-        w = _text.split_words(column, lower=True)
+        w, languages = _text.split_words(column, lower=True), self.p.shape[1]
         h = _text.hash_words(w)
         distinct, first, at = np.unique(h, return_index=True, return_inverse=True)
         place = np.minimum(np.searchsorted(self.seen, distinct), max(0, len(self.seen) - 1))
         old = self.seen[place] == distinct if len(self.seen) else np.zeros(len(distinct), bool)
-        value = np.empty((len(distinct), self.p.shape[1]))
+        value = np.empty((len(distinct), languages))
         value[old] = self.value[place[old]]
         fresh = np.flatnonzero(~old)
-        for some, body in _groups(w, first[fresh]):
-            value[fresh[some]] = Lattice(body, self.known).forward(self.p)[1]
-        if len(self.seen) + len(fresh) > MOST_KNOWN:
+        for some, body in _groups(w, first[fresh], languages):
+            value[fresh[some]] = Lattice(body, self.pieces).forward(self.p)
+        if (len(self.seen) + len(fresh)) * languages > MOST_KNOWN:
             self.seen, self.value = distinct, value
         else:
             seen, value_ = np.concatenate([self.seen, distinct[fresh]]), np.concatenate([self.value, value[fresh]])
             order = np.argsort(seen)
             self.seen, self.value = seen[order], value_[order]
-        total = np.zeros((len(h) + 1, self.p.shape[1]))
-        np.cumsum(value[at], axis=0, out=total[1:])
-        return total[w.first[1:]] - total[w.first[:-1]]
+        out = np.zeros((len(w.first) - 1, languages))
+        for i in range(languages):
+            total = np.zeros(len(h) + 1)
+            np.cumsum(value[at, i], out=total[1:])
+            out[:, i] = total[w.first[1:]] - total[w.first[:-1]]
+        return out
 
 
-def learn(docs: DataFrame, path: str, per_language: int, known: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+def learn(docs: DataFrame, per_language: int, pieces: Pieces) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, log priors and [piece + 1, language] from (id, text, lang) rows."""
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}
     if not sizes:
-        return [], np.zeros(0), np.zeros((len(known) + 1, 0))
+        return [], np.zeros(0), np.zeros((len(pieces.known) + 1, 0))
     share = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_language / n))))
     unit = F.pmod(F.xxhash64(F.lit(5), "id", "text"), F.lit(1 << 20)) / float(1 << 20)
     sample = labelled.filter(unit < share[F.col("lang")]).select("lang", "text")
@@ -195,7 +224,7 @@ def learn(docs: DataFrame, path: str, per_language: int, known: np.ndarray) -> t
     lang, word, n = counts.column("lang").to_numpy(), counts.column("word").to_pylist(), counts.column("n").to_numpy()
     for name in names:
         at = np.flatnonzero(lang == name)
-        columns.append(fit([word[i] for i in at], n[at], known))
+        columns.append(fit([word[i] for i in at], n[at], pieces))
     p = np.stack(columns, 1)
     p = 0.98 * p + 0.02 * p.mean(1, keepdims=True)
     prior = np.array([sizes[x] for x in names], float) + 1
@@ -204,16 +233,16 @@ def learn(docs: DataFrame, path: str, per_language: int, known: np.ndarray) -> t
 
 def identify(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", modulus: int = 4, remainder: int = 2, per_language: int = 600) -> DataFrame:
     """(id, held_out, lang_pred, score) for each row, learning from labelled rows that are not held out."""
-    known = vocabulary(path)
+    pieces = Pieces.of_file(path)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     out = F.pmod(F.crc32(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(modulus)) == remainder
     rows = rows.withColumn("held_out", out).withColumn("letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    names, prior, p = learn(rows.filter("not held_out"), path, per_language, known)
+    names, prior, p = learn(rows.filter("not held_out"), per_language, pieces)
 
     def judge(batches):
-        scorer = Scorer(known, p)
+        scorer = Scorer(pieces, p)
         for batch in batches:
-            for part in _text.slices(batch, "text", 8 << 20):
+            for part in _text.slices(batch, "text", 2 << 20):
                 n = part.num_rows
                 pred, score = np.full(n, "und", object), np.zeros(n)
                 if names:
