@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> None:
-    """Use the folder in ``spark.checkpoint.dir``; only where it is unset, as in tests, one of our own."""
+    """Use the folder in ``spark.checkpoint.dir``; only where it is unset on a local master, as in tests, one of our own."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
+        if named is None and not context.master.startswith("local"):
+            raise RuntimeError("a cluster needs spark.checkpoint.dir, a folder that the driver and all executors share")
         context.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "corvane-checkpoints"))
 
 

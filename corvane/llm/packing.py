@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, capacity: int
 
     names = ["id", "piece", "start", "length", "ids_crc32", "ids"]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInArrow(cut, "id long, piece int, start long, length long, ids_crc32 long, ids array<long>")
 
 

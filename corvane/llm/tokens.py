@@ -110,7 +110,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                 _, off = _text.text_bytes(part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(off)), pa.array(n)], ["id", "n_bytes", "n_tokens"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInArrow(run, "id long, n_bytes long, n_tokens long")
 
 
