@@ -2,8 +2,9 @@
 
 Documents become token ids and an end id; longer ones than the capacity are cut, the first
 piece taking the remainder. What is left to pack is a histogram of at most ``capacity``
-lengths, whatever the corpus. Patterns of up to three lengths that fill a sequence are
-enumerated, their repeat counts fitted to the histogram by non-negative least squares and
+lengths, whatever the corpus. Patterns of up to three lengths are fitted to the histogram by non-negative least squares:
+of all patterns there are, those that would improve the fit most are brought in, the repeat counts are fitted again, and so on
+until no pattern improves it. Counts are
 rounded down, and what the patterns leave over is packed best-fit into their gaps and new
 sequences. Each piece then finds its slot from its rank among the pieces of its length.
 
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 from corvane.llm import _text, tokens
 from corvane.llm._storage import materialise
 
-#: Patterns that are fitted, at most; a bound on work on the driver, not on what is packed.
-MOST_PATTERNS = 6000
+#: A sequence that is empty costs as much as missing the mean count of a length so many times.
+EMPTY_COST = 50.0
 
 
 def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, capacity: int, end_id: int, with_ids: bool) -> DataFrame:
@@ -49,41 +50,62 @@ def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, capacity: int
     return rows.mapInArrow(cut, "id long, piece int, start long, length long, ids_crc32 long, ids array<long>")
 
 
-def patterns(lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Rows of three lengths, 0 for none, in falling order: full sequences first, else the best fill at hand."""
-    lengths = np.sort(lengths)
-    found = [np.column_stack([lengths, np.zeros_like(lengths), np.zeros_like(lengths)])]
-    step = max(1, int(np.ceil(len(lengths) ** 2 / 4 / MOST_PATTERNS)))
-    best = np.zeros(capacity + 1, np.int64)  # the longest length at hand that fits
-    best[lengths] = lengths
-    best = np.maximum.accumulate(best)
-    a, b = np.meshgrid(lengths, lengths, indexing="ij")
-    keep = (a >= b) & (a + b <= capacity)
-    a, b = a[keep], b[keep]
-    c = np.minimum(best[capacity - a - b], capacity)
-    tight = best[capacity - a] == b
-    chosen = tight | ((a * 7 + b * 13) % step == 0)
-    a, b, c = a[chosen], b[chosen], c[chosen]
-    c = np.where(c <= b, c, 0)
-    found.append(np.column_stack([a, b, c]))
-    return np.unique(np.concatenate(found), axis=0)
-
-
-def fit_counts(shapes: np.ndarray, histogram: np.ndarray, capacity: int, rounds: int = 300) -> np.ndarray:
-    """Non-negative least squares by accelerated projected gradients: repeats of each pattern."""
-    x = np.zeros(len(shapes))
-    y, t = x.copy(), 1.0
-    goal, scale = histogram.astype(float), max(1.0, float(histogram.max()))
-    use = np.bincount(shapes.ravel(), minlength=capacity + 1).astype(float)
-    step = 1.0 / (3 * max(1.0, use[1:].max()))
-    cost = 1e-3 * (capacity - shapes.sum(1)) / capacity * scale  # of a sequence's empty places
-    for _ in range(rounds):
-        rest = np.bincount(shapes.ravel(), weights=np.repeat(y, 3), minlength=capacity + 1) - goal
+def improving(value: np.ndarray, lengths: np.ndarray, capacity: int, bound: float) -> np.ndarray:
+    """For each length the pattern with it, of up to three lengths, 0 for none, whose sum of ``value`` by length is least, if it is under ``bound``.
+
+    For each pair of lengths the best third that still fits is known, so every pattern is looked at.
+    """
+    at = np.concatenate([[0], np.sort(lengths)])
+    w = np.full(capacity + 1, np.inf)
+    w[at] = np.where(at > 0, value[at], 0.0)
+    low = np.minimum.accumulate(w)
+    third = np.maximum.accumulate(np.where(w == low, np.arange(capacity + 1), 0))  # of the lengths up to each, the one of least value
+    left = capacity - at[1:, None] - at
+    total = np.where(left >= 0, w[at[1:, None]] + w[at] + w[third[np.maximum(left, 0)]], np.inf)
+    second = np.argmin(total, axis=1)
+    rows = np.flatnonzero(total[np.arange(len(total)), second] < bound)
+    b = at[second[rows]]
+    a = at[1:][rows]
+    return np.unique(-np.sort(-np.column_stack([a, b, third[capacity - a - b]]), axis=1), axis=0)
+
+
+def fit_counts(shapes: np.ndarray, goal: np.ndarray, cost: np.ndarray, x: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray]:
+    """Non-negative least squares by accelerated projected gradients from ``x``: repeats of each pattern, and what they hold of each length beyond ``goal``."""
+    y, t, n = x.copy(), 1.0, len(goal)
+    use = np.bincount(shapes.ravel(), minlength=n).astype(float)
+    use[0] = 0
+    step = 1.0 / use[shapes].sum(1)  # the sums of the rows of the matrix bound it by its diagonal
+
+    def beyond(z: np.ndarray) -> np.ndarray:
+        rest = np.bincount(shapes.ravel(), weights=np.repeat(z, 3), minlength=n) - goal
         rest[0] = 0
-        new = np.maximum(0.0, y - step * (rest[shapes].sum(1) + cost))
+        return rest
+
+    for _ in range(rounds):
+        new = np.maximum(0.0, y - step * (beyond(y)[shapes].sum(1) + cost))
+        if ((y - new) * (new - x) / step).sum() > 0:  # momentum that points uphill is dropped
+            t = 1.0
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         x, y, t = new, new + (t - 1) / t2 * (new - x), t2
-    return x
+    return x, beyond(x)
+
+
+def fit(histogram: np.ndarray, capacity: int, most_rounds: int = 40) -> tuple[np.ndarray, np.ndarray]:
+    """Patterns and their repeats; ends when no pattern of up to three lengths improves the fit by more than a tenth of a mean count, or after ``most_rounds``."""
+    lengths, goal = np.flatnonzero(histogram), histogram.astype(float)
+    scale = float(goal[lengths].mean())
+    empty = lambda s: EMPTY_COST * scale * (capacity - s.sum(1)) / capacity
+    shapes, x, rest = np.zeros((0, 3), np.int64), np.zeros(0), -goal
+    for _ in range(most_rounds):
+        value = rest - EMPTY_COST * scale * np.arange(capacity + 1) / capacity
+        fresh = improving(value, lengths, capacity, -EMPTY_COST * scale - scale / 10)
+        known = set(map(tuple, shapes[x > 0].tolist()))
+        fresh = np.array([p for p in fresh.tolist() if tuple(p) not in known], np.int64).reshape(-1, 3)
+        if not len(fresh):
+            break
+        shapes, x = np.concatenate([shapes[x > 0], fresh]), np.concatenate([x[x > 0], np.zeros(len(fresh))])
+        x, rest = fit_counts(shapes, goal, empty(shapes), x)
+    return shapes, x
 
 
 def plan(histogram: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -93,9 +115,9 @@ def plan(histogram: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], in
     groups: list[tuple[tuple[int, ...], int]] = []
     here = np.flatnonzero(left)
     if len(here):
-        shapes = patterns(here, capacity)
-        counts = np.floor(fit_counts(shapes, left, capacity) + 1e-6).astype(np.int64)
-        for i in np.argsort(-(counts * shapes.sum(1)), kind="stable"):
+        shapes, x = fit(left, capacity)
+        counts = np.floor(x + 1e-6).astype(np.int64)
+        for i in np.lexsort((-counts, -shapes.sum(1))):
             if counts[i] > 0:
                 shape = tuple(int(v) for v in shapes[i] if v)
                 n = int(min(counts[i], *(left[v] // shape.count(v) for v in shape)))
@@ -148,15 +170,17 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     for r in cut.groupBy("length").count().collect():
         histogram[r[0]] = r[1]
     found = slots(plan(histogram, capacity), capacity)
-    # Ranks by length: counted in cells of even size, then numbered inside each cell.
+    # Ranks by length: counted in cells of even size, then numbered inside each cell. Written rows have a number that stays, so equal rows do not share a cell.
+    cut = cut.withColumn("row", F.monotonically_increasing_id())
     cell = max(500, int(histogram.sum()) // 100_000)
     split = F.array(*(F.lit(int(1 + n // cell)) for n in histogram))
-    rows = cut.withColumn("cell", F.pmod(F.xxhash64("id", "piece", "start", "ids_crc32"), F.get(split, F.col("length").cast("int"))))
+    rows = cut.withColumn("cell", F.pmod(F.xxhash64("row"), F.get(split, F.col("length").cast("int"))))
     sizes = rows.groupBy("length", "cell").count()
     before = Window.partitionBy("length").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select(F.col("length").alias("l"), F.col("cell").alias("c"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("length", "cell").orderBy("id", "piece", "start", "ids_crc32")
+    inside = Window.partitionBy("length", "cell").orderBy("row")
     ranked = rows.withColumn("n", F.row_number().over(inside)).join(sizes, (F.col("length") == F.col("l")) & (F.col("cell") == F.col("c")))
+    cut = cut.drop("row")
     ranked = ranked.select(*cut.columns, (F.col("before") + F.col("n") - 1).alias("rank"))
 
     def place(batches):

@@ -536,4 +536,26 @@ def test_packing(spark, docs, library):
             assert offset == at
             at += length
         assert at <= 1024
-    assert len(by) <= math.ceil(sum(r.length for r in got) / 1024) * 1.15 + 1
+    assert len(by) <= math.ceil(sum(r.length for r in got) / 1024) + 2
+
+
+def test_packing_patterns():
+    """Of all patterns the best are found, and plans hold each length as often as it comes, in close to the fewest sequences."""
+    draw = np.random.default_rng(4)
+    value, lengths = draw.normal(size=31), np.array([3, 5, 7, 8, 11, 13, 20, 30])
+    every = {tuple(sorted((a, b, c), reverse=True)) for a in lengths for b in (0, *lengths) for c in (0, *lengths) if a + b + c <= 30}
+    total = {p: sum(value[v] for v in p if v) for p in every}
+    found = {tuple(p) for p in packing.improving(value, lengths, 30, 0.0).tolist()}
+    assert {total[p] for p in found} == {t for t in (min(total[p] for p in every if v in p) for v in lengths.tolist()) if t < 0}
+    for n, spread in ((60, 1.0), (5000, 1.0), (100000, 2.0)):
+        sizes = np.minimum(1024, 1 + (1024 * draw.random(n) ** spread).astype(int))
+        histogram = np.bincount(sizes, minlength=1025)
+        groups = packing.plan(histogram, 1024)
+        held = np.zeros(1025, np.int64)
+        for shape, k in groups:
+            assert sum(shape) <= 1024
+            for v in shape:
+                held[v] += k
+        assert (held == histogram).all()
+        big = int((sizes > 512).sum())
+        assert sum(k for _, k in groups) <= max(big, math.ceil(sizes.sum() / 1024)) * 1.02 + 2
