@@ -59,10 +59,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. Each stage's files go when the next one has been written."""
     shared_folder(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
         docs = spark.read.parquet(f"{folder}/{i}")
+        if i:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{i - 1}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return docs
