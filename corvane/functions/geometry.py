@@ -56,15 +56,3 @@ def along(points: Column, distance: float) -> Column:
 
     walked = F.aggregate(F.slice(points, 2, F.greatest(F.size(points) - 1, F.lit(0))), start, step)
     return F.struct(walked["x"].alias("x"), walked["y"].alias("y"))
-
-
-def transect_crossings(px: Column, py: Column, nx: Column, ny: Column, shape: Column) -> Column:
-    """Signed distances along direction (nx, ny) from the point at which the shape's edges cross that line."""
-    side = lambda x, y: (x - px) * ny - (y - py) * nx
-    place = lambda x, y: (x - px) * nx + (y - py) * ny
-
-    def cross(s: Column) -> Column:
-        a, b = side(s["x1"], s["y1"]), side(s["x2"], s["y2"])
-        return F.when((a > 0) != (b > 0), place(s["x1"], s["y1"]) + a / (a - b) * (place(s["x2"], s["y2"]) - place(s["x1"], s["y1"])))
-
-    return F.array_compact(F.transform(shape, cross))

@@ -15,9 +15,9 @@ REASONS = {
     "speed_limit": "requiere velocidad máxima por tramo (no está en callejero.geojson ni en otra fuente de data/raw/)",
     "crossing_length": "requiere veredas-2019.geojson para medir el hueco de calzada entre veredas",
     "roadway_width": "requiere veredas-2019.geojson para medir el hueco de calzada entre veredas",
-    "has_ped_signal": "requiere cruces semaforizados (no presente en data/raw/)",
-    "traffic_calming": "requiere ampliaciones de vereda (no presente en data/raw/)",
-    "crossing_marked": "requiere dataset de sendas peatonales pintadas (no presente en data/raw/)",
+    "has_ped_signal": "fuente cruces_semaforizados no disponible",
+    "traffic_calming": "fuente ampliaciones_veredas no disponible",
+    "crossing_marked": "requiere dataset de sendas peatonales pintadas/demarcadas (no presente en data/raw/)",
     "near_school": "requiere padrón de escuelas/jardines (no presente en data/raw/)",
     "crash_history": "requiere siniestros viales georreferenciados (no presente en data/raw/)",
     "ped_flow_proxy": "requiere paradas de colectivo / estaciones de subte o tren (no presente en data/raw/)",
@@ -74,7 +74,7 @@ def compute(corners: DataFrame, layers: dict[str, DataFrame], cfg) -> tuple[Data
             out = out.withColumn(axis, null)
     facts = crash_facts(cfg.severity_weights, cfg.crash_early, cfg.crash_late)
     if "siniestros" in layers:
-        found = proximity.measure(sites, layers["siniestros"], cfg.radii["crash_radius_m"], **facts)
+        found = proximity.measure(sites, layers["siniestros"], cfg.radii["crash_radius_m"], once=False, **facts)
         out = out.join(found.select("key", *(F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in facts)), "key", "left")
     else:
         out = out.withColumns({c: null for c in facts})

@@ -1,4 +1,8 @@
-"""Radius joins as equi-joins on grid cells."""
+"""Radius joins as equi-joins on grid cells.
+
+A target is exploded into its segments, and a segment into the cells along it, not into those of its whole box, so
+rows grow with its length. Distances are of plain columns, one segment a row.
+"""
 
 from __future__ import annotations
 
@@ -8,55 +12,114 @@ from pyspark.sql import functions as F
 from corvane.functions import geometry as g
 
 
-def _cells(low: Column, high: Column, size: float) -> Column:
-    return F.explode(F.sequence(F.floor(low / size), F.floor(high / size)))
+def along_cells(segments: DataFrame, radius: float, size: float) -> DataFrame:
+    """Rows with x1, y1, x2, y2, once for each cell (_cx, _cy) of so many metres that comes within ``radius`` of the segment's part above or beside it."""
+    west, east = F.least("x1", "x2"), F.greatest("x1", "x2")
+    rows = segments.withColumn("_cx", F.explode(F.sequence(F.floor((west - radius) / size), F.floor((east + radius) / size))))
+    # The part of the segment from which a point of the column of cells can be in reach.
+    low = F.greatest(west, F.least(F.col("_cx") * size - radius, east))
+    high = F.least(east, F.greatest((F.col("_cx") + 1) * size + radius, west))
+    slope = F.when(F.col("x2") != F.col("x1"), (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1")))
+    at = lambda x, other: F.when(slope.isNull(), F.col(other)).otherwise(F.col("y1") + (x - F.col("x1")) * slope)
+    a, b, slack = at(low, "y1"), at(high, "y2"), radius + 1e-6 * size
+    return rows.withColumn("_cy", F.explode(F.sequence(F.floor((F.least(a, b) - slack) / size), F.floor((F.greatest(a, b) + slack) / size))))
 
 
-def within(sites: DataFrame, targets: DataFrame, radius: float) -> DataFrame:
-    """Pairs of a site (key, x, y) and a target (shape, maybe ``area``, and more) at most ``radius`` apart.
+def within(sites: DataFrame, targets: DataFrame, radius: float, once: bool = True) -> DataFrame:
+    """Pairs of a site (key, x, y) and a target (shape, maybe ``area``, and more) at most ``radius`` apart, each once.
 
-    A site lies in one cell and a target in all that its box, widened by the radius, touches, so no
-    pair comes twice. Cells are as wide as the radius.
+    A site lies in one cell, so a pair comes once for each of the target's segments in reach; of these one stays, or all where not
+    ``once``, which spares a shuffle if targets are points or it does not matter. Rows with ``area`` also have the sites inside them.
     """
-    size = float(radius) if radius > 0 else 1.0
-    low = lambda a, b: F.least(F.array_min(F.transform("shape", lambda s: s[a])), F.array_min(F.transform("shape", lambda s: s[b])))
-    high = lambda a, b: F.greatest(F.array_max(F.transform("shape", lambda s: s[a])), F.array_max(F.transform("shape", lambda s: s[b])))
-    t = targets.withColumn("_cx", _cells(low("x1", "x2") - radius, high("x1", "x2") + radius, size))
-    t = t.withColumn("_cy", _cells(low("y1", "y2") - radius, high("y1", "y2") + radius, size))
-    s = sites.select("key", "x", "y", F.floor(F.col("x") / size).alias("_cx"), F.floor(F.col("y") / size).alias("_cy"))
-    area = F.col("area") if "area" in targets.columns else None
-    met = s.join(t, ["_cx", "_cy"]).filter(g.distance2(F.col("x"), F.col("y"), F.col("shape"), area) <= radius * radius)
-    return met.drop("_cx", "_cy", "x", "y")
-
-
-def measure(sites: DataFrame, targets: DataFrame, radius: float, **found: Column) -> DataFrame:
+    size, more = _size(radius), [c for c in targets.columns if c not in ("shape", "area")]
+    if "area" in targets.columns:
+        inside = within_areas(sites, targets.filter("area"), radius).select("key", *more)
+        return within(sites, targets.filter(~F.coalesce("area", F.lit(False))).drop("area"), radius, once).unionAll(inside)
+    numbered = targets.withColumn("_id", F.monotonically_increasing_id())
+    segments = numbered.select("_id", *more, F.inline("shape"))
+    s = _placed(sites, size)
+    dx, dy, ex, ey = (F.col(a) - F.col(b) for a, b in (("x2", "x1"), ("y2", "y1"), ("x", "x1"), ("y", "y1")))
+    long = dx * dx + dy * dy
+    t = F.when(long > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (ex * dx + ey * dy) / long))).otherwise(0.0)
+    gx, gy = ex - t * dx, ey - t * dy
+    met = s.join(along_cells(segments, float(radius), size), ["_cx", "_cy"]).filter(gx * gx + gy * gy <= radius * radius)
+    if not once:
+        return met.select("key", *more)
+    found = F.struct(*more) if more else F.lit(True)
+    return met.groupBy("key", "_id").agg(F.first(found).alias("_t")).select("key", *(F.col(f"_t.{c}").alias(c) for c in more))
+
+
+def _size(radius: float) -> float:
+    return float(radius) if radius > 0 else 1.0
+
+
+def _placed(sites: DataFrame, size: float) -> DataFrame:
+    return sites.select("key", "x", "y", F.floor(F.col("x") / size).alias("_cx"), F.floor(F.col("y") / size).alias("_cy"))
+
+
+def within_areas(sites: DataFrame, targets: DataFrame, radius: float) -> DataFrame:
+    """Pairs of a site and an area (shape, and more) that holds it or is at most ``radius`` away, with all of the area's columns."""
+    size = _size(radius)
+    s = _placed(sites, size)
+    cells = lambda low, high: F.explode(F.sequence(F.floor((low - radius) / size), F.floor((high + radius) / size)))
+    low = lambda a, b: F.least(F.array_min(F.transform("shape", lambda q: q[a])), F.array_min(F.transform("shape", lambda q: q[b])))
+    high = lambda a, b: F.greatest(F.array_max(F.transform("shape", lambda q: q[a])), F.array_max(F.transform("shape", lambda q: q[b])))
+    boxed = targets.withColumns({"_x0": low("x1", "x2"), "_x1": high("x1", "x2"), "_y0": low("y1", "y2"), "_y1": high("y1", "y2")})
+    t = boxed.withColumn("_cx", cells(F.col("_x0"), F.col("_x1"))).withColumn("_cy", cells(F.col("_y0"), F.col("_y1")))
+    x, y = F.col("x"), F.col("y")
+    out = lambda v, a, b: F.greatest(F.col(a) - v, v - F.col(b), F.lit(0.0))
+    box = out(x, "_x0", "_x1") * out(x, "_x0", "_x1") + out(y, "_y0", "_y1") * out(y, "_y0", "_y1")
+    met = s.join(t, ["_cx", "_cy"]).filter(box <= radius * radius).filter(g.distance2(x, y, F.col("shape"), F.lit(True)) <= radius * radius)
+    return met.select("key", *targets.columns)
+
+
+def measure(sites: DataFrame, targets: DataFrame, radius: float, once: bool = True, **found: Column) -> DataFrame:
     """Every site with aggregates over the targets in reach, from one join; null where there are none."""
-    by = within(sites, targets, radius).groupBy("key").agg(*(c.alias(name) for name, c in found.items()))
+    by = within(sites, targets, radius, once).groupBy("key").agg(*(c.alias(name) for name, c in found.items()))
     return sites.select("key").join(by, "key", "left")
 
 
+def _shapes(targets: DataFrame) -> DataFrame:
+    return targets.select("shape", *(c for c in ("area",) if c in targets.columns))
+
+
 def nearby_bool(sites: DataFrame, targets: DataFrame, radius: float, name: str = "near") -> DataFrame:
     """Whether any target is in reach."""
-    return measure(sites, targets, radius, **{name: F.count("*") > 0}).select("key", F.coalesce(name, F.lit(False)).alias(name))
+    return measure(sites, _shapes(targets), radius, False, **{name: F.count("*") > 0}).select("key", F.coalesce(name, F.lit(False)).alias(name))
 
 
-def nearby_count(sites: DataFrame, targets: DataFrame, radius: float, name: str = "n") -> DataFrame:
-    return measure(sites, targets, radius, **{name: F.count("*")}).select("key", F.coalesce(name, F.lit(0)).alias(name))
+def nearby_count(sites: DataFrame, targets: DataFrame, radius: float, name: str = "n", once: bool = True) -> DataFrame:
+    return measure(sites, _shapes(targets), radius, once, **{name: F.count("*")}).select("key", F.coalesce(name, F.lit(0)).alias(name))
 
 
-def nearby_sum(sites: DataFrame, targets: DataFrame, radius: float, weight: Column, name: str = "total") -> DataFrame:
+def nearby_sum(sites: DataFrame, targets: DataFrame, radius: float, weight: Column, name: str = "total", once: bool = True) -> DataFrame:
     """Sums of weights in reach; null weights count as 0."""
-    return measure(sites, targets, radius, **{name: F.sum(F.coalesce(weight, F.lit(0.0)))}).select("key", F.coalesce(name, F.lit(0.0)).alias(name))
+    return measure(sites, targets, radius, once, **{name: F.sum(F.coalesce(weight, F.lit(0.0)))}).select("key", F.coalesce(name, F.lit(0.0)).alias(name))
 
 
 def close_pairs(points: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (u, v), u < v, of points (key, x, y) at most ``threshold`` apart."""
-    targets = points.select(F.col("key").alias("u"), g.point(F.col("x"), F.col("y")).alias("shape"))
-    return within(points, targets, threshold).filter("u < key").select("u", F.col("key").alias("v"))
-
-
-def intersects_box(shape: Column, box: tuple[float, float, float, float]) -> Column:
-    """Whether a path touches (west, south, east, north): an end within it, or a segment through it."""
+    """Pairs (u, v), u < v, of points (key, x, y) at most ``threshold`` apart: each point looks into its cell and the eight around it."""
+    size = float(threshold) if threshold > 0 else 1.0
+    cell = lambda c, d: F.floor(F.col(c) / size) + d
+    a = points.select(F.col("key").alias("v"), F.col("x").alias("ax"), F.col("y").alias("ay"), cell("x", 0).alias("_cx"), cell("y", 0).alias("_cy"))
+    b = points.select(F.col("key").alias("u"), F.col("x").alias("bx"), F.col("y").alias("by"), F.explode(F.sequence(cell("x", -1), cell("x", 1))).alias("_cx"), cell("y", 0).alias("_y"))
+    b = b.withColumn("_cy", F.explode(F.sequence(F.col("_y") - 1, F.col("_y") + 1)))
+    dx, dy = F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")
+    return a.join(b, ["_cx", "_cy"]).filter((F.col("u") < F.col("v")) & (dx * dx + dy * dy <= threshold * threshold)).select("u", "v")
+
+
+def crossing(segments: DataFrame, others: DataFrame, size: float) -> DataFrame:
+    """``key`` of the segments (key, x1, y1, x2, y2) that meet any of the others; both are exploded into the cells along them."""
+    b = along_cells(others.select("x1", "y1", "x2", "y2").distinct(), 0.0, size).toDF("bx1", "by1", "bx2", "by2", "_cx", "_cy")
+    side = lambda px, py, ax, ay, bx, by: (F.col(bx) - F.col(ax)) * (F.col(py) - F.col(ay)) - (F.col(by) - F.col(ay)) * (F.col(px) - F.col(ax))
+    p, q = ("x1", "y1", "x2", "y2"), ("bx1", "by1", "bx2", "by2")
+    apart = lambda a, b: side(*a[:2], *b) * side(*a[2:], *b) <= 0
+    met = along_cells(segments, 0.0, size).join(b, ["_cx", "_cy"]).filter(apart(p, q) & apart(q, p))
+    return met.select("key").distinct()
+
+
+def intersects_box(shape: Column, box: tuple[float, float, float, float], area: Column | None = None) -> Column:
+    """Whether a path touches (west, south, east, north): an end within it, or a segment through it; or an area holds the box."""
     w, s, e, n = map(float, box)
 
     def touches(q: Column) -> Column:
@@ -66,4 +129,5 @@ def intersects_box(shape: Column, box: tuple[float, float, float, float]) -> Col
         (x0, x1), (y0, y1) = cut(q["x1"], dx, w, e), cut(q["y1"], dy, s, n)
         return F.greatest(x0, y0, F.lit(0.0)) <= F.least(x1, y1, F.lit(1.0))
 
-    return F.exists(shape, touches)
+    edge = F.exists(shape, touches)
+    return edge if area is None else edge | (area & g.inside(F.lit(w), F.lit(s), shape))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: The colour ramp's places and colours.
@@ -19,6 +19,27 @@ def keep(df: DataFrame, comuna: int | None = None, kind: str | None = None) -> D
     return df if kind is None else df.filter(F.exists("intervenciones", lambda i: i["tipo"] == kind))
 
 
+def top(df: DataFrame, n: int) -> DataFrame:
+    """The ``n`` corners of highest index with ``rank``, their place among all of these, which filters leave as it is."""
+    best = df.orderBy(F.desc_nulls_last("indice"), "corner_ord").limit(n)
+    return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc_nulls_last("indice"), "corner_ord")))
+
+
+def districts(df: DataFrame) -> DataFrame:
+    """The districts that corners are in."""
+    return df.select("comuna").filter("comuna is not null").distinct()
+
+
+#: What the page calls the mitigation axes.
+MITIGATION = {"has_ped_signal": "Semáforo peatonal", "traffic_calming": "Reductor de velocidad", "crossing_marked": "Senda demarcada"}
+
+
+def mitigation(excluded: list[str] | dict[str, str] = ()) -> Column:
+    """array<struct<nombre, presente>>: the mitigation axes that have a value and were not left out, in their fixed order."""
+    each = (F.when(F.col(f"{a}_raw").isNotNull(), F.struct(F.lit(name).alias("nombre"), (F.col(f"{a}_raw") >= 1).alias("presente"))) for a, name in MITIGATION.items() if a not in excluded)
+    return F.array_compact(F.array(*each))
+
+
 def kinds(df: DataFrame) -> DataFrame:
     return df.select(F.explode("intervenciones.tipo").alias("tipo")).distinct()
 

@@ -14,54 +14,65 @@ MITIGATION = ("has_ped_signal", "traffic_calming", "crossing_marked")
 RANGES = 64
 
 
-def percentile(df: DataFrame, value: str, out: str, group: str | None = None, only: Column | None = None, source: DataFrame | None = None) -> DataFrame:
-    """Average rank over number of values, among the non-null values (that meet ``only``) of each group; else null.
+def _free(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name += "_"
+    return name
 
-    The values are those of ``source``, by default ``df``. Distinct values are counted first; they are cut into ranges of about equal size whose totals
-    give each range's first rank. So no partition holds all of a group.
-    """
-    own = F.lit(0) if group is None else F.col(group)
-    use = F.col(value).isNotNull() if only is None else F.col(value).isNotNull() & only
-    counts = (df if source is None else source).filter(use).groupBy(own.alias("_g"), F.col(value).alias("_v")).agg(F.count("*").alias("_n")).filter("_g is not null")
-    edges = sorted(set(counts.approxQuantile("_v", [i / RANGES for i in range(1, RANGES)], 0.01)))
-    place = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: F.col("_v") > e)) if edges else F.lit(0)
-    counts = counts.withColumn("_r", place)
-    totals = counts.groupBy("_g", "_r").agg(F.sum("_n").alias("_t"))
-    w = Window.partitionBy("_g")
-    totals = totals.select("_g", "_r", (F.sum("_t").over(w.orderBy("_r")) - F.col("_t")).alias("_before"), F.sum("_t").over(w).alias("_all"))
-    inside = F.sum("_n").over(Window.partitionBy("_g", "_r").orderBy("_v")) - F.col("_n")
-    ranks = counts.withColumn("_inside", inside).join(totals, ["_g", "_r"])
-    rank = F.col("_before") + F.col("_inside") + (F.col("_n") + 1) / F.lit(2.0)
-    ranks = ranks.select("_g", "_v", (rank / F.col("_all")).alias("_pct"))
-    keyed = df.withColumn("_use", use).withColumn("_own", own)
-    met = keyed.join(ranks, (F.col("_own") == F.col("_g")) & (F.col(value) == F.col("_v")) & F.col("_use"), "left")
-    return met.withColumn(out, F.col("_pct")).drop("_use", "_own", "_g", "_v", "_pct")
-
-
-def normalise(df: DataFrame, value: str, out: str, method: str, group: str | None = None, source: DataFrame | None = None) -> DataFrame:
-    """``value`` on [0, 1] in column ``out`` by percentile, minmax, binary or zero_inflated; nulls stay null.
-
-    With a group each group is taken for itself, and rows of none get null. Ranks and ranges come from
-    ``source``, by default ``df``: many axes of one table take it, so that plans do not nest.
+
+def normalise_all(df: DataFrame, specs: list[tuple[str, str, str, str | None]]) -> DataFrame:
+    """``df`` with a column ``out`` on [0, 1] for each (value, out, method, group); nulls stay null.
+
+    Methods are percentile (average rank over number of values), minmax, both 0.5 where all values are equal, binary,
+    zero_inflated (percentile among positive values, else 0) and rank (percentile without the 0.5). With a group each group is taken for itself, and rows of none get null.
+
+    All columns go together: values are stacked to (column, group, value), distinct ones counted once, and cut into ranges of about equal
+    size whose totals give each range's first rank, so no partition holds all of a column or group. One join takes the
+    results back to the rows.
     """
-    v = F.col(value).cast("double")
-    source = df if source is None else source
-    if method == "binary":
-        return df.withColumn(out, v)
-    if method == "zero_inflated":
-        ranked = percentile(df.withColumn("_x", v), "_x", "_z", group, F.col("_x") > 0, source.withColumn("_x", v))
-        return ranked.withColumn(out, F.when(F.col("_x") > 0, F.col("_z")).when(F.col("_x").isNotNull(), 0.0)).drop("_x", "_z")
-    if method not in ("percentile", "minmax"):
-        raise ValueError(f"unknown normalisation: {method!r}")
-    own = F.lit(0) if group is None else F.col(group)
-    sides = source.groupBy(own.alias("_k")).agg(F.min(v).alias("_lo"), F.max(v).alias("_hi")).filter("_k is not null")
-    both = df.withColumn("_x", v).join(sides, own == F.col("_k"), "left")
-    if method == "percentile":
-        both = percentile(both, "_x", "_y", group, source=source.withColumn("_x", v))
-    else:
-        both = both.withColumn("_y", (F.col("_x") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)))
-    flat = F.when(F.col("_x").isNotNull() & (F.col("_lo") == F.col("_hi")), 0.5).otherwise(F.col("_y"))
-    return both.withColumn(out, flat).drop("_x", "_k", "_lo", "_hi", "_y")
+    if unknown := {m for _, _, m, _ in specs} - {"percentile", "minmax", "binary", "zero_inflated", "rank"}:
+        raise ValueError(f"unknown normalisation: {sorted(unknown)}")
+    row = _free(df, "row_id")
+    rows = materialise(df.withColumn(row, F.monotonically_increasing_id()))
+    double = lambda c: F.col(f"`{c}`").cast("double")
+    ranked = [(i, *spec) for i, spec in enumerate(specs) if spec[2] != "binary"]
+    out = rows
+    if ranked:
+        cells = [F.struct(F.lit(i).alias("i"), (F.lit("") if group is None else F.col(f"`{group}`").cast("string")).alias("g"), (F.when(double(value) > 0, double(value)) if method == "zero_inflated" else double(value)).alias("v")) for i, value, _, method, group in ranked]
+        long = rows.select(F.col(row).alias("row"), F.inline(F.array(*cells))).filter("g is not null and v is not null")
+        scores = _scores(materialise(long.groupBy("i", "g", "v").agg(F.count("*").alias("n"))), {i: method for i, _, _, method, _ in ranked})
+        wide = long.join(scores, ["i", "g", "v"]).groupBy("row").agg(*(F.max(F.when(F.col("i") == i, F.col("score"))).alias(f"s{i}") for i, *_ in ranked)).withColumnRenamed("row", row)
+        out = rows.join(wide, row, "left")
+    found = {}
+    for i, (value, name, method, _) in enumerate(specs):
+        score = double(value) if method == "binary" else F.col(f"s{i}")
+        found[name] = F.when(double(value) <= 0, 0.0).otherwise(score) if method == "zero_inflated" else score
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in found]
+    return out.select(*kept, *(c.alias(name) for name, c in found.items()))
+
+
+def _scores(counts: DataFrame, methods: dict[int, str]) -> DataFrame:
+    """(i, g, v, score) for the distinct values (i, g, v) that come ``n`` times."""
+    parts = [k / RANGES for k in range(1, RANGES)]
+    edges = {r[0]: sorted(set(r[1])) for r in counts.groupBy("i").agg(F.percentile_approx("v", parts, 1000)).collect()}  # one row a column
+    place = F.lit(0)
+    for i, found in edges.items():
+        place = F.when(F.col("i") == i, F.size(F.filter(F.array(*map(F.lit, found)), lambda e: F.col("v") > e))).otherwise(place)
+    counts = counts.withColumn("r", place)
+    whole = Window.partitionBy("i", "g")
+    totals = counts.groupBy("i", "g", "r").agg(F.sum("n").alias("t"), F.min("v").alias("low"), F.max("v").alias("high"))
+    totals = totals.select("i", "g", "r", (F.sum("t").over(whole.orderBy("r")) - F.col("t")).alias("before"), F.sum("t").over(whole).alias("all"), F.min("low").over(whole).alias("low"), F.max("high").over(whole).alias("high"))
+    within = F.sum("n").over(Window.partitionBy("i", "g", "r").orderBy("v")) - F.col("n")
+    both = counts.withColumn("within", within).join(totals, ["i", "g", "r"])
+    score = (F.col("before") + F.col("within") + (F.col("n") + 1) / F.lit(2.0)) / F.col("all")
+    kind = lambda *names: F.col("i").isin([i for i, m in methods.items() if m in names])
+    score = F.when(kind("minmax"), (F.col("v") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0))).otherwise(score)
+    return both.select("i", "g", "v", F.when(kind("percentile", "minmax") & (F.col("low") == F.col("high")), 0.5).otherwise(score).alias("score"))
+
+
+def normalise(df: DataFrame, value: str, out: str, method: str, group: str | None = None) -> DataFrame:
+    """One column of ``normalise_all``."""
+    return normalise_all(df, [(value, out, method, group)])
 
 
 @dataclass
@@ -96,19 +107,12 @@ def compute_index(axes: DataFrame, weights: dict[str, float], method: str = "per
     have = sum(weights[a] for a in used)
     scale = sum(weights.values()) / have if have > 0 else 0.0
     result = Weighted(axes, {a: weights[a] * scale for a in used}, {a: (reasons or {}).get(a, "eje sin valores en el scope actual") for a in weights if a not in used})
-    out, risk = axes, F.lit(0.0)
-    for axis in weights:
-        out = out.withColumn(f"{axis}_raw", F.col(axis).cast("double") if axis in axes.columns else F.lit(None).cast("double"))
-    base = out = materialise(out)
-    for axis in weights:
-        if axis not in used:
-            out = out.withColumn(f"{axis}_norm", F.lit(None).cast("double"))
-            continue
-        result.methods[axis] = method_of(axis, facts[axis][1], overrides or {}, method)
-        out = normalise(out, f"{axis}_raw", f"{axis}_norm", result.methods[axis], source=base)
-        signed = F.coalesce(F.col(f"{axis}_norm"), F.lit(0.0)) * F.lit(-1.0 if axis in mitigation else 1.0)
-        risk = risk + signed * F.lit(result.included[axis])
-    risky = materialise(out.withColumn("riesgo_bruto", risk))
-    out = normalise(risky, "riesgo_bruto", "indice", method)
-    result.scores = out.withColumn("indice_comuna", F.col("indice")) if group is None else normalise(out, "riesgo_bruto", "indice_comuna", method, group, source=risky)
+    raw = axes.withColumns({f"{a}_raw": F.col(a).cast("double") if a in axes.columns else F.lit(None).cast("double") for a in weights})
+    raw = raw.withColumns({f"{a}_norm": F.lit(None).cast("double") for a in weights if a not in used})
+    result.methods = {a: method_of(a, facts[a][1], overrides or {}, method) for a in used}
+    out, risk = normalise_all(raw, [(f"{a}_raw", f"{a}_norm", result.methods[a], None) for a in used]), F.lit(0.0)
+    for a in used:  # in the order of the weights, as sums of doubles depend on it
+        risk = risk + F.coalesce(F.col(f"{a}_norm"), F.lit(0.0)) * F.lit(-1.0 if a in mitigation else 1.0) * F.lit(result.included[a])
+    out = out.withColumn("riesgo_bruto", risk)
+    result.scores = normalise_all(out, [("riesgo_bruto", "indice", method, None), ("riesgo_bruto", "indice_comuna", method, group)])
     return result

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.functions import geometry as g
-from corvane.operators.proximity import within
+from corvane.operators.proximity import within_areas
 
 
 def roadway_widths(branches: DataFrame, sidewalks: DataFrame, offset_m: float = 12.0, max_width_m: float = 40.0, search_m: float = 80.0) -> DataFrame:
@@ -14,16 +13,20 @@ def roadway_widths(branches: DataFrame, sidewalks: DataFrame, offset_m: float =
 
     On a line across the street, ``offset_m`` out from the corner, each polygon edge gives a signed
     distance. The nearest on either side bound the free gap; an odd number on one side means that
-    the point lies on that sidewalk.
+    the point lies on that sidewalk. Polygons near a corner are found once a corner, then their edges, as
+    plain numbers, are held against the lines of all its branches.
     """
     sites = branches.groupBy("key").agg(F.first("x").alias("x"), F.first("y").alias("y"))
-    areas = sidewalks.select("shape", F.lit(True).alias("area"))
-    near = within(sites, areas, search_m).select("key", "shape")
+    areas = sidewalks.select("shape", F.monotonically_increasing_id().alias("polygon"))
+    edges = within_areas(sites, areas, search_m).select("key", "polygon", F.inline("shape"))
     angle = F.radians("bearing_deg")
-    px, py = F.col("x") + F.sin(angle) * offset_m, F.col("y") + F.cos(angle) * offset_m
-    cuts = branches.join(near, "key").withColumn("t", g.transect_crossings(px, py, F.cos(angle), -F.sin(angle), F.col("shape")))
-    on = (F.size(F.filter("t", lambda t: t > 0)) % 2 == 1) | F.exists("t", lambda t: t == 0)
-    by = cuts.groupBy("key", "branch").agg(F.max(F.array_max(F.filter("t", lambda t: t < 0))).alias("left"), F.min(F.array_min(F.filter("t", lambda t: t > 0))).alias("right"), F.bool_or(on).alias("on"))
+    lines = branches.select("key", "branch", F.sin(angle).alias("sin"), F.cos(angle).alias("cos"), "x", "y").select("key", "branch", F.col("cos").alias("nx"), (-F.col("sin")).alias("ny"), (F.col("x") + F.col("sin") * offset_m).alias("px"), (F.col("y") + F.col("cos") * offset_m).alias("py"))
+    side = lambda i: (F.col(f"x{i}") - F.col("px")) * F.col("ny") - (F.col(f"y{i}") - F.col("py")) * F.col("nx")
+    place = lambda i: (F.col(f"x{i}") - F.col("px")) * F.col("nx") + (F.col(f"y{i}") - F.col("py")) * F.col("ny")
+    both = lines.join(edges, "key").select("key", "branch", "polygon", side(1).alias("a"), side(2).alias("b"), place(1).alias("p"), place(2).alias("q"))
+    cuts = both.filter((F.col("a") > 0) != (F.col("b") > 0)).select("key", "branch", "polygon", (F.col("p") + F.col("a") / (F.col("a") - F.col("b")) * (F.col("q") - F.col("p"))).alias("t"))
+    by = cuts.groupBy("key", "branch", "polygon").agg(F.max(F.when(F.col("t") < 0, F.col("t"))).alias("left"), F.min(F.when(F.col("t") > 0, F.col("t"))).alias("right"), ((F.count_if(F.col("t") > 0) % 2 == 1) | (F.count_if(F.col("t") == 0) > 0)).alias("on"))
+    by = by.groupBy("key", "branch").agg(F.max("left").alias("left"), F.min("right").alias("right"), F.bool_or("on").alias("on"))
     wide = F.col("right") - F.col("left")
     sound = ~F.col("on") & (F.col("right") < max_width_m) & (F.col("left") > -max_width_m) & (wide <= max_width_m)
     return branches.select("key", "branch").join(by.select("key", "branch", F.when(sound, wide).alias("width")), ["key", "branch"], "left")

@@ -14,9 +14,9 @@ GEOMETRY = ("crossing_length", "n_branches", "acute_angle", "roadway_width", "no
 
 def spearman(df: DataFrame, a: str, b: str) -> tuple[float | None, float | None, int]:
     """(rho, two-sided p-value, n) over rows that have both."""
-    both = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-    ranked = scoring.percentile(scoring.percentile(both, a, "_ra"), b, "_rb")
-    rho, n = ranked.agg(F.corr("_ra", "_rb"), F.count("*")).first()
+    both = df.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a is not null and b is not null")
+    ranked = scoring.normalise_all(both, [("a", "rank_a", "rank", None), ("b", "rank_b", "rank", None)])
+    rho, n = ranked.agg(F.corr("rank_a", "rank_b"), F.count("*")).first()
     return rho, p_value(rho, n), n
 
 
@@ -63,13 +63,13 @@ def geometric_index(df: DataFrame, weights: dict[str, float], method: str, overr
     used = [a for a in raw if facts[a][0]]
     if not used:
         return None
-    out, total = df, F.lit(0.0)
-    for a in used:
-        axis = a.removesuffix("_raw")
-        out = scoring.normalise(out, a, f"_g_{axis}", scoring.method_of(axis, facts[a][1], overrides, method))
-        total = total + F.coalesce(F.col(f"_g_{axis}"), F.lit(0.0)) * F.lit(float(weights[axis]))
-    out = scoring.normalise(out.withColumn("_g", total), "_g", "geometric_index", method)
-    return out.drop("_g", *(f"_g_{a.removesuffix('_raw')}" for a in used))
+    axes = [a.removesuffix("_raw") for a in used]
+    rows = df.select("corner_id", "crash_history_raw", *used) if "corner_id" in df.columns and "crash_history_raw" in df.columns else df
+    out, total = scoring.normalise_all(rows, [(f"{a}_raw", f"{a}_geometric", scoring.method_of(a, facts[f"{a}_raw"][1], overrides, method), None) for a in axes]), F.lit(0.0)
+    for a in axes:
+        total = total + F.coalesce(F.col(f"{a}_geometric"), F.lit(0.0)) * F.lit(float(weights[a]))
+    out = scoring.normalise(out.withColumn("geometric_risk", total), "geometric_risk", "geometric_index", method)
+    return out.drop("geometric_risk", *(f"{a}_geometric" for a in axes))
 
 
 def validate(scores: DataFrame, available: bool, reason: str | None, weights: dict[str, float], method: str, overrides: dict[str, str], included: list[str]) -> dict:
@@ -83,8 +83,8 @@ def validate(scores: DataFrame, available: bool, reason: str | None, weights: di
     if geometric is not None:
         rho, p, _ = spearman(geometric, "geometric_index", "crash_history_raw")
         report["spearman_indice_geometrico_vs_siniestros"] = {"rho": rho, "p_value": p}
-        left = scoring.normalise(geometric, "crash_history_raw", "_c", method).withColumn("_residual", F.col("geometric_index") - F.col("_c"))
-        low, high = extremes(left, "_residual", "corner_id")
+        left = scoring.normalise(geometric, "crash_history_raw", "crashes", method).withColumn("residual", F.col("geometric_index") - F.col("crashes"))
+        low, high = extremes(left, "residual", "corner_id")
     #: Fixed value: the note that goes with the residuals.
     note = "geometria_alta_pocos_siniestros: ¿mitigación efectiva o poco flujo? geometria_baja_muchos_siniestros: ¿falta un eje geométrico relevante?"
     return report | {"residuos": {"nota": note, "geometria_alta_pocos_siniestros": high, "geometria_baja_muchos_siniestros": low}}

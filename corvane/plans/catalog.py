@@ -92,17 +92,17 @@ def nearby_bool(spark, d):
 
 @query(_CITY + f"SELECT key, count(c.id) AS n FROM pts p LEFT JOIN crash c ON {_NEAR.format(30)} GROUP BY key")
 def nearby_count(spark, d):
-    return proximity.nearby_count(pts(spark, d), crashes(spark, d), 30.0)
+    return proximity.nearby_count(pts(spark, d), crashes(spark, d), 30.0, once=False)
 
 
 @query(_CITY + f"SELECT key, coalesce(sum(CASE WHEN c.id IS NOT NULL THEN {_W} END), 0)::DOUBLE AS total FROM pts p LEFT JOIN crash c ON {_NEAR.format(30)} GROUP BY key")
 def nearby_weighted_sum(spark, d):
-    return proximity.nearby_sum(pts(spark, d), crashes(spark, d), 30.0, axes.severity_weight(F.col("gravedad_siniestro"), config.SEVERITY))
+    return proximity.nearby_sum(pts(spark, d), crashes(spark, d), 30.0, axes.severity_weight(F.col("gravedad_siniestro"), config.SEVERITY), once=False)
 
 
 @query(_CITY + f"SELECT key, coalesce(sum(c.w), 0)::DOUBLE AS ped_flow_proxy FROM pts p LEFT JOIN stop c ON {_NEAR.format(100)} GROUP BY key")
 def ped_flow_proxy(spark, d):
-    return proximity.nearby_sum(pts(spark, d), stops(spark, d), 100.0, F.col("weight"), "ped_flow_proxy")
+    return proximity.nearby_sum(pts(spark, d), stops(spark, d), 100.0, F.col("weight"), "ped_flow_proxy", once=False)
 
 
 @query(_CITY + f"""SELECT key, coalesce(sum(CASE WHEN c.id IS NOT NULL THEN {_W} END), 0)::DOUBLE AS crash_history, count(c.id) AS crash_count,
@@ -111,7 +111,7 @@ def ped_flow_proxy(spark, d):
   FROM pts p LEFT JOIN crash c ON {_NEAR.format(30)} GROUP BY key""")
 def crash_details(spark, d):
     facts = axes.crash_facts(config.SEVERITY, (2019, 2021), (2023, 2025))
-    found = proximity.measure(pts(spark, d), crashes(spark, d), 30.0, **facts)
+    found = proximity.measure(pts(spark, d), crashes(spark, d), 30.0, once=False, **facts)
     return found.select("key", *(F.coalesce(F.col(c), F.lit(0.0) if c == "crash_history" else F.lit(0)).alias(c) for c in facts))
 
 
@@ -508,12 +508,12 @@ def corner_index(spark, d):
     p = pts(spark, d)
     both = roads(spark, d).select(F.explode(F.array("u", "v")).alias("key")).groupBy("key").agg(F.count("*").cast("double").alias("n_branches"))
     widths = transects.crossing_metrics(_probes(spark, d), walks(spark, d)).withColumn("roadway_width", F.round("roadway_width", 9))
-    history = proximity.nearby_sum(p, crashes(spark, d), 30.0, axes.severity_weight(F.col("gravedad_siniestro"), config.SEVERITY), "crash_history")
-    flow = proximity.nearby_sum(p, stops(spark, d), 100.0, F.col("weight"), "ped_flow_proxy")
+    history = proximity.nearby_sum(p, crashes(spark, d), 30.0, axes.severity_weight(F.col("gravedad_siniestro"), config.SEVERITY), "crash_history", once=False)
+    flow = proximity.nearby_sum(p, stops(spark, d), 100.0, F.col("weight"), "ped_flow_proxy", once=False)
     table = p.join(both, "key", "left").fillna(0.0, ["n_branches"]).join(widths, "key", "left").join(history, "key", "left").join(flow, "key", "left").withColumn("no_refuge", F.lit(None).cast("double"))
     from corvane.storage import materialise
 
     w = scoring.compute_index(materialise(table), _CITY_WEIGHTS, overrides={"crash_history": "zero_inflated", "ped_flow_proxy": "zero_inflated"}, group="comuna")
     risk = w.scores.select("key", "comuna", F.round("riesgo_bruto", 8).alias("riesgo_bruto"))
-    out = scoring.normalise(scoring.normalise(risk, "riesgo_bruto", "indice", "percentile"), "riesgo_bruto", "indice_comuna", "percentile", "comuna", source=risk)
+    out = scoring.normalise_all(risk, [("riesgo_bruto", "indice", "percentile", None), ("riesgo_bruto", "indice_comuna", "percentile", "comuna")])
     return out.select("key", "riesgo_bruto", F.round("indice", 4).alias("indice"), F.round("indice_comuna", 4).alias("indice_comuna"))

@@ -61,15 +61,18 @@ def _put(path: Path, value: dict) -> None:
 
 
 def save_documents(r: Run, config: Config, folder: Path) -> int:
-    """One file per corner, streamed through the driver row by row; earlier files go."""
+    """One file per corner, written by the tasks into a folder that all of them share; earlier files go."""
     folder.mkdir(parents=True, exist_ok=True)
     for old in folder.glob("*.json"):
         old.unlink()
-    n = 0
-    for row in _documents(r, config, config.fichas_top_n).toLocalIterator():
-        _put(folder / f"{row['corner_id']}.json", json.loads(row["ficha"]))
-        n += 1
-    return n
+    made = materialise(_documents(r, config, config.fichas_top_n).select("corner_id", "ficha"))
+
+    def put(rows) -> None:
+        for row in rows:
+            _put(folder / f"{row['corner_id']}.json", json.loads(row["ficha"]))
+
+    made.foreachPartition(put)
+    return made.count()
 
 
 def save_report(r: Run, config: Config, path: Path) -> int:
@@ -91,8 +94,13 @@ def features(table: DataFrame) -> DataFrame:
     return table.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*cols).alias("properties"), place.alias("geometry")), {"ignoreNullFields": "false"}).alias("value"))
 
 
+def save_features(table: DataFrame, path: str) -> None:
+    """A folder of files with one feature a line, written by the tasks."""
+    features(table).write.mode("overwrite").text(path)
+
+
 def save_geojson(table: DataFrame, path: Path) -> None:
-    """A feature collection, streamed through the driver; ``features(...).write.text`` keeps it in parts."""
+    """One feature collection in one file, for the report page: lines of the features' files, put together on the driver one by one."""
     path.parent.mkdir(parents=True, exist_ok=True)
     with path.open("w", encoding="utf-8") as f:
         f.write('{"type": "FeatureCollection", "features": [\n')
@@ -101,11 +109,14 @@ def save_geojson(table: DataFrame, path: Path) -> None:
         f.write("\n]}\n")
 
 
-def export(r: Run, config: Config, out: str) -> None:
+def export(r: Run, config: Config, out: str, collection: bool = True) -> None:
+    """All sinks; the feature collection in one file only where ``collection`` asks for it."""
     folder = Path(out)
     r.corners.write.mode("overwrite").parquet(f"{out}/corners.parquet")
     r.table.write.mode("overwrite").parquet(f"{out}/esquinas.parquet")
-    save_geojson(r.table, folder / "esquinas.geojson")
+    save_features(r.table, f"{out}/esquinas_por_linea")
+    if collection:
+        save_geojson(r.table, folder / "esquinas.geojson")
     save_documents(r, config, folder / "fichas")
     save_report(r, config, folder / "reporte.json")
     _put(folder / "run_metadata.json", metadata(r, config))
@@ -122,10 +133,11 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--raw", default="data/raw")
     args.add_argument("--out", default="data/processed")
     args.add_argument("--top", type=int, default=10)
+    args.add_argument("--no-collection", action="store_true", help="keep features in parts only")
     a = args.parse_args(argv)
     began, spark, config = time.time(), SparkSession.builder.appName("corvane").getOrCreate(), load_config(a.config)
     r = run(spark, config, a.raw)
-    export(r, config, a.out)
+    export(r, config, a.out, not a.no_collection)
     for row in r.table.orderBy(F.desc_nulls_last("indice"), "corner_ord").limit(a.top).select("corner_id", "calles", "comuna", "indice").collect():
         print(*row)
     print(f"{time.time() - began:.1f} s")

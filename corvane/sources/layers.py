@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from corvane.functions import crs
 from corvane.functions import geometry as g
 from corvane.functions.text import folded_equal, number, repair
-from corvane.operators.proximity import intersects_box, within
+from corvane.operators.proximity import crossing, intersects_box, within
 
 _STREET = {k: "string" for k in ("nomoficial", "tipo_c", "sentido", "bicisenda", "red_jerarq", "barrio", "barrio_par", "barrio_imp")} | {k: "double" for k in ("comuna", "com_par", "com_impar")}
 #: Each layer's file, kind and properties.
@@ -83,7 +83,8 @@ def read_geojson(spark: SparkSession, path: str, latin1: bool = True, properties
     out = out.withColumn("rings", F.transform("rings", lambda ring: F.transform(ring, lambda p: _lonlat(p, F.col("epsg")))))
     metric = out.withColumn("m", F.transform("rings", lambda ring: F.transform(ring, _metric)))
     shape = F.flatten(F.transform("m", g.path))
-    return metric.select(F.col("ord").cast("long").alias("ord"), "part", "geom_type", F.col("rings")[0].alias("lonlat"), F.col("m")[0].alias("points"), shape.alias("shape"), F.coalesce(F.col("geom_type").isin("Polygon", "MultiPolygon"), F.lit(False)).alias("area"), "epsg", *kinds)
+    outline = F.flatten(F.transform("rings", lambda ring: g.path(F.transform(ring, lambda p: F.struct(p["lon"].alias("x"), p["lat"].alias("y"))))))
+    return metric.select(F.col("ord").cast("long").alias("ord"), "part", "geom_type", F.col("rings")[0].alias("lonlat"), F.col("m")[0].alias("points"), shape.alias("shape"), outline.alias("outline"), F.coalesce(F.col("geom_type").isin("Polygon", "MultiPolygon"), F.lit(False)).alias("area"), "epsg", *kinds)
 
 
 def read_csv_points(spark: SparkSession, path: str, lon: str = "long", lat: str = "lat", sep: str = ",") -> DataFrame:
@@ -131,7 +132,7 @@ def crop_streets(streets: DataFrame, scope: dict) -> DataFrame:
     elif mode == "barrio":
         same = [folded_equal(F.col(c), scope["barrio"]) for c in ("barrio", "barrio_par", "barrio_imp")]
     elif mode == "bbox":
-        return streets.filter(intersects_box(g.path(F.transform("lonlat", lambda p: F.struct(p["lon"].alias("x"), p["lat"].alias("y")))), scope["bbox"]))
+        return crop_box(streets, scope["bbox"])
     else:
         raise ValueError(f"unknown scope mode: {mode!r}")
     return streets.filter(same[0] | same[1] | same[2])
@@ -140,7 +141,7 @@ def crop_streets(streets: DataFrame, scope: dict) -> DataFrame:
 def crop_near(layer: DataFrame, streets: DataFrame, buffer_m: float) -> DataFrame:
     """Rows of a layer within ``buffer_m`` of any street of the scope, by a semi-join of their segments on the grid.
 
-    The distance of two segments that do not cross is that of an end of one to the other.
+    Two segments that meet have no distance; that of others is the distance of an end of one to the other.
     """
     rows = layer.withColumn("_row", F.xxhash64(F.to_json(F.struct(*[c for c in layer.columns if c != "shape"])), F.to_json("shape")))
     corners = lambda s: F.array(F.struct(s["x1"].alias("x"), s["y1"].alias("y")), F.struct(s["x2"].alias("x"), s["y2"].alias("y")))
@@ -148,10 +149,17 @@ def crop_near(layer: DataFrame, streets: DataFrame, buffer_m: float) -> DataFram
     near = within(ends, streets.select("shape"), buffer_m).select("key")
     street_ends = streets.select(F.explode(F.array_distinct(F.flatten(F.transform("shape", corners)))).alias("p")).select(F.lit(0).alias("key"), "p.x", "p.y").distinct()
     back = within(street_ends, rows.select("_row", "shape", "area"), buffer_m).select(F.col("_row").alias("key"))
-    hit = near.unionAll(back).select(F.col("key").alias("_row")).distinct()
+    through = crossing(rows.select(F.col("_row").alias("key"), F.inline("shape")), streets.select(F.inline("shape")), max(float(buffer_m), 1.0))
+    hit = near.unionAll(back).unionAll(through).select(F.col("key").alias("_row")).distinct()
     return rows.join(hit, "_row", "left_semi").drop("_row")
 
 
+def crop_box(layer: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
+    """Rows of a layer that touch a box of degrees: all lines of a part count, and areas that hold the box."""
+    outline = F.col("outline") if "outline" in layer.columns else g.path(F.transform("lonlat", lambda p: F.struct(p["lon"].alias("x"), p["lat"].alias("y"))))
+    return layer.filter(intersects_box(outline, box, F.col("area") if "area" in layer.columns else None))
+
+
 def load(spark: SparkSession, folder: str, scope: dict) -> Layers:
     """All layers, cropped to the scope. Streets must be there."""
     found = load_all(spark, folder)
@@ -166,8 +174,7 @@ def load(spark: SparkSession, folder: str, scope: dict) -> Layers:
         if name == "veredas" and scope["mode"] == "comuna":
             found.tables[name] = df.filter(F.col("COMUNA") == int(scope["comuna"]))
         elif scope["mode"] == "bbox":
-            box = g.path(F.transform("lonlat", lambda p: F.struct(p["lon"].alias("x"), p["lat"].alias("y"))))
-            found.tables[name] = df.filter(intersects_box(box, scope["bbox"]))
+            found.tables[name] = crop_box(df, scope["bbox"])
         else:
             found.tables[name] = crop_near(df, streets, scope["buffer_m"])
     return found
