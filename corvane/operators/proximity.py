@@ -57,8 +57,8 @@ def _placed(sites: DataFrame, size: float) -> DataFrame:
     return sites.select("key", "x", "y", F.floor(F.col("x") / size).alias("_cx"), F.floor(F.col("y") / size).alias("_cy"))
 
 
-def within_areas(sites: DataFrame, targets: DataFrame, radius: float) -> DataFrame:
-    """Pairs of a site and an area (shape, and more) that holds it or is at most ``radius`` away, with all of the area's columns."""
+def near_boxes(sites: DataFrame, targets: DataFrame, radius: float) -> DataFrame:
+    """Pairs of a site and an area (shape, and more) whose box meets the square of ``radius`` around the site, with all of the area's columns and the site's place."""
     size = _size(radius)
     s = _placed(sites, size)
     cells = lambda low, high: F.explode(F.sequence(F.floor((low - radius) / size), F.floor((high + radius) / size)))
@@ -67,10 +67,14 @@ def within_areas(sites: DataFrame, targets: DataFrame, radius: float) -> DataFra
     boxed = targets.withColumns({"_x0": low("x1", "x2"), "_x1": high("x1", "x2"), "_y0": low("y1", "y2"), "_y1": high("y1", "y2")})
     t = boxed.withColumn("_cx", cells(F.col("_x0"), F.col("_x1"))).withColumn("_cy", cells(F.col("_y0"), F.col("_y1")))
     x, y = F.col("x"), F.col("y")
-    out = lambda v, a, b: F.greatest(F.col(a) - v, v - F.col(b), F.lit(0.0))
-    box = out(x, "_x0", "_x1") * out(x, "_x0", "_x1") + out(y, "_y0", "_y1") * out(y, "_y0", "_y1")
-    met = s.join(t, ["_cx", "_cy"]).filter(box <= radius * radius).filter(g.distance2(x, y, F.col("shape"), F.lit(True)) <= radius * radius)
-    return met.select("key", *targets.columns)
+    met = s.join(t, ["_cx", "_cy"]).filter((x >= F.col("_x0") - radius) & (x <= F.col("_x1") + radius) & (y >= F.col("_y0") - radius) & (y <= F.col("_y1") + radius))
+    return met.select("key", "x", "y", *targets.columns)
+
+
+def within_areas(sites: DataFrame, targets: DataFrame, radius: float) -> DataFrame:
+    """Pairs of a site and an area (shape, and more) that holds it or is at most ``radius`` away, with all of the area's columns."""
+    near = near_boxes(sites, targets, radius)
+    return near.filter(g.distance2(F.col("x"), F.col("y"), F.col("shape"), F.lit(True)) <= radius * radius).select("key", *targets.columns)
 
 
 def measure(sites: DataFrame, targets: DataFrame, radius: float, once: bool = True, **found: Column) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.operators.proximity import within_areas
+from corvane.operators.proximity import near_boxes
 
 
 def roadway_widths(branches: DataFrame, sidewalks: DataFrame, offset_m: float = 12.0, max_width_m: float = 40.0, search_m: float = 80.0) -> DataFrame:
@@ -13,12 +13,12 @@ def roadway_widths(branches: DataFrame, sidewalks: DataFrame, offset_m: float =
 
     On a line across the street, ``offset_m`` out from the corner, each polygon edge gives a signed
     distance. The nearest on either side bound the free gap; an odd number on one side means that
-    the point lies on that sidewalk. Polygons near a corner are found once a corner, then their edges, as
+    the point lies on that sidewalk. Polygons whose box comes within ``search_m`` are found once a corner, then their edges, as
     plain numbers, are held against the lines of all its branches.
     """
     sites = branches.groupBy("key").agg(F.first("x").alias("x"), F.first("y").alias("y"))
     areas = sidewalks.select("shape", F.monotonically_increasing_id().alias("polygon"))
-    edges = within_areas(sites, areas, search_m).select("key", "polygon", F.inline("shape"))
+    edges = near_boxes(sites, areas, search_m).select("key", "polygon", F.inline("shape"))
     angle = F.radians("bearing_deg")
     lines = branches.select("key", "branch", F.sin(angle).alias("sin"), F.cos(angle).alias("cos"), "x", "y").select("key", "branch", F.col("cos").alias("nx"), (-F.col("sin")).alias("ny"), (F.col("x") + F.col("sin") * offset_m).alias("px"), (F.col("y") + F.col("cos") * offset_m).alias("py"))
     side = lambda i: (F.col(f"x{i}") - F.col("px")) * F.col("ny") - (F.col(f"y{i}") - F.col("py")) * F.col("nx")

@@ -492,6 +492,107 @@ def crs_round_trip(spark, d):
     return m.select("vec_id", F.round(back[0], 9).alias("lon"), F.round(back[1], 9).alias("lat"))
 
 
+# Whole operators -------------------------------------------------------------
+
+_MEET = """, a AS (SELECT u, v, x1, y1, x2, y2 FROM road WHERE cu <> 3), b AS (SELECT x1 AS a1, y1 AS b1, x2 AS a2, y2 AS b2 FROM road WHERE cu = 3),
+pair AS (SELECT * FROM a JOIN b ON least(x1, x2) - 1 <= greatest(a1, a2) AND greatest(x1, x2) + 1 >= least(a1, a2) AND least(y1, y2) - 1 <= greatest(b1, b2) AND greatest(y1, y2) + 1 >= least(b1, b2)),
+cross_ AS (SELECT u, v FROM pair WHERE ((a2 - a1) * (y1 - b1) - (b2 - b1) * (x1 - a1)) * ((a2 - a1) * (y2 - b1) - (b2 - b1) * (x2 - a1)) <= 0
+  AND ((x2 - x1) * (b1 - y1) - (y2 - y1) * (a1 - x1)) * ((x2 - x1) * (b2 - y1) - (y2 - y1) * (a2 - x1)) <= 0),
+tip AS (SELECT u, v, unnest([{'px': x1, 'py': y1, 'ax': a1, 'ay': b1, 'dx': a2 - a1, 'dy': b2 - b1}, {'px': x2, 'py': y2, 'ax': a1, 'ay': b1, 'dx': a2 - a1, 'dy': b2 - b1},
+  {'px': a1, 'py': b1, 'ax': x1, 'ay': y1, 'dx': x2 - x1, 'dy': y2 - y1}, {'px': a2, 'py': b2, 'ax': x1, 'ay': y1, 'dx': x2 - x1, 'dy': y2 - y1}]) AS e FROM pair),
+near_ AS (SELECT u, v FROM (SELECT u, v, e, greatest(0.0, least(1.0, ((e.px - e.ax) * e.dx + (e.py - e.ay) * e.dy) / (e.dx * e.dx + e.dy * e.dy))) AS t FROM tip) WHERE (e.px - e.ax - t * e.dx) ** 2 + (e.py - e.ay - t * e.dy) ** 2 <= 1)
+"""
+
+
+@query(_CITY + _MEET + "SELECT u, v FROM cross_ UNION SELECT u, v FROM near_")
+def scope_crossing_lines(spark, d):
+    """Roads that meet, or come within 1 m of, a road of the scope, most of them by crossing it."""
+    r = roads(spark, d)
+    rest = r.filter("cu <> 3").select("u", "v", "shape", F.lit(False).alias("area"))
+    return layers.crop_near(rest, r.filter("cu = 3").select("shape"), 1.0).select("u", "v")
+
+
+def _streets(spark, d) -> DataFrame:
+    """The roads as a layer of streets, with nodes too far apart to merge."""
+    r = roads(spark, d)
+    place = lambda k: F.struct((F.lit(-58.0) - F.col(k) * 0.001).alias("lon"), F.lit(-34.6).alias("lat"))
+    metres = F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))
+    s = r.withColumns({"x1": F.col("shape")[0]["x1"], "y1": F.col("shape")[0]["y1"], "x2": F.col("shape")[0]["x2"], "y2": F.col("shape")[0]["y2"]})
+    cols = {"seg_id": F.col("u") * 1_000_000 + F.col("v"), "geom_type": F.lit("LineString"), "lonlat": F.array(place("u"), place("v")), "points": metres, "tipo_c": F.when(F.col("nomoficial") == "S0", "AVENIDA").otherwise("CALLE"), "comuna": F.lit(None).cast("double"), "com_par": F.col("cu").cast("double"), "com_impar": F.col("cv").cast("double"), "barrio": F.concat(F.lit("B"), F.col("cv") % 3)}
+    return s.withColumns(cols | {c: F.lit(None).cast("string") for c in ("sentido", "bicisenda", "red_jerarq", "barrio_par", "barrio_imp")})
+
+
+@query(_CITY + _ENDS.replace("FROM road UNION", ", u, v, 0 AS e FROM road UNION").replace("cu, name FROM road)", "cu, name, u, v, 1 FROM road)").replace("cu, cv, name , u", "cu, cv, name, u") + """, deg AS (SELECT node, min((u * 1000000 + v) * 2 + e) AS corner_ord FROM ends GROUP BY node HAVING count(*) >= 3),
+  br AS (SELECT node, other, name, round_even(CASE WHEN b < 0 THEN b + 360 ELSE b END, 1) AS bearing_deg FROM (SELECT *, degrees(atan2(x2 - x1, y2 - y1)) AS b FROM ends) JOIN deg USING (node)),
+  ded AS (SELECT node, name, (round_even(bearing_deg / 30, 0)::BIGINT % 12) AS sector, min_by(bearing_deg, other) AS bearing_deg FROM br GROUP BY ALL),
+  s AS (SELECT node, bearing_deg, count(*) OVER (PARTITION BY node) AS n, coalesce(lead(bearing_deg) OVER w - bearing_deg, min(bearing_deg) OVER (PARTITION BY node) + 360 - bearing_deg) AS g0 FROM ded WINDOW w AS (PARTITION BY node ORDER BY bearing_deg, name)),
+  cr AS (SELECT *, n >= 2 AND abs(g - 180) > 20 AS crossing FROM (SELECT node, n, least(g0 % 360, 360 - g0 % 360) AS g FROM s)),
+  ang AS (SELECT node, coalesce(bool_or(g < 70 OR g > 110) FILTER (crossing), false) AS is_diagonal, round(max(abs(g - 90)) FILTER (crossing), 6) AS acute_angle FROM cr GROUP BY node),
+  seg AS (SELECT ends.node, ends.other, CASE e WHEN 0 THEN cu ELSE cv END AS c, 'B' || ((CASE e WHEN 0 THEN cv ELSE cu END) % 3) AS b FROM ends JOIN deg USING (node)),
+  com AS (SELECT node, c FROM (SELECT node, c, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, min(other)) AS r FROM seg GROUP BY node, c) WHERE r = 1),
+  bar AS (SELECT node, b FROM (SELECT node, b, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, min(other)) AS r FROM seg GROUP BY node, b) WHERE r = 1)
+  SELECT corner_ord, count(*)::INT AS n_branches, 1 AS n_merged_nodes, any_value(is_diagonal) AS is_diagonal, bool_or(name = 'S0') AS has_avenida, any_value(acute_angle) AS acute_angle_raw, any_value(com.c)::INT AS comuna, any_value(bar.b) AS barrio
+  FROM ded JOIN deg USING (node) JOIN ang USING (node) JOIN com USING (node) JOIN bar USING (node) GROUP BY corner_ord HAVING count(*) >= 3""")
+def build_corners(spark, d):
+    c = network.build_corners(_streets(spark, d))
+    return c.select("corner_ord", "n_branches", "n_merged_nodes", "is_diagonal", "has_avenida", F.round("acute_angle_raw", 6).alias("acute_angle_raw"), "comuna", "barrio")
+
+
+_GEO = "g AS (SELECT c_custkey, (c_custkey % 37)::DOUBLE AS crossing_length, (c_custkey % 5 + 3)::DOUBLE AS n_branches, CASE WHEN c_custkey % 4 <> 0 THEN (c_custkey % 45)::DOUBLE END AS acute_angle, round(c_acctbal / 100) AS roadway_width, (c_custkey % 11 = 0)::INT::DOUBLE AS no_refuge, (c_custkey % 6)::DOUBLE AS crash, round(c_acctbal / 1000) AS indice FROM customer)"
+_GEO_WEIGHTS = {"crossing_length": 1.0, "n_branches": 0.75, "acute_angle": 0.5, "roadway_width": 0.875, "no_refuge": 0.25, "speed_limit": 1.0}
+
+
+def _geometry(spark, d) -> DataFrame:
+    k = F.col("c_custkey")
+    cols = {"crossing_length_raw": (k % 37).cast("double"), "n_branches_raw": (k % 5 + 3).cast("double"), "acute_angle_raw": F.when(k % 4 != 0, (k % 45).cast("double")), "roadway_width_raw": F.round(F.col("c_acctbal") / 100), "no_refuge_raw": (k % 11 == 0).cast("double"), "speed_limit_raw": F.lit(None).cast("double"), "crash_history_raw": (k % 6).cast("double"), "indice": F.round(F.col("c_acctbal") / 1000)}
+    return _table(spark, d, "customer").select(k.alias("corner_id"), *(c.alias(n) for n, c in cols.items()))
+
+
+_GEO_SQL = f"""WITH {_GEO}, n AS (SELECT *, {_norm('crossing_length')} AS a, {_norm('n_branches')} AS b, {_norm('acute_angle')} AS c, {_norm('roadway_width')} AS d FROM g),
+  r AS (SELECT *, 0.0::DOUBLE + a * 1.0::DOUBLE + b * 0.75::DOUBLE + coalesce(c, 0) * 0.5::DOUBLE + d * 0.875::DOUBLE + no_refuge * 0.25::DOUBLE AS risk FROM n), i AS (SELECT *, {_norm('risk')} AS geometric FROM r)
+"""
+
+
+@query(_GEO_SQL + "SELECT c_custkey AS corner_id, round(geometric, 4) AS geometric_index FROM i")
+def geometric_index(spark, d):
+    found = validation.geometric_index(_geometry(spark, d), _GEO_WEIGHTS, "percentile", {})
+    return found.select("corner_id", F.round("geometric_index", 4).alias("geometric_index"))
+
+
+@query(_GEO_SQL + f", q AS (SELECT {_pct('indice')} AS i, {_pct('geometric')} AS g, {_pct('crash')} AS c FROM i) SELECT 'ok' AS status, count(*) AS n_corners, round(corr(i, c), 6) AS rho_compuesto, round(corr(g, c), 6) AS rho_geometrico FROM q")
+def validation_report(spark, d):
+    r = validation.validate(_geometry(spark, d), True, None, _GEO_WEIGHTS, "percentile", {}, list(_GEO_WEIGHTS))
+    rho = lambda kind: round(r[f"spearman_indice_{kind}_vs_siniestros"]["rho"], 6)
+    return spark.createDataFrame([(r["status"], r["n_corners"], rho("compuesto"), rho("geometrico"))], "status string, n_corners long, rho_compuesto double, rho_geometrico double")
+
+
+@query(_SUPPLIER + "SELECT comuna FROM (SELECT DISTINCT s_nationkey AS comuna FROM s)")
+def report_districts(spark, d):
+    return report.districts(_proposed(spark, d))
+
+
+@query(_SUPPLIER + """SELECT rank, k AS s_suppkey FROM (SELECT *, row_number() OVER (ORDER BY k % 50 DESC, k) AS rank FROM s) WHERE rank <= 60 AND k IN (SELECT k FROM i WHERE tipo = 'Calmar el tránsito')""")
+def report_ranks(spark, d):
+    """Places among the best are given before the filter."""
+    best = report.top(_proposed(spark, d).withColumns({"indice": (F.col("s_suppkey") % 50).cast("double"), "corner_ord": F.col("s_suppkey")}), 60)
+    return report.keep(best, kind="Calmar el tránsito").select(F.col("rank").cast("long").alias("rank"), "s_suppkey")
+
+
+@query(_SUPPLIER + """SELECT k AS s_suppkey, nombre, presente FROM (SELECT k, 'Semáforo peatonal' AS nombre, signal AS presente FROM s UNION ALL SELECT k, 'Reductor de velocidad', calm FROM s WHERE calm IS NOT NULL)""")
+def mitigation_chips(spark, d):
+    t = _supplier_axes(spark, d).withColumn("crossing_marked_raw", F.lit(None).cast("double"))
+    return t.select("s_suppkey", F.inline(report.mitigation()))
+
+
+@query("SELECT c_custkey, 'Feature' AS kind, -58.0 - c_custkey / 1000.0::DOUBLE AS lon, round_even(c_acctbal / 7, 4) AS valor FROM customer")
+def corner_features(spark, d):
+    from corvane.plans import risk
+
+    t = _table(spark, d, "customer").select("c_custkey", (F.col("c_acctbal") / F.lit(7.0)).alias("valor"), (F.lit(-58.0) - F.col("c_custkey") / F.lit(1000.0)).alias("lon"), F.lit(-34.5).alias("lat"))
+    j = lambda p: F.get_json_object("value", p)
+    return risk.features(t).select(j("$.properties.c_custkey").cast("long").alias("c_custkey"), j("$.type").alias("kind"), j("$.geometry.coordinates[0]").cast("double").alias("lon"), j("$.properties.valor").cast("double").alias("valor"))
+
+
 # The index of the city -----------------------------------------------------
 
 _CITY_WEIGHTS = {"n_branches": 0.8, "crossing_length": 1.0, "roadway_width": 0.9, "no_refuge": 1.0, "crash_history": 1.0, "ped_flow_proxy": 0.7}
