@@ -12,6 +12,7 @@ from corvane.functions import crs
 from corvane.functions import geometry as g
 from corvane.functions.text import folded_equal, number, repair
 from corvane.operators.proximity import crossing, intersects_box, within
+from corvane.storage import materialise
 
 _STREET = {k: "string" for k in ("nomoficial", "tipo_c", "sentido", "bicisenda", "red_jerarq", "barrio", "barrio_par", "barrio_imp")} | {k: "double" for k in ("comuna", "com_par", "com_impar")}
 #: Each layer's file, kind and properties.
@@ -50,14 +51,12 @@ def _lonlat(p: Column, epsg: Column) -> Column:
     """A coordinate pair as degrees, whatever it was given in; null for a system that is not known."""
     out = F.when(epsg == 4326, F.struct(p[0].alias("lon"), p[1].alias("lat")))
     for code, system in crs.PROJECTED.items():
-        lon, lat = crs.unproject(p[0], p[1], system)
-        out = out.when(epsg == code, F.struct(lon.alias("lon"), lat.alias("lat")))
+        out = out.when(epsg == code, crs.unprojected(p[0], p[1], system))
     return out
 
 
 def _metric(p: Column) -> Column:
-    x, y = crs.project(p["lon"], p["lat"])
-    return F.struct(x.alias("x"), y.alias("y"))
+    return crs.projected(p["lon"], p["lat"])
 
 
 def read_geojson(spark: SparkSession, path: str, latin1: bool = True, properties: dict[str, str] | None = None) -> DataFrame:
@@ -68,6 +67,8 @@ def read_geojson(spark: SparkSession, path: str, latin1: bool = True, properties
     text = F.decode("content", "ISO-8859-1" if latin1 else "UTF-8")
     doc = spark.read.format("binaryFile").load(path).select(F.from_json(text, schema, {"mode": "FAILFAST"}).alias("d"))
     rows = doc.select(crs.epsg_of(F.col("d.crs.properties.name")).alias("epsg"), F.posexplode("d.features").alias("ord", "f"))
+    # One task reads a file's text, all of them the features' coordinates.
+    rows = rows.repartition(spark.sparkContext.defaultParallelism, "ord")
     kind, raw = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
     line, polygon = "array<array<double>>", "array<array<array<double>>>"
     parts = (
@@ -100,7 +101,7 @@ def read_layer(spark: SparkSession, path: str, spec: dict) -> DataFrame:
     if spec["kind"] == "csv":
         return read_csv_points(spark, path, spec.get("lon", "long"), spec.get("lat", "lat"), spec.get("sep", ","))
     if spec["kind"] in ("latin1", "utf8"):
-        df = read_geojson(spark, path, spec["kind"] == "latin1", spec.get("properties"))
+        df = materialise(read_geojson(spark, path, spec["kind"] == "latin1", spec.get("properties")))
         unknown = [r[0] for r in df.filter(~F.col("epsg").isin(4326, *crs.PROJECTED) | F.col("epsg").isNull()).select("epsg").distinct().limit(5).collect()]
         if unknown:
             raise ValueError(f"unknown coordinate system: {unknown}")
@@ -114,9 +115,9 @@ def load_all(spark: SparkSession, folder: str, catalog: dict[str, dict] | None =
     for name, spec in (catalog or CATALOG).items():
         path = f"{folder}/{spec['file']}"
         try:
+            # Readers are lazy; broken files are to show here, and each file is parsed once.
             df = read_layer(spark, path, spec)
-            df.limit(1).count()  # readers are lazy; broken files are to show here
-            found.tables[name] = df
+            found.tables[name] = df if spec["kind"] != "csv" else materialise(df)
         except Exception as e:
             absent = "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e)
             found.unavailable[name] = f"archivo no encontrado: {spec['file']}" if absent else f"error al cargar {spec['file']}: {str(e).splitlines()[0]}"

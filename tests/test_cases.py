@@ -154,6 +154,8 @@ def test_projections(spark):
             assert (r.x, r.y) == pytest.approx(plain_transverse_mercator(r.lon, r.lat, *known), abs=0.002)
         back = crs.unproject(x, y, crs.PROJECTED[code])
         assert [(round(r[0], 9), round(r[1], 9)) for r in df.select(*back).collect()] == places
+        nested = df.select(x.alias("x"), y.alias("y"), crs.projected(F.col("lon"), F.col("lat"), crs.PROJECTED[code]).alias("m"), crs.unprojected(x, y, crs.PROJECTED[code]).alias("g"), *(c.alias(n) for c, n in zip(back, ("lon", "lat"))))
+        assert all((r.x, r.y) == pytest.approx(tuple(r.m), abs=1e-6) and (r.lon, r.lat) == pytest.approx(tuple(r.g), abs=1e-12) for r in nested.collect())
     x, y = crs.project(F.lit(-57.0), F.lit(0.0))
     assert tuple(df.select(x, y).first()) == pytest.approx((500000.0, 10000000.0))
 
