@@ -1,10 +1,10 @@
 """Token counts and ids by a public tokenizer file.
 
-``count_tokens`` counts pieces once per distinct pre-token: a block of texts is cut into
-pre-tokens, each distinct one is encoded once, and the piece counts are joined by code to the
-documents' pre-tokens and summed. Ids of a text are never built. The join stays inside a
-task: it needs no shuffle, and its table of pre-tokens is bounded by ``MOST_KNOWN``, after
-which it begins anew.
+``count_tokens`` counts pieces once per distinct pre-token of the corpus and never builds the ids of a text. A task cuts its
+texts into pre-tokens, numbers the distinct ones on pages of at most ``MOST_KNOWN``, and keeps of each document a table of
+(number, frequency). The pages' pre-tokens go to the buckets of their hashes, where each distinct one is encoded once, and the
+numbers of its pieces are joined back to the pages and summed over the documents' frequencies. Only numbers and distinct
+pre-tokens are shuffled, no texts. A tokenizer that does not cut at the byte level's pre-tokens is asked for whole texts.
 
 Defined results: a null text is an empty one and has no tokens; special strings in a text are
 what the library makes of them by default; a null id is passed through; repeated rows each
@@ -17,17 +17,22 @@ from __future__ import annotations
 import json
 import os
 import re
+import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm import _text
+from corvane.llm import _blocks, _text
 
-#: Distinct pre-tokens that a task remembers at a time.
-MOST_KNOWN = 400_000
+#: Distinct pre-tokens on a page.
+MOST_KNOWN = 300_000
+#: Bytes of text for each bucket of pre-tokens.
+BUCKET_BYTES = 64 << 20
+PAGE = "to long, page long, data binary"
 #: How byte-level tokenizers cut text; fixed by the vocabulary file's format.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Up to U+027F all libraries agree on what is a letter, a digit or white space.
@@ -64,9 +69,9 @@ class PieceCounter:
         self.byte_level = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and spec.get("normalizer") is None and plain
         self.cut = regex.compile(BYTE_LEVEL).findall
         self.special = re.compile("|".join(re.escape(a["content"]) for a in sorted(added, key=lambda a: -len(a["content"])))) if added else None
-        self.codes, self.pieces = _Codes(), np.zeros(0, np.int64)
 
-    def _pre_tokens(self, text: str) -> tuple[list[str], int]:
+    def pre_tokens(self, text: str) -> tuple[list[str], int]:
+        """A text's pre-tokens, and how many special strings stand between them."""
         if self.special is not None and self.special.search(text):
             parts = self.special.split(text)
             return [t for part in parts for t in self._cut(part)], len(parts) - 1
@@ -81,37 +86,112 @@ class PieceCounter:
         return [text[a:b] for _, (a, b) in spans]
 
     def count(self, texts: list[str]) -> np.ndarray:
-        if not self.byte_level:
-            return np.array([len(e.ids) for e in self.tok.encode_batch(texts, add_special_tokens=False)], np.int64)
-        if len(self.codes) > MOST_KNOWN:
-            self.codes, self.pieces = _Codes(), np.zeros(0, np.int64)
-        code, found, special = self.codes.__getitem__, [], np.zeros(len(texts), np.int64)
-        ends = np.zeros(len(texts) + 1, np.int64)
-        for i, text in enumerate(texts):
-            pre, special[i] = self._pre_tokens(text)
-            found.extend(map(code, pre))
-            ends[i + 1] = len(found)
-        if len(self.codes) > len(self.pieces):
-            new = list(self.codes)[len(self.pieces) :]
-            self.pieces = np.append(self.pieces, [len(e.ids) for e in self.tok.encode_batch(new, add_special_tokens=False)])
-        total = np.zeros(len(found) + 1, np.int64)
-        np.cumsum(self.pieces[np.array(found, np.int64)], out=total[1:])
-        return np.diff(total[ends]) + special
-
-
-def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_tokens) for each row."""
-
-    def run(batches):
+        """How many tokens each text has by itself."""
+        return np.array([len(e.ids) for e in self.tok.encode_batch(texts, add_special_tokens=False)], np.int64)
+
+
+def _message(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return _blocks.press(sink.getvalue())
+
+
+def _table(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(_blocks.unpress(data)).read_all().combine_chunks()
+
+
+def _rows(to: list[int], page: int, data: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array([page] * len(to), pa.int64()), pa.array(data, pa.binary())], ["to", "page", "data"])
+
+
+def _words_of(page: int, codes: dict[str, int], buckets: int) -> pa.RecordBatch:
+    """The pre-tokens of a page with their numbers, bucket by bucket."""
+    words = list(codes)
+    bucket = np.array([zlib.crc32(x.encode()) for x in words], np.int64) % buckets
+    order = np.argsort(bucket, kind="stable")
+    parts = [x for x in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(x)]
+    words = pa.array(words, pa.large_string())
+    return _rows([int(bucket[x[0]]) for x in parts], page, [_message(pa.table({"word": words.take(pa.array(x)), "code": pa.array(x.astype(np.int32))})) for x in parts])
+
+
+def _frequencies(part: pa.RecordBatch, counter: PieceCounter, codes: dict[str, int]) -> bytes:
+    """Of each document the id, bytes, special strings and the sorted numbers and frequencies of its pre-tokens."""
+    texts = ["" if t is None else t for t in part.column("text").to_pylist()]
+    code, found, special = codes.__getitem__, [], np.zeros(len(texts), np.int64)
+    ends = np.zeros(len(texts) + 1, np.int64)
+    for i, text in enumerate(texts):
+        pre, special[i] = counter.pre_tokens(text)
+        found.extend(map(code, pre))
+        ends[i + 1] = len(found)
+    key = np.repeat(np.arange(len(texts)) << 32, np.diff(ends)) | np.array(found, np.int64)
+    known, n = _blocks.distinct(key)
+    _, off = _text.text_bytes(part.column("text"))
+    docs = pa.table({"id": part.column("id"), "n_bytes": pa.array(np.diff(off)), "special": pa.array(special), "pre_tokens": pa.array(np.bincount(known >> 32, minlength=len(texts)))})
+    # Numbers of a document rise, so their differences are small.
+    steps = np.diff(known & 0xFFFFFFFF, prepend=0).astype(np.int32)
+    return _message(pa.table({"docs": pa.array([_message(docs)], pa.binary()), "steps": pa.array([steps.tobytes()], pa.binary()), "n": pa.array([_blocks.squeeze(n)], pa.binary())}))
+
+
+def _encode(part: pa.Table, path: str) -> pa.Table:
+    """Of a bucket: every distinct pre-token encoded once, and to each page the numbers of its pieces."""
+    if part.column("to")[0].as_py() < 0:
+        return pa.Table.from_batches([_rows([], 0, [])])
+    pages, tables = part.column("page").to_pylist(), [_table(x) for x in part.column("data").to_pylist()]
+    words = pa.chunked_array([t.column("word").combine_chunks() for t in tables]).combine_chunks().dictionary_encode()
+    pieces = PieceCounter(path).count(words.dictionary.to_pylist())[words.indices.to_numpy()]
+    cut = np.cumsum([0, *(len(t) for t in tables)])
+    told = [_message(pa.table({"code": t.column("code"), "pieces": pa.array(pieces[a:b].astype(np.int32))})) for t, a, b in zip(tables, cut[:-1], cut[1:])]
+    return pa.Table.from_arrays([pa.array([-1 - p for p in pages], pa.int64()), pa.array(pages, pa.int64()), pa.array(told, pa.binary())], ["to", "page", "data"])
+
+
+def _sum_up(part: pa.Table, answers: pa.Table) -> pa.Table:
+    """A page's documents with their numbers of tokens."""
+    pages = [_table(x) for x in part.column("data").to_pylist()] if part.num_rows and part.column("to")[0].as_py() < 0 else []
+    told = [_table(x) for x in answers.column("data").to_pylist()] if pages else []
+    pieces = np.zeros(1 + max((t.column("code").to_numpy().max(initial=0) for t in told), default=0), np.int64)
+    for t in told:
+        pieces[t.column("code").to_numpy()] = t.column("pieces").to_numpy()
+    out = [pa.table({"id": pa.array([], pa.int64()), "n_bytes": pa.array([], pa.int64()), "n_tokens": pa.array([], pa.int64())})]
+    for page in pages:
+        docs = _table(page.column("docs")[0].as_py())
+        code = np.cumsum(np.frombuffer(page.column("steps")[0].as_py(), np.int32), dtype=np.int64)
+        total = np.concatenate([[0], np.cumsum(pieces[code] * _blocks.spread(page.column("n")[0].as_py()))])
+        ends = np.concatenate([[0], np.cumsum(docs.column("pre_tokens").to_numpy())])
+        out.append(pa.table({"id": docs.column("id"), "n_bytes": docs.column("n_bytes"), "n_tokens": pa.array(np.diff(total[ends]) + docs.column("special").to_numpy())}))
+    return pa.concat_tables(out)
+
+
+def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", most_known: int = MOST_KNOWN, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """(id, n_bytes, n_tokens) for each row; pages have about ``most_known`` distinct pre-tokens, and there is a bucket for every ``bucket_bytes`` of text."""
+    rows = _blocks.steady(docs).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+
+    def whole(batches):
         counter = PieceCounter(path)
         for batch in batches:
             for part in _text.slices(batch, "text"):
-                n = counter.count(["" if t is None else t for t in part.column("text").to_pylist()])
                 _, off = _text.text_bytes(part.column("text"))
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(off)), pa.array(n)], ["id", "n_bytes", "n_tokens"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(off)), pa.array(counter.count(["" if t is None else t for t in part.column("text").to_pylist()]))], ["id", "n_bytes", "n_tokens"])
 
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, n_bytes long, n_tokens long")
+    if not PieceCounter(path).byte_level:
+        return rows.mapInArrow(whole, "id long, n_bytes long, n_tokens long")
+    buckets = 1 + (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // bucket_bytes
+
+    def cut(batches):
+        counter, codes, page = PieceCounter(path), _Codes(), TaskContext.get().partitionId() << 24
+        for batch in batches:
+            for part in _text.slices(batch, "text"):
+                if len(codes) > most_known:
+                    yield _words_of(page, codes, buckets)
+                    codes, page = _Codes(), page + 1
+                yield _rows([-1 - page], page, [_frequencies(part, counter, codes)])
+        if codes:
+            yield _words_of(page, codes, buckets)
+
+    # Pages and pre-tokens come from one pass and lie in one shuffle, which both sides read.
+    pages = rows.mapInArrow(cut, PAGE).groupBy("to")
+    told = pages.applyInArrow(lambda part: _encode(part, path), PAGE)
+    return pages.cogroup(told.groupBy("to")).applyInArrow(_sum_up, "id long, n_bytes long, n_tokens long")
 
 
 def digest(docs: DataFrame, path: str | None = None, limit: int = 512) -> DataFrame:

@@ -511,6 +511,19 @@ def test_token_counts(spark, docs, library):
     got = tokens.digest(docs.select("doc_id", "text").unionAll(more)).collect()
     want = [(k, len((t or "").encode()), n := len(library.encode(t or "", add_special_tokens=False).ids), n > 512) for k, t in rows]
     assert ordered(map(tuple, got)) == ordered(want)
+    # many pages and buckets, the same pre-tokens on all of them
+    again = tokens.count_tokens(docs.select("doc_id", "text").unionAll(more).repartition(2), tokens.public_path(), most_known=0, bucket_bytes=9000).collect()
+    assert ordered(map(tuple, again)) == ordered(w[:3] for w in want)
+
+
+def test_token_counts_of_other_tokenizers(spark):
+    """A tokenizer that cuts texts otherwise is asked for whole texts."""
+    from tokenizers import Tokenizer
+
+    path = tokens.public_path("word_bpe_49k.json")
+    other = Tokenizer.from_file(path)
+    got = tokens.count_tokens(spark.createDataFrame(list(enumerate([*ODD, None])), "doc_id long, text string"), path).collect()
+    assert sorted((r.id, r.n_tokens) for r in got) == [(i, len(other.encode(t or "", add_special_tokens=False).ids)) for i, t in enumerate([*ODD, None])]
 
 
 def test_packing(spark, docs, library):
