@@ -72,12 +72,12 @@ def test_query_equals_its_sql(spark, name):
 
 # 1 ---------------------------------------------------------------------------
 
-def test_mixing(docs):
-    got = mixing.digest(docs).collect()
+def plain_targets(rows):
+    """Words by source, and their targets, for (id, text, source) rows."""
     size = Counter()
-    for r in ROWS:
-        size[r[3]] += len(words(r[1]))
-    weight = dict(zip(sorted(size, key=lambda s: (s is None, s)), (5, 2, 1, 5)))
+    for _, text, source in rows:
+        size[source] += len(words(text))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(size, key=lambda s: (s is None, s)))}
     target, free, left = {}, set(size), float(sum(size.values()))
     while free:
         level = left / sum(weight[s] for s in free)
@@ -86,6 +86,36 @@ def test_mixing(docs):
             target[s] = 3.0 * size[s] if over else level * weight[s]
         left -= sum(target[s] for s in over)
         free = free - set(over) if over else set()
+    return size, target
+
+
+def plain_mix(rows):
+    """Copies of each (id, text, source) row, ids being distinct, by the definition of Pareto order sampling."""
+    size = {i: len(words(t)) for i, t, _ in rows}
+    u = {i: (int(hashlib.md5(f"17|{i}|{t or ''}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52 for i, t, _ in rows}
+    of, target = plain_targets(rows)
+    out = {i: 0 for i in size}
+    for s in of:
+        mine = [i for i, _, source in rows if source == s and size[i]]
+        appeal = {i: (1 + math.floor(math.log2(size[i]))) ** 0.5 for i in mine}
+        low, high = 0.0, 10.0
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(size[i] * min(3, mid * appeal[i]) for i in mine) < target[s] else (low, mid)
+        chance = {i: min(3, low * appeal[i]) for i in mine}
+        chance = {i: round(e) if abs(e - round(e)) < 1e-9 else e for i, e in chance.items()}
+        sure = {i: math.floor(e) for i, e in chance.items()}
+        p = {i: chance[i] - sure[i] for i in mine if chance[i] > sure[i]}
+        order = sorted(p, key=lambda i: u[i] / (1 - u[i]) * (1 - p[i]) / p[i])
+        missing = target[s] - sum(size[i] * sure[i] for i in mine)
+        take = min(range(len(order) + 1), key=lambda n: (abs(sum(size[i] for i in order[:n]) - missing), n)) if order else 0
+        out |= {i: sure[i] + (i in order[:take]) for i in mine}
+    return out
+
+
+def test_mixing(docs):
+    got = mixing.digest(docs).collect()
+    size, target = plain_targets([(r[0], r[1], r[3]) for r in ROWS])
     assert ordered((r.doc_id, r.size, r.source_size, round(r.target, 6)) for r in got) == ordered((r[0], len(words(r[1])), size[r[3]], round(target[r[3]], 6)) for r in ROWS)
     assert all(r.taken % max(1, r.size) == 0 and r.taken <= 3 * r.size for r in got)
     by = Counter()
@@ -99,33 +129,15 @@ def test_mixing(docs):
 
 
 def test_mixing_order_is_paretos(spark, monkeypatch):
-    """Copies of each document by the definition, done plainly; longer documents have better odds, and no join by source alone is needed."""
+    """Copies of each document by the definition; longer documents have better odds, and the join works without a broadcast."""
     draw = random.Random(31)
     rows = [(i, " ".join(["w"] * draw.randrange(1, 400)), "abc"[min(2, i % 7)]) for i in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    size = {i: len(t.split()) for i, t, _ in rows}
-    u = {i: (int(hashlib.md5(f"17|{i}|{t}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52 for i, t, _ in rows}
-    got = mixing.mix(df).select("row.doc_id", "n_copies", "target").collect()
-    target = {s: next(r.target for r in got if rows[r.doc_id][2] == s) for s in "abc"}
-    want = {}
-    for s in "abc":
-        mine = [i for i, _, of in rows if of == s]
-        appeal = {i: (1 + math.floor(math.log2(size[i]))) ** 0.5 for i in mine}
-        low, high = 0.0, 10.0
-        for _ in range(200):
-            mid = (low + high) / 2
-            low, high = (mid, high) if sum(size[i] * min(3, mid * appeal[i]) for i in mine) < target[s] else (low, mid)
-        chance = {i: min(3, low * appeal[i]) for i in mine}
-        chance = {i: round(e) if abs(e - round(e)) < 1e-9 else e for i, e in chance.items()}
-        sure = {i: math.floor(e) for i, e in chance.items()}
-        p = {i: chance[i] - sure[i] for i in mine if chance[i] > sure[i]}
-        order = sorted(p, key=lambda i: u[i] / (1 - u[i]) * (1 - p[i]) / p[i])
-        missing = target[s] - sum(size[i] * sure[i] for i in mine)
-        take = min(range(len(order) + 1), key=lambda n: (abs(sum(size[i] for i in order[:n]) - missing), n)) if order else 0
-        want |= {i: sure[i] + (i in order[:take]) for i in mine}
-    assert {r.doc_id: r.n_copies for r in got} == want and len(set(want.values())) > 1
+    want = plain_mix(rows)
+    copies = lambda: {r.doc_id: r.n_copies for r in mixing.mix(df).select("row.doc_id", "n_copies").collect()}
+    assert copies() == want and len(set(want.values())) > 1
     monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
-    assert {r.doc_id: r.n_copies for r in mixing.mix(df).select("row.doc_id", "n_copies").collect()} == want
+    assert copies() == want
 
 
 # 2 ---------------------------------------------------------------------------
