@@ -68,12 +68,10 @@ def write_city(folder: Path, side: int, block: float = 110.0) -> None:
     (folder / "siniestros_viales_hechos.csv").write_text("\n".join(rows) + "\n", encoding="utf-8")
 
 
-def main() -> None:
+def measure(spark: SparkSession, side: int) -> dict:
+    """Seconds of the whole run on a city of so many streets each way; writing the city's files is not counted."""
     from corvane.plans import config, risk
 
-    cpus, side = os.environ.get("BENCH_CPUS", "8"), int(os.environ.get("CITY_SIDE", "124"))
-    spark = SparkSession.builder.master(f"local[{cpus}]").config("spark.driver.memory", "8g").config("spark.sql.shuffle.partitions", cpus).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
-    spark.sparkContext.setLogLevel("OFF")
     with tempfile.TemporaryDirectory() as folder:
         write_city(Path(folder) / "raw", side)
         settings = config.parse(CONFIG)
@@ -82,7 +80,15 @@ def main() -> None:
         scored = time.time()
         risk.export(r, settings, f"{folder}/out")
         ended, corners = time.time(), r.table.count()
-        print(json.dumps({"metric": "whole_run", "value": round(ended - began, 1), "unit": "sec", "corners": corners, "corners_per_sec": round(corners / (ended - began), 1), "scored_after": round(scored - began, 1), "cpus": cpus, "synthetic": True, "rho": r.report.get("spearman_indice_compuesto_vs_siniestros")}))
+        rho = r.report["spearman_indice_compuesto_vs_siniestros"]["rho"]
+    return {"seconds": round(ended - began, 1), "scored_after": round(scored - began, 1), "corners": corners, "corners_per_sec": round(corners / (ended - began), 1), "rho": rho, "synthetic": True}
+
+
+def main() -> None:
+    cpus, side = os.environ.get("BENCH_CPUS", "8"), int(os.environ.get("CITY_SIDE", "124"))
+    spark = SparkSession.builder.master(f"local[{cpus}]").config("spark.driver.memory", "8g").config("spark.sql.shuffle.partitions", cpus).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+    spark.sparkContext.setLogLevel("OFF")
+    print(json.dumps({"metric": "whole_run", "cpus": cpus} | measure(spark, side)))
 
 
 if __name__ == "__main__":
