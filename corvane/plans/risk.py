@@ -135,7 +135,7 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--top", type=int, default=10)
     args.add_argument("--no-collection", action="store_true", help="keep features in parts only")
     a = args.parse_args(argv)
-    began, spark, config = time.time(), SparkSession.builder.appName("corvane").getOrCreate(), load_config(a.config)
+    began, spark, config = time.time(), SparkSession.builder.appName("corvane").config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate(), load_config(a.config)
     r = run(spark, config, a.raw)
     export(r, config, a.out, not a.no_collection)
     for row in r.table.orderBy(F.desc_nulls_last("indice"), "corner_ord").limit(a.top).select("corner_id", "calles", "comuna", "indice").collect():

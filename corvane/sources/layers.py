@@ -12,6 +12,7 @@ from corvane.functions import crs
 from corvane.functions import geometry as g
 from corvane.functions.text import folded_equal, number, repair
 from corvane.operators.proximity import crossing, intersects_box, within
+from corvane.sources import shapefile
 from corvane.storage import materialise
 
 _STREET = {k: "string" for k in ("nomoficial", "tipo_c", "sentido", "bicisenda", "red_jerarq", "barrio", "barrio_par", "barrio_imp")} | {k: "double" for k in ("comuna", "com_par", "com_impar")}
@@ -81,11 +82,21 @@ def read_geojson(spark: SparkSession, path: str, latin1: bool = True, properties
     out = rows.select("ord", "epsg", kind.alias("geom_type"), F.posexplode_outer(parts).alias("part", "rings"), *(F.col(f"f.properties.{k}").alias(k) for k in kinds))
     if latin1:
         out = out.withColumns({k: repair(F.col(k)) for k, v in kinds.items() if isinstance(v, T.StringType)})
-    out = out.withColumn("rings", F.transform("rings", lambda ring: F.transform(ring, lambda p: _lonlat(p, F.col("epsg")))))
+    return _measured(out, list(kinds))
+
+
+def _measured(rows: DataFrame, properties: list[str]) -> DataFrame:
+    """A layer of rows (ord, part, geom_type, epsg, rings as given, and properties): rings in degrees and metres, and their segments."""
+    out = rows.withColumn("rings", F.transform("rings", lambda ring: F.transform(ring, lambda p: _lonlat(p, F.col("epsg")))))
     metric = out.withColumn("m", F.transform("rings", lambda ring: F.transform(ring, _metric)))
     shape = F.flatten(F.transform("m", g.path))
     outline = F.flatten(F.transform("rings", lambda ring: g.path(F.transform(ring, lambda p: F.struct(p["lon"].alias("x"), p["lat"].alias("y"))))))
-    return metric.select(F.col("ord").cast("long").alias("ord"), "part", "geom_type", F.col("rings")[0].alias("lonlat"), F.col("m")[0].alias("points"), shape.alias("shape"), outline.alias("outline"), F.coalesce(F.col("geom_type").isin("Polygon", "MultiPolygon"), F.lit(False)).alias("area"), "epsg", *kinds)
+    return metric.select(F.col("ord").cast("long").alias("ord"), "part", "geom_type", F.col("rings")[0].alias("lonlat"), F.col("m")[0].alias("points"), shape.alias("shape"), outline.alias("outline"), F.coalesce(F.col("geom_type").isin("Polygon", "MultiPolygon"), F.lit(False)).alias("area"), "epsg", *properties)
+
+
+def read_shapefile(spark: SparkSession, path: str) -> DataFrame:
+    rows = shapefile.read_shapes(spark, path).repartition(spark.sparkContext.defaultParallelism, "ord")
+    return _measured(rows.withColumn("epsg", shapefile.epsg(spark, path)), [])
 
 
 def read_csv_points(spark: SparkSession, path: str, lon: str = "long", lat: str = "lat", sep: str = ",") -> DataFrame:
@@ -100,8 +111,8 @@ def read_csv_points(spark: SparkSession, path: str, lon: str = "long", lat: str
 def read_layer(spark: SparkSession, path: str, spec: dict) -> DataFrame:
     if spec["kind"] == "csv":
         return read_csv_points(spark, path, spec.get("lon", "long"), spec.get("lat", "lat"), spec.get("sep", ","))
-    if spec["kind"] in ("latin1", "utf8"):
-        df = materialise(read_geojson(spark, path, spec["kind"] == "latin1", spec.get("properties")))
+    if spec["kind"] in ("latin1", "utf8", "shapefile"):
+        df = materialise(read_shapefile(spark, path) if spec["kind"] == "shapefile" else read_geojson(spark, path, spec["kind"] == "latin1", spec.get("properties")))
         unknown = [r[0] for r in df.filter(~F.col("epsg").isin(4326, *crs.PROJECTED) | F.col("epsg").isNull()).select("epsg").distinct().limit(5).collect()]
         if unknown:
             raise ValueError(f"unknown coordinate system: {unknown}")

@@ -7,7 +7,7 @@ def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("checkpoints")
     session = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "6g").config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", str(folder)).getOrCreate()
+        .config("spark.driver.memory", "6g").config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", str(folder)).config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

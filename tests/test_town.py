@@ -3,10 +3,12 @@
 import copy
 import json
 import math
+import struct
 
 import pytest
 from pyspark.sql import functions as F
 
+from corvane.functions import geometry as g
 from corvane.plans import config as cfg
 from corvane.plans import risk
 from corvane.sources import layers
@@ -177,3 +179,25 @@ def test_broken_and_missing_streets(spark, folder, tmp_path):
     assert "callejero" in found.unavailable and found.unavailable["subte"].startswith("error al cargar")
     with pytest.raises(FileNotFoundError):
         layers.load(spark, str(tmp_path), {"mode": "all"})
+
+
+def test_shapefile(spark, tmp_path):
+    """Points, lines of two parts, a polygon with a hole and an empty shape."""
+    record = lambda n, body: struct.pack(">2i", n, len(body) // 2) + body
+    points = lambda ps: struct.pack(f"<{2 * len(ps)}d", *(v for p in ps for v in p))
+    parts = lambda kind, rings: struct.pack("<i4d2i", kind, 0, 0, 0, 0, len(rings), sum(map(len, rings))) + struct.pack(f"<{len(rings)}i", *(sum(map(len, rings[:i])) for i in range(len(rings)))) + b"".join(map(points, rings))
+    at = lambda x, y: (-58.45 + x / 1000, -34.6 + y / 1000)
+    square = lambda a, b: [at(a, a), at(b, a), at(b, b), at(a, b), at(a, a)]
+    bodies = [struct.pack("<i", 1) + points([at(0, 0)]), parts(3, [[at(0, 0), at(1, 0)], [at(2, 0), at(2, 1), at(2, 2)]]), parts(5, [square(0, 9), square(3, 6)]), struct.pack("<i", 0), struct.pack("<i4di", 8, 0, 0, 0, 0, 2) + points([at(1, 1), at(2, 2)])]
+    whole = b"".join(record(i + 1, b) for i, b in enumerate(bodies))
+    header = struct.pack(">7i", 9994, 0, 0, 0, 0, 0, (100 + len(whole)) // 2) + struct.pack("<2i8d", 1000, 5, *[0.0] * 8)
+    (tmp_path / "censo.shp").write_bytes(header + whole)
+    df = layers.load_all(spark, str(tmp_path)).tables["censo"]
+    rows = [(r.ord, r.part, r.geom_type, len(r["shape"]), r.area) for r in df.orderBy("ord", "part").collect()]
+    assert rows == [(0, 0, "Point", 1, False), (1, 0, "MultiLineString", 3, False), (2, 0, "Polygon", 8, True), (4, 0, "MultiPoint", 1, False), (4, 1, "MultiPoint", 1, False)]
+    inside = df.filter("ord = 2").select(*(g.inside(F.lit(x), F.lit(y), F.col("outline")) for x, y in (at(1, 1), at(4, 4), at(10, 1)))).first()
+    assert tuple(inside) == (True, False, False)
+    (tmp_path / "censo.prj").write_text('PROJCS["WGS 84 / UTM zone 21S",GEOGCS["WGS 84",AUTHORITY["EPSG","4326"]],AUTHORITY["EPSG","32721"]]')
+    assert layers.load_all(spark, str(tmp_path)).tables["censo"].select("epsg").first().epsg == 32721
+    (tmp_path / "censo.shp").write_bytes(b"nothing")
+    assert "censo" in layers.load_all(spark, str(tmp_path)).unavailable
