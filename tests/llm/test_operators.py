@@ -584,3 +584,19 @@ def test_packing_patterns():
         assert (held == histogram).all()
         big = int((sizes > 512).sum())
         assert sum(k for _, k in groups) <= max(big, math.ceil(sizes.sum() / 1024)) * 1.02 + 2
+
+
+# Many rows that say little ------------------------------------------------------
+
+def test_many_empty_and_equal_rows(spark):
+    """A hundred thousand empty rows and ten thousand equal ones without an id: spread over blocks, none lost."""
+    text = prose(40)
+    few = spark.range(4).select(F.col("id").alias("doc_id"), F.concat(F.lit(text), F.lit(" "), F.col("id").cast("string")).alias("text"))
+    df = spark.range(100_000).select(F.col("id").alias("doc_id"), F.lit("").alias("text")).unionAll(spark.range(10_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"))).unionAll(few)
+    blocked, n, _ = _blocks.deal(df, "doc_id", "text", block_bytes=200_000)
+    assert n > 8 and blocked.select("block").distinct().count() > 8
+    removed = {(r.n_words, r.n_removed): r["count"] for r in substring.remove_repeats(df, block_bytes=200_000).groupBy("n_words", "n_removed").count().collect()}
+    assert removed == {(0, 0): 100_000, (40, 40): 10_000, (41, 40): 4}
+    groups = {(r.n_shingles, r.component_id): r["count"] for r in jaccard.groups(df, block_bytes=200_000).filter("n_shingles > 0").groupBy("n_shingles", "component_id").count().collect()}
+    assert groups == {(36, 0): 10_000, (37, 0): 4}
+    assert scoring.score(df, block_bytes=200_000).groupBy("n_tokens").count().orderBy("n_tokens").collect() == [(1, 100_000), (41, 10_000), (42, 4)]
