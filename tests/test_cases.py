@@ -180,3 +180,18 @@ def test_config():
     with pytest.raises(ValueError):
         cfg.parse({k: v for k, v in town.CONFIG.items() if k != "weights"})
     assert cfg.parse(copy.deepcopy(town.CONFIG) | {"axis_normalization": {"nothing": "minmax"}}).warnings == ["unknown axis: nothing"]
+
+
+# Components ---------------------------------------------------------------------
+
+def test_components(spark):
+    """A long chain in mixed order, a star, a ring and a node tied to itself."""
+    import random
+
+    draw, at = random.Random(4), list(range(300))
+    draw.shuffle(at)
+    edges = list(zip(at, at[1:])) + [(1000, 1000 + i) for i in range(1, 50)] + [(2000 + i, 2000 + (i + 1) % 7) for i in range(7)] + [(3000, 3000)]
+    from corvane.operators.components import components
+
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {i: 0 for i in range(300)} | {1000 + i: 1000 for i in range(50)} | {2000 + i: 2000 for i in range(7)}
