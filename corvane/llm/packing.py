@@ -33,19 +33,26 @@ def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, capacity: int
     def cut(batches):
         encode = tokens.encoder(path)
         for batch in batches:
-            for part in _text.slices(batch, "text", 1 << 20):
-                rows = []
+            for part in _text.slices(batch, "text", 1 << 19):
+                rows, found = [], []
                 for key, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
                     ids = np.array(encode(text or "") + [end_id], "<u4")
+                    found.append(ids)
                     at, k = 0, 0
                     while at < len(ids):
                         to = at + ((len(ids) - at - 1) % capacity + 1)
-                        rows.append((key, k, at, to - at, zlib.crc32(ids[at:to].tobytes()), ids[at:to].tolist() if with_ids else None))
+                        rows.append((key, k, at, to - at, zlib.crc32(ids[at:to].tobytes())))
                         at, k = to, k + 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
+                if with_ids:  # pieces follow each other as their texts do
+                    ends = np.cumsum([0, *(r[3] for r in rows)]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int64))))
+                else:
+                    columns.append(pa.nulls(len(rows), pa.list_(pa.int64())))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     names = ["id", "piece", "start", "length", "ids_crc32", "ids"]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInArrow(cut, "id long, piece int, start long, length long, ids_crc32 long, ids array<long>")
 

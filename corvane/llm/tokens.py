@@ -18,7 +18,7 @@ import json
 import os
 import re
 import zlib
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -56,10 +56,8 @@ class PieceCounter:
 
     def __init__(self, path: str):
         import regex
-        from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tok = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
@@ -70,6 +68,14 @@ class PieceCounter:
         self.cut = regex.compile(BYTE_LEVEL).findall
         self.special = re.compile("|".join(re.escape(a["content"]) for a in sorted(added, key=lambda a: -len(a["content"])))) if added else None
 
+    @cached_property
+    def tok(self):
+        """The library's own tokenizer; it takes some memory and is only loaded where it is asked."""
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        return Tokenizer.from_file(self.path)
+
     def pre_tokens(self, text: str) -> tuple[list[str], int]:
         """A text's pre-tokens, and how many special strings stand between them."""
         if self.special is not None and self.special.search(text):
@@ -80,9 +86,7 @@ class PieceCounter:
     def _cut(self, text: str) -> list[str]:
         if not _FAR.search(text):
             return self.cut(text)
-        raw = text.encode()
         spans = self.tok.pre_tokenizer.pre_tokenize_str(text)
-        del raw
         return [text[a:b] for _, (a, b) in spans]
 
     def count(self, texts: list[str]) -> np.ndarray:
@@ -207,15 +211,11 @@ def encoder(path: str):
     the same work faster; any other file, and texts with characters that the two libraries may class
     differently, go to the library itself.
     """
-    from tokenizers import Tokenizer
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tok = Tokenizer.from_file(path)
+    counter = PieceCounter(path)
 
     def slow(text: str) -> list[int]:
-        return tok.encode(text, add_special_tokens=False).ids
+        return counter.tok.encode(text, add_special_tokens=False).ids
 
-    counter = PieceCounter(path)
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     vocab, merges = spec["model"].get("vocab", {}), [m if isinstance(m, list) else m.split(" ") for m in spec["model"].get("merges", [])]
