@@ -42,6 +42,8 @@ COUNTED = 0.4
 SETS = "id long, key long, holder long, n long, cls binary, prefix array<struct<token:long,pos:int>>, shingles binary, bits array<long>"
 #: Bits of a set's sketch: each shingle sets one.
 BITS = 512
+#: Parts that a component's members are dealt into where they are held against others.
+SALTS = 16
 
 
 def _sets(column, k: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -74,6 +76,7 @@ def _describe(part: pa.Table, answers: pa.Table, k: int, percent: int) -> pa.Tab
         keys.append(rows.column("carry_0"))
         n_docs += n
     key, doc = (np.concatenate(x) for x in zip(*found))
+    del found
     n = np.bincount(doc, minlength=n_docs)
     # answers hold 0 for what occurs once
     counted = np.flatnonzero(key < np.uint64(int(COUNTED * 2**64)))
@@ -90,6 +93,7 @@ def _describe(part: pa.Table, answers: pa.Table, k: int, percent: int) -> pa.Tab
     total = np.zeros((len(key) + 1, 2), np.uint64)
     np.cumsum(np.stack([_text.mix(key), _text.mix(key ^ np.uint64(_text._STEP))], 1), axis=0, out=total[1:])
     sums = (total[first[1:]] - total[first[:-1]]) * np.uint64(_text._STEP) + n[:, None].astype(np.uint64)
+    del total, order, df
     cls = [x.tobytes() if s else None for x, s in zip(sums, shared)]
     seen: set[bytes] = set()
     sets = []
@@ -219,17 +223,22 @@ def link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     links = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(_links(between, percent))
     apart = between.filter(F.col("shared") * 100 < F.col("either") * percent).select(F.col("a").alias("rx"), F.col("b").alias("ry"), (1 - F.col("shared") / F.col("either")).alias("d_roots"))
     # From here on tokens no longer matter, so a pair comes once.
-    held = materialise(m.select("root", "holder", "n", "bits", "d_own").dropDuplicates(["holder"]))
+    held = m.select("root", "holder", "n", "bits", "d_own").dropDuplicates(["holder"])
+    # A component's members are dealt over salts, and what is held against them goes to each salt, so a large component is no task's alone.
+    salt = lambda c: F.pmod(F.xxhash64(c), F.lit(SALTS)).cast("int")
+    held = materialise(held.withColumn("salt", salt("holder")))
+    salted = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     whole = held.groupBy("root").agg(*(f(F.col("bits")[i]).alias(f"{name}_{i}") for i in range(n_words) for name, f in (("all", F.bit_and), ("any", F.bit_or))), F.min("n").alias("min_n"), F.max("n").alias("max_n"), F.max("d_own").alias("rad_y"))
-    near = apart.join(whole.select(F.col("root").alias("rx"), F.col("rad_y").alias("rad_x")), "rx").join(whole.withColumnRenamed("root", "ry"), "ry")
+    near = apart.withColumn("salt", salt("ry")).join(salted(whole.select(F.col("root").alias("rx"), F.col("rad_y").alias("rad_x"))), ["rx", "salt"])
+    near = near.withColumn("salt", salt("rx")).join(salted(whole.withColumnRenamed("root", "ry")), ["ry", "salt"]).drop("salt")
     near = near.filter((F.col("rad_x") + F.col("rad_y") > 0) & (F.col("d_roots") - F.col("rad_x") - F.col("rad_y") <= slack))
-    left, right = held.alias("l"), held.alias("r")
+    near, left, right = salted(near), held.alias("l"), held.alias("r")
     ln, rn, reach = F.col("l.n"), F.col("r.n"), F.col("d_roots") - F.col("l.d_own")
     bit, low, high = (lambda side: lambda i: F.col(f"{side}.bits")[i]), (lambda i: F.col(f"all_{i}")), (lambda i: F.col(f"any_{i}"))
     sized = (F.col("min_n") * percent <= ln * 100) & (ln * percent <= F.col("max_n") * 100)
-    pairs = near.join(left, (near["rx"] == F.col("l.root")) & (reach - F.col("rad_y") <= slack) & sized & may(bit("l"), high, ln, F.col("min_n")) & may(low, bit("l"), F.col("max_n"), ln))
-    pairs = pairs.select("ry", "d_roots", F.struct("l.holder", "l.n", "l.bits", "l.d_own").alias("l"))
-    pairs = pairs.join(right, (pairs["ry"] == F.col("r.root")) & (reach - F.col("r.d_own") <= slack) & fits(ln, rn) & may(bit("l"), bit("r"), ln, rn) & may(bit("r"), bit("l"), rn, ln))
+    pairs = near.join(left, (near["rx"] == F.col("l.root")) & (near["salt"] == F.col("l.salt")) & (reach - F.col("rad_y") <= slack) & sized & may(bit("l"), high, ln, F.col("min_n")) & may(low, bit("l"), F.col("max_n"), ln))
+    pairs = salted(pairs.select("ry", "d_roots", F.struct("l.holder", "l.n", "l.bits", "l.d_own").alias("l")))
+    pairs = pairs.join(right, (pairs["ry"] == F.col("r.root")) & (pairs["salt"] == F.col("r.salt")) & (reach - F.col("r.d_own") <= slack) & fits(ln, rn) & may(bit("l"), bit("r"), ln, rn) & may(bit("r"), bit("l"), rn, ln))
     rest = pairs.select(F.least("l.holder", "r.holder").alias("a"), F.greatest("l.holder", "r.holder").alias("b"))
     rest = rest.join(answers.unionAll(between).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     return classes, _tied(links.unionAll(_links(_compare(rest, sets, percent), percent)))
