@@ -18,7 +18,19 @@ def shared_folder(spark: SparkSession) -> None:
         context.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "corvane-checkpoints"))
 
 
+#: Rows of an Arrow batch while rows are computed and written: some megabytes of texts or sets on either side of a Python worker.
+BATCH_ROWS = 2000
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """The same rows, computed once; they survive the loss of executors."""
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    if 0 < int(before) <= BATCH_ROWS:
+        return df.checkpoint()
+    conf.set(key, str(BATCH_ROWS))
+    try:
+        return df.checkpoint()
+    finally:
+        conf.set(key, before)
