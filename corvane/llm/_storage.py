@@ -22,14 +22,14 @@ def shared_folder(spark: SparkSession) -> None:
 BATCH_ROWS = 2000
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """The same rows, computed once; they survive the loss of executors."""
+def materialise(df: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """The same rows, computed once; they survive the loss of executors. Large rows ask for fewer of them in a batch."""
     shared_folder(df.sparkSession)
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = conf.get(key)
-    if 0 < int(before) <= BATCH_ROWS:
+    if 0 < int(before) <= batch_rows:
         return df.checkpoint()
-    conf.set(key, str(BATCH_ROWS))
+    conf.set(key, str(batch_rows))
     try:
         return df.checkpoint()
     finally:

@@ -42,6 +42,8 @@ COUNTED = 0.4
 SETS = "id long, key long, holder long, n long, cls binary, prefix array<struct<token:long,pos:int>>, shingles binary, bits array<long>"
 #: Bits of a set's sketch: each shingle sets one.
 BITS = 512
+#: Pairs of whole sets in an Arrow batch.
+PAIR_ROWS = 200
 #: Parts that a component's members are dealt into where they are held against others.
 SALTS = 16
 
@@ -186,7 +188,7 @@ def link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     members = materialise(listed.join(pivots, "token").select("token", "holder", "n", "pos", "index", "pivot", "pivot_n"))
     fits = lambda x, y: (F.least(x, y) * 100 >= F.greatest(x, y) * percent)
     near = members.filter(fits(F.col("n"), F.col("pivot_n")) & (F.col("holder") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("holder").alias("b")).distinct()
-    answers = materialise(_compare(near, sets, percent))
+    answers = materialise(_compare(near, sets, percent), PAIR_ROWS)
     links = _links(answers, percent)
     roots = _tied(links)
     # What the pivots' answers leave open.
@@ -200,7 +202,7 @@ def link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     # A component's root stands for it: how far its members are from it bounds their distances to all that its root is far from.
     own = _compare(m.filter("root <> holder").select(F.col("root").alias("a"), F.col("holder").alias("b")).distinct(), sets, percent)
     own = own.select(F.col("a").alias("root"), F.col("b").alias("holder"), (1 - F.col("shared") / F.col("either")).alias("d_own"))
-    m = materialise(m.join(own, ["root", "holder"], "left").withColumn("d_own", F.coalesce("d_own", F.lit(0.0))))
+    m = materialise(m.join(own, ["root", "holder"], "left").withColumn("d_own", F.coalesce("d_own", F.lit(0.0))), PAIR_ROWS)
     slack, n_words = limit + 1e-9, BITS // 64
     # Bits that one set has and the other lacks are shingles that only the one has; a block's are at least those of all its sets that no set of the other has.
     only = lambda x, y: sum((F.bit_count(x(i).bitwiseAND(F.bitwise_not(y(i)))) for i in range(n_words)), F.lit(0))
@@ -219,7 +221,7 @@ def link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     open_ &= (F.col("x.min_d_low") - F.col("y.max_d_high") <= slack) & (F.col("y.min_d_low") - F.col("x.max_d_high") <= slack)
     kept = x.join(y, open_).select(F.col("x.root").alias("a"), F.col("y.root").alias("b")).distinct()
     # Components whose roots link are one. The others are looked into as far as their radii reach.
-    between = materialise(_compare(kept, sets, percent))
+    between = materialise(_compare(kept, sets, percent), PAIR_ROWS)
     links = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(_links(between, percent))
     apart = between.filter(F.col("shared") * 100 < F.col("either") * percent).select(F.col("a").alias("rx"), F.col("b").alias("ry"), (1 - F.col("shared") / F.col("either")).alias("d_roots"))
     # From here on tokens no longer matter, so a pair comes once.
@@ -241,7 +243,7 @@ def link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     pairs = pairs.join(right, (pairs["ry"] == F.col("r.root")) & (pairs["salt"] == F.col("r.salt")) & (reach - F.col("r.d_own") <= slack) & fits(ln, rn) & may(bit("l"), bit("r"), ln, rn) & may(bit("r"), bit("l"), rn, ln))
     rest = pairs.select(F.least("l.holder", "r.holder").alias("a"), F.greatest("l.holder", "r.holder").alias("b"))
     rest = rest.join(answers.unionAll(between).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    return classes, _tied(links.unionAll(_links(_compare(rest, sets, percent), percent)))
+    return classes, _tied(materialise(links.unionAll(_links(_compare(rest, sets, percent), percent)), PAIR_ROWS))
 
 
 def _rooted(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, block_bytes: int) -> tuple[DataFrame, DataFrame]:
