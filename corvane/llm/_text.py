@@ -11,24 +11,11 @@ patterns of letters or words meet by construction, whatever the seed.
 
 from __future__ import annotations
 
-import ctypes
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 
-
-def _give_back() -> None:
-    """Let freed arrays go back to the system: Python workers serve many stages, and what allocators keep for later adds up beside the JVM."""
-    pa.set_memory_pool(pa.system_memory_pool())
-    try:
-        # M_MMAP_THRESHOLD: arrays of 256 kB and more are mapped, and unmapped when freed
-        ctypes.CDLL(None).mallopt(-3, 1 << 18)
-    except (AttributeError, OSError):  # not the GNU C library
-        pass
-
-
-_give_back()
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
