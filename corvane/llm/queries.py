@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import jaccard, language, mixing, packing, preference, quality, scoring, substring, tokens, topk
+from corvane.llm import jaccard, language, mixing, packing, preference, quality, repair, scoring, simhash, substring, tokens, topk, trie
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lm_scoring": lambda spark, d: scoring.digest(_documents(spark, d)),
         "op9_token_counts": lambda spark, d: tokens.digest(_documents(spark, d)),
         "op10_packing": lambda spark, d: packing.digest(_documents(spark, d)),
+        "op11_simhash": lambda spark, d: simhash.digest(_documents(spark, d)),
+        "op12_conversation_repair": lambda spark, d: repair.digest(spark.read.parquet(f"{d}/conversations.parquet")),
+        "op13_prefix_trie": lambda spark, d: trie.digest(spark.read.parquet(f"{d}/conversations.parquet")),
     }
 
 
@@ -38,4 +41,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_preference_format": preference.ORACLE_SQL,
         "op6_preference_shared": preference.SHARED_SQL,
         "op6_preference_pairs": preference.PAIRS_SQL,
+        "op12_conversation_repair": repair.oracle_sql(trie.CRC32),
+        "op13_prefix_trie": trie.ORACLE_SQL,
     }
