@@ -77,21 +77,21 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     long = turns.groupBy("conv_id").agg(F.max("depth").alias("length"))
     convs = materialise(convs.select("conv_id").join(long, "conv_id", "left").select("conv_id", F.coalesce("length", F.lit(0)).alias("length")))
     top = convs.agg(F.min("conv_id")).first()[0]
-    node = [F.col("depth").cast("long").alias("depth"), "node", F.col("parent").cast("long").alias("parent"), "n_convs", F.col("bytes").cast("long").alias("bytes")]
+    node = ["depth", "node", "parent", "n_convs", "bytes"]
     root = convs.agg(F.min("conv_id").alias("node"), F.count("*").alias("n_convs")).filter("n_convs > 0")
-    levels = [materialise(root.withColumns({"depth": F.lit(0), "parent": F.lit(None), "bytes": F.lit(0)}).select(*node))]
+    levels = [root.select(F.lit(0).cast("long").alias("depth"), "node", F.lit(None).cast("long").alias("parent"), "n_convs", F.lit(0).cast("long").alias("bytes"))]
     live, ends = convs.withColumn("node", F.lit(top).cast("long")), []
     while True:
         depth = len(levels)
         ends.append(live.filter(F.col("length") < depth).select(F.lit(depth - 1).cast("long").alias("depth"), "node", "conv_id"))
-        step = live.filter(F.col("length") >= depth).withColumnRenamed("node", "parent").join(turns.filter(F.col("depth") == depth).drop("depth"), "conv_id")
-        found = step.groupBy("parent", "said").agg(F.min("conv_id").alias("node"), F.count("*").alias("n_convs"), F.max("bytes").alias("bytes"))
-        found = materialise(found.select("said", *node[1:], F.lit(depth).cast("long").alias("depth")))
-        levels.append(found.select(*node))
-        shared = found.filter("n_convs > 1").select("parent", "said", "node")
-        if shared.isEmpty():
+        step = live.filter(F.col("length") >= depth).select("conv_id", "length", F.col("node").alias("parent")).join(turns.filter(F.col("depth") == depth).drop("depth"), "conv_id")
+        found = step.groupBy("parent", "said").agg(F.min("conv_id").alias("node"), F.count("*").alias("n_convs"))
+        # Written once: a node is the row of its smallest conversation, and all rows of shared nodes live on.
+        step = materialise(step.join(found, ["parent", "said"]).drop("said"))
+        levels.append(step.filter("conv_id = node").select(F.lit(depth).cast("long").alias("depth"), *node[1:]))
+        live = step.filter("n_convs > 1").select("conv_id", "length", "node")
+        if live.isEmpty():
             break
-        live = materialise(step.join(shared, ["parent", "said"]).select("conv_id", "length", "node"))
     # Back from the deepest level: what each node's children add up to.
     rolled, below = [], None
     for found in reversed(levels):
