@@ -10,12 +10,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.functions import crs
+from corvane.functions import crs, projections
 from corvane.functions import geometry as g
 from corvane.functions import text as tx
 from corvane.operators import axes, network, proximity, report, rules, scoring, transects, validation
 from corvane.plans import config
-from corvane.sources import layers
+from corvane.sources import geojson, layers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -478,10 +478,58 @@ def mojibake_repair(spark, d):
     return _table(spark, d, "documents").select("doc_id", tx.repair(broken).alias("repaired"))
 
 
-@query("SELECT * FROM (VALUES ('urn:ogc:def:crs:OGC:1.3:CRS84', 4326), ('urn:ogc:def:crs:EPSG::9498', 9498), ('EPSG:32721', 32721), ('other', 4326), (NULL, 4326)) v(name, epsg)")
+@query("SELECT c_custkey, CASE WHEN c_custkey % 5 < 3 THEN 32601 + c_custkey % 60 ELSE 4326 END AS epsg FROM customer")
 def crs_parse(spark, d):
-    names = spark.createDataFrame([(n,) for n in ("urn:ogc:def:crs:OGC:1.3:CRS84", "urn:ogc:def:crs:EPSG::9498", "EPSG:32721", "other", None)], "name string")
-    return names.select("name", crs.epsg_of(F.col("name")).alias("epsg"))
+    """Names of systems as layers write them."""
+    k, code = F.col("c_custkey"), (32601 + F.col("c_custkey") % 60).cast("string")
+    name = F.when(k % 5 == 0, F.concat(F.lit("urn:ogc:def:crs:EPSG::"), code)).when(k % 5 == 1, F.concat(F.lit("EPSG:"), code)).when(k % 5 == 2, F.concat(F.lit("http://x/EPSG:"), code)).when(k % 5 == 3, "urn:ogc:def:crs:OGC:1.3:CRS84")
+    return _table(spark, d, "customer").select("c_custkey", crs.epsg_of(name).alias("epsg"))
+
+
+_E, _N = 0.0818191908426215, 0.0016792203863837047
+_LL = "SELECT vec_id, radians(lon) AS l, radians(lat) AS b, lon, lat FROM (SELECT vec_id, 5.0 + vec_id % 1000 / 250.0::DOUBLE AS lon, 40.0 + label / 3.0::DOUBLE AS lat FROM embeddings)"
+
+
+@query(f"""WITH ll AS ({_LL}), i AS (SELECT *, atanh(sin(b)) - {_E} * atanh({_E} * sin(b)) AS psi FROM ll),
+  u AS (SELECT *, atan2(sinh(psi), cos(l - radians(9))) AS xi, atanh(sin(l - radians(9)) / sqrt(1 + sinh(psi) ** 2)) AS eta FROM i),
+  k AS (SELECT {_N} AS n), c AS (SELECT n / 2 - 2 * n ** 2 / 3 + 5 * n ** 3 / 16 + 41 * n ** 4 / 180 AS a1, 13 * n ** 2 / 48 - 3 * n ** 3 / 5 + 557 * n ** 4 / 1440 AS a2, 61 * n ** 3 / 240 - 103 * n ** 4 / 140 AS a3, 49561 * n ** 4 / 161280 AS a4,
+    0.9996 * 6378137.0 / (1 + n) * (1 + n ** 2 / 4 + n ** 4 / 64) AS r FROM k)
+  SELECT vec_id, round(6378137.0 * l, 2) AS web_x, round(6378137.0 * ln(tan(pi() / 4 + b / 2)), 2) AS web_y,
+    round(500000 + r * (eta + a1 * cos(2 * xi) * sinh(2 * eta) + a2 * cos(4 * xi) * sinh(4 * eta) + a3 * cos(6 * xi) * sinh(6 * eta) + a4 * cos(8 * xi) * sinh(8 * eta)), 2) AS utm_x,
+    round(r * (xi + a1 * sin(2 * xi) * cosh(2 * eta) + a2 * sin(4 * xi) * cosh(4 * eta) + a3 * sin(6 * xi) * cosh(6 * eta) + a4 * sin(8 * xi) * cosh(8 * eta)), 2) AS utm_y
+  FROM u, c""")
+def projected_planes(spark, d):
+    """The same places on Web Mercator and UTM zone 32."""
+    lon, lat = F.lit(5.0) + F.col("vec_id") % 1000 / F.lit(250.0), F.lit(40.0) + F.col("label") / F.lit(3.0)
+    of = lambda code: projections.from_degrees(lon, lat, projections.system(code))
+    t = _table(spark, d, "embeddings").select("vec_id", of(3857).alias("web"), of(32632).alias("utm"))
+    return t.select("vec_id", *(F.round(F.col(f"{s}.{c}"), 2).alias(f"{s}_{c}") for s in ("web", "utm") for c in "xy"))
+
+
+@query(f"""WITH p AS (SELECT *, ln(tan(pi() / 4 + b / 2) * ((1 - 0.081819191042815791 * sin(b)) / (1 + 0.081819191042815791 * sin(b))) ** (0.081819191042815791 / 2)) AS q FROM ({_LL})),
+  f AS (SELECT radians(49) AS b1, radians(44) AS b2, radians(46.5) AS b0, 0.081819191042815791 AS e),
+  m AS (SELECT *, cos(b1) / sqrt(1 - (e * sin(b1)) ** 2) AS m1, cos(b2) / sqrt(1 - (e * sin(b2)) ** 2) AS m2, ln(tan(pi() / 4 + b1 / 2) * ((1 - e * sin(b1)) / (1 + e * sin(b1))) ** (e / 2)) AS q1,
+    ln(tan(pi() / 4 + b2 / 2) * ((1 - e * sin(b2)) / (1 + e * sin(b2))) ** (e / 2)) AS q2, ln(tan(pi() / 4 + b0 / 2) * ((1 - e * sin(b0)) / (1 + e * sin(b0))) ** (e / 2)) AS q0 FROM f),
+  c AS (SELECT *, (ln(m1) - ln(m2)) / (q2 - q1) AS n FROM m), r AS (SELECT *, 6378137.0 * m1 / n * exp(n * q1) AS s FROM c)
+  SELECT vec_id, round(700000 + s * exp(-n * q) * sin(n * (l - radians(3))), 2) AS x, round(6600000 + s * exp(-n * q0) - s * exp(-n * q) * cos(n * (l - radians(3))), 2) AS y FROM p, r""")
+def projected_conic(spark, d):
+    lon, lat = F.lit(5.0) + F.col("vec_id") % 1000 / F.lit(250.0), F.lit(40.0) + F.col("label") / F.lit(3.0)
+    m = projections.from_degrees(lon, lat, projections.system(2154))
+    return _table(spark, d, "embeddings").select("vec_id", m.alias("m")).select("vec_id", F.round("m.x", 2).alias("x"), F.round("m.y", 2).alias("y"))
+
+
+@query("""SELECT row_number() OVER (ORDER BY vec_id) - 1 AS ord, vec_id, 'a"}' || label || '{[' || chr(92) || chr(92) || 'ñ' AS name, round(-58.5 + vec_id % 1000 / 5000.0::DOUBLE, 9) AS lon, round(-34.7 + label / 50.0::DOUBLE, 9) AS lat FROM embeddings""")
+def geojson_features(spark, d):
+    """A collection in one file, given in a projection, and read again range by range."""
+    lon, lat = F.lit(-58.5) + F.col("vec_id") % 1000 / F.lit(5000.0), F.lit(-34.7) + F.col("label") / F.lit(50.0)
+    m = projections.from_degrees(lon, lat, projections.system(22195))
+    name = F.concat(F.lit('a"}'), F.col("label").cast("string"), F.lit("{[\\\\ñ"))
+    place = F.struct(F.lit("Point").alias("type"), F.array(m["x"], m["y"]).alias("coordinates"))
+    rows = _table(spark, d, "embeddings").select(F.col("vec_id").alias("place"), F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct("vec_id", name.alias("name")).alias("properties"), place.alias("geometry"))).alias("value"))
+    path = f"{geojson.folder_for(spark, 'features')}/all.geojson"
+    geojson.write(rows, path, "urn:ogc:def:crs:EPSG::22195")
+    found = layers.read_geojson(spark, path, latin1=False, properties={"vec_id": "long", "name": "string"})
+    return found.select("ord", "vec_id", "name", F.round(F.col("lonlat")[0]["lon"], 9).alias("lon"), F.round(F.col("lonlat")[0]["lat"], 9).alias("lat"))
 
 
 @query("SELECT vec_id, round(-58.5 + vec_id % 1000 / 5000.0::DOUBLE, 9) AS lon, round(-34.7 + label / 50.0::DOUBLE, 9) AS lat FROM embeddings")

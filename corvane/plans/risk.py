@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from corvane.operators import axes, network, rules, scoring, validation
 from corvane.plans.config import Config
+from corvane.sources import geojson
 from corvane.sources.layers import Layers, load
 from corvane.storage import materialise
 
@@ -86,12 +87,12 @@ def save_report(r: Run, config: Config, path: Path) -> int:
     return len(found)
 
 
-def features(table: DataFrame) -> DataFrame:
-    """GeoJSON features, one a row: numbers rounded to 4 decimals, the place as it is."""
+def features(table: DataFrame, order: str | None = None) -> DataFrame:
+    """GeoJSON features, one a row, with their order as ``place`` if one is named: numbers rounded to 4 decimals, the place as it is."""
     drop = {"n_merged_nodes", "branches", "lon", "lat", "x", "y", "key", "corner_ord"}
     cols = [(F.bround(c, 4).alias(c) if t == "double" else F.col(c)) for c, t in table.dtypes if c not in drop]
     place = F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates"))
-    return table.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*cols).alias("properties"), place.alias("geometry")), {"ignoreNullFields": "false"}).alias("value"))
+    return table.select(*([F.col(order).alias("place")] if order else []), F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*cols).alias("properties"), place.alias("geometry")), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def save_features(table: DataFrame, path: str) -> None:
@@ -99,14 +100,9 @@ def save_features(table: DataFrame, path: str) -> None:
     features(table).write.mode("overwrite").text(path)
 
 
-def save_geojson(table: DataFrame, path: Path) -> None:
-    """One feature collection in one file, for the report page: lines of the features' files, put together on the driver one by one."""
-    path.parent.mkdir(parents=True, exist_ok=True)
-    with path.open("w", encoding="utf-8") as f:
-        f.write('{"type": "FeatureCollection", "features": [\n')
-        for i, row in enumerate(features(table).toLocalIterator()):
-            f.write((",\n" if i else "") + row["value"])
-        f.write("\n]}\n")
+def save_geojson(table: DataFrame, path: str) -> None:
+    """One feature collection in one file, for the report page."""
+    geojson.write(features(table, "corner_ord"), path)
 
 
 def export(r: Run, config: Config, out: str, collection: bool = True) -> None:
@@ -116,7 +112,7 @@ def export(r: Run, config: Config, out: str, collection: bool = True) -> None:
     r.table.write.mode("overwrite").parquet(f"{out}/esquinas.parquet")
     save_features(r.table, f"{out}/esquinas_por_linea")
     if collection:
-        save_geojson(r.table, folder / "esquinas.geojson")
+        save_geojson(r.table, f"{out}/esquinas.geojson")
     save_documents(r, config, folder / "fichas")
     save_report(r, config, folder / "reporte.json")
     _put(folder / "run_metadata.json", metadata(r, config))

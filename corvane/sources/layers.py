@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.functions import crs
+from corvane.functions import crs, projections
 from corvane.functions import geometry as g
 from corvane.functions.text import folded_equal, number, repair
 from corvane.operators.proximity import crossing, intersects_box, within
-from corvane.sources import shapefile
+from corvane.sources import geojson, shapefile
 from corvane.storage import materialise
 
 _STREET = {k: "string" for k in ("nomoficial", "tipo_c", "sentido", "bicisenda", "red_jerarq", "barrio", "barrio_par", "barrio_imp")} | {k: "double" for k in ("comuna", "com_par", "com_impar")}
@@ -48,11 +48,18 @@ class Layers:
         return {k: df for k, df in self.tables.items() if not df.isEmpty()}
 
 
-def _lonlat(p: Column, epsg: Column) -> Column:
-    """A coordinate pair as degrees, whatever it was given in; null for a system that is not known."""
-    out = F.when(epsg == 4326, F.struct(p[0].alias("lon"), p[1].alias("lat")))
-    for code, system in crs.PROJECTED.items():
-        out = out.when(epsg == code, crs.unprojected(p[0], p[1], system))
+def _systems(codes: set[int | None]) -> dict[int, projections.System]:
+    found = {c: projections.system(c) for c in codes}
+    if unknown := sorted(str(c) for c, s in found.items() if s is None):
+        raise ValueError(f"unknown coordinate system: {unknown}")
+    return found
+
+
+def _lonlat(p: Column, epsg: Column, systems: dict[int, projections.System]) -> Column:
+    """A coordinate pair as degrees, whatever of the layer's systems it was given in."""
+    out = F.when(F.lit(False), F.struct(p[0].alias("lon"), p[1].alias("lat")))
+    for code, system in systems.items():
+        out = out.when(epsg == code, projections.to_degrees(p[0], p[1], system))
     return out
 
 
@@ -64,12 +71,13 @@ def read_geojson(spark: SparkSession, path: str, latin1: bool = True, properties
     """(ord, part, geom_type, rings in degrees, points and shape in metres, area, epsg, properties); a part per polygon of a multipolygon."""
     kinds = {k: T._parse_datatype_string(v) for k, v in (properties or {}).items()}
     feature = T.StructType([T.StructField("geometry", T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])), T.StructField("properties", T.StructType([T.StructField(k, v) for k, v in kinds.items()] or [T.StructField("_none", T.StringType())]))])
-    schema = T.StructType([T.StructField("crs", T.StructType([T.StructField("properties", T.StructType([T.StructField("name", T.StringType())]))])), T.StructField("features", T.ArrayType(feature))])
-    text = F.decode("content", "ISO-8859-1" if latin1 else "UTF-8")
-    doc = spark.read.format("binaryFile").load(path).select(F.from_json(text, schema, {"mode": "FAILFAST"}).alias("d"))
-    rows = doc.select(crs.epsg_of(F.col("d.crs.properties.name")).alias("epsg"), F.posexplode("d.features").alias("ord", "f"))
-    # One task reads a file's text, all of them the features' coordinates.
-    rows = rows.repartition(spark.sparkContext.defaultParallelism, "ord")
+    found, ranges, named = geojson.read(spark, path)
+    systems = _systems({crs.code_of(x) for x in named})
+    # All tasks parse, however few ranges the file has.
+    tasks = spark.sparkContext.defaultParallelism
+    found = found if ranges >= tasks else found.repartition(tasks, "ord")
+    text = F.decode("text", "ISO-8859-1" if latin1 else "UTF-8")
+    rows = found.select("ord", crs.epsg_of(F.col("system")).alias("epsg"), F.from_json(text, feature, {"mode": "FAILFAST"}).alias("f"))
     kind, raw = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
     line, polygon = "array<array<double>>", "array<array<array<double>>>"
     parts = (
@@ -82,12 +90,12 @@ def read_geojson(spark: SparkSession, path: str, latin1: bool = True, properties
     out = rows.select("ord", "epsg", kind.alias("geom_type"), F.posexplode_outer(parts).alias("part", "rings"), *(F.col(f"f.properties.{k}").alias(k) for k in kinds))
     if latin1:
         out = out.withColumns({k: repair(F.col(k)) for k, v in kinds.items() if isinstance(v, T.StringType)})
-    return _measured(out, list(kinds))
+    return _measured(out, list(kinds), systems)
 
 
-def _measured(rows: DataFrame, properties: list[str]) -> DataFrame:
+def _measured(rows: DataFrame, properties: list[str], systems: dict[int, projections.System]) -> DataFrame:
     """A layer of rows (ord, part, geom_type, epsg, rings as given, and properties): rings in degrees and metres, and their segments."""
-    out = rows.withColumn("rings", F.transform("rings", lambda ring: F.transform(ring, lambda p: _lonlat(p, F.col("epsg")))))
+    out = rows.withColumn("rings", F.transform("rings", lambda ring: F.transform(ring, lambda p: _lonlat(p, F.col("epsg"), systems))))
     metric = out.withColumn("m", F.transform("rings", lambda ring: F.transform(ring, _metric)))
     shape = F.flatten(F.transform("m", g.path))
     outline = F.flatten(F.transform("rings", lambda ring: g.path(F.transform(ring, lambda p: F.struct(p["lon"].alias("x"), p["lat"].alias("y"))))))
@@ -96,7 +104,8 @@ def _measured(rows: DataFrame, properties: list[str]) -> DataFrame:
 
 def read_shapefile(spark: SparkSession, path: str) -> DataFrame:
     rows = shapefile.read_shapes(spark, path).repartition(spark.sparkContext.defaultParallelism, "ord")
-    return _measured(rows.withColumn("epsg", shapefile.epsg(spark, path)), [])
+    code = shapefile.epsg(spark, path)
+    return _measured(rows.withColumn("epsg", F.lit(code).cast("int")), [], _systems({code}))
 
 
 def read_csv_points(spark: SparkSession, path: str, lon: str = "long", lat: str = "lat", sep: str = ",") -> DataFrame:
@@ -112,11 +121,7 @@ def read_layer(spark: SparkSession, path: str, spec: dict) -> DataFrame:
     if spec["kind"] == "csv":
         return read_csv_points(spark, path, spec.get("lon", "long"), spec.get("lat", "lat"), spec.get("sep", ","))
     if spec["kind"] in ("latin1", "utf8", "shapefile"):
-        df = materialise(read_shapefile(spark, path) if spec["kind"] == "shapefile" else read_geojson(spark, path, spec["kind"] == "latin1", spec.get("properties")))
-        unknown = [r[0] for r in df.filter(~F.col("epsg").isin(4326, *crs.PROJECTED) | F.col("epsg").isNull()).select("epsg").distinct().limit(5).collect()]
-        if unknown:
-            raise ValueError(f"unknown coordinate system: {unknown}")
-        return df
+        return materialise(read_shapefile(spark, path) if spec["kind"] == "shapefile" else read_geojson(spark, path, spec["kind"] == "latin1", spec.get("properties")))
     raise ValueError(f"no reader for {spec['kind']}")
 
 

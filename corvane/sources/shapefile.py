@@ -5,8 +5,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 ROWS = "ord long, part int, geom_type string, rings array<array<array<double>>>"
 #: Fixed values of the format: shape types, with those that also have heights or measures.
@@ -56,15 +55,15 @@ def read_shapes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(parse, ROWS)
 
 
-def epsg(spark: SparkSession, path: str) -> Column:
+def epsg(spark: SparkSession, path: str) -> int | None:
     """The system that the .prj file beside it names: the outermost EPSG number, degrees if it is a geographic one or if there is no such file."""
     try:
         text = spark.read.text(path.removesuffix(".shp") + ".prj", wholetext=True).first()[0]
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return F.lit(4326)
+        return 4326
     if text.lstrip().upper().startswith("GEOG"):
-        return F.lit(4326)
+        return 4326
     codes = [int(x.split('"')[1]) for x in text.upper().split('AUTHORITY["EPSG",')[1:]]
-    return F.lit(codes[-1] if codes else None).cast("int")
+    return codes[-1] if codes else None

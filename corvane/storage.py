@@ -5,15 +5,21 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """The same rows, computed once, in ``spark.checkpoint.dir``; a folder of our own only where that is unset on a local master, as in tests."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; one of our own only where that is unset on a local master, as in tests."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         if named is None and not context.master.startswith("local"):
             raise RuntimeError("a cluster needs spark.checkpoint.dir, a folder that the driver and all executors share")
         context.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "corvane-checkpoints"))
+    return context.getCheckpointDir()
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """The same rows, computed once, in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
