@@ -15,7 +15,7 @@ from corvane.functions import geometry as g
 from corvane.functions import text as tx
 from corvane.operators import axes, network, proximity, report, rules, scoring, transects, validation
 from corvane.plans import config
-from corvane.sources import geojson, layers
+from corvane.sources import geojson, geopackage, layers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -518,6 +518,19 @@ def projected_conic(spark, d):
     return _table(spark, d, "embeddings").select("vec_id", m.alias("m")).select("vec_id", F.round("m.x", 2).alias("x"), F.round("m.y", 2).alias("y"))
 
 
+@query("SELECT row_number() OVER (ORDER BY c_custkey) AS fid, c_custkey, c_name, c_acctbal::DOUBLE AS c_acctbal, -58.0 - c_custkey / 1000.0::DOUBLE AS lon, -34.5 + c_nationkey / 7.0::DOUBLE AS lat, '[{\"a\":' || c_nationkey || '}]' AS branches FROM customer")
+def geopackage_layer(spark, d):
+    """A layer of points written as a GeoPackage file and read again; places are told from the geometries' bytes."""
+    c = _table(spark, d, "customer")
+    t = c.select("c_custkey", "c_name", F.col("c_acctbal").cast("double").alias("c_acctbal"), (F.lit(-58.0) - F.col("c_custkey") / F.lit(1000.0)).alias("lon"), (F.lit(-34.5) + F.col("c_nationkey") / F.lit(7.0)).alias("lat"), F.array(F.struct(F.col("c_nationkey").alias("a"))).alias("branches"))
+    path = f"{geojson.folder_for(spark, 'layer')}/customers.gpkg"
+    geopackage.write(t, path, "customers", order="c_custkey")
+    back = geopackage.read(spark, path, "customers", "fid long, c_custkey long, c_name string, c_acctbal double, branches string, geom binary")
+    # The bytes of the table's own places tell whose geometry it is.
+    own = t.select(F.col("c_custkey").alias("k"), "lon", "lat", geopackage.point(F.col("lon"), F.col("lat")).alias("own"))
+    return back.join(own, (F.col("k") == F.col("c_custkey")) & (F.col("own") == F.col("geom"))).select("fid", "c_custkey", "c_name", "c_acctbal", "lon", "lat", "branches")
+
+
 @query("""SELECT row_number() OVER (ORDER BY vec_id) - 1 AS ord, vec_id, 'a"}' || label || '{[' || chr(92) || chr(92) || 'ñ' AS name, round(-58.5 + vec_id % 1000 / 5000.0::DOUBLE, 9) AS lon, round(-34.7 + label / 50.0::DOUBLE, 9) AS lat FROM embeddings""")
 def geojson_features(spark, d):
     """A collection in one file, given in a projection, and read again range by range."""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from corvane.operators import axes, network, rules, scoring, validation
 from corvane.plans.config import Config
-from corvane.sources import geojson
+from corvane.sources import geojson, geopackage
 from corvane.sources.layers import Layers, load
 from corvane.storage import materialise
 
@@ -105,11 +105,18 @@ def save_geojson(table: DataFrame, path: str) -> None:
     geojson.write(features(table, "corner_ord"), path)
 
 
+def save_geopackage(table: DataFrame, path: str, layer: str) -> None:
+    """A layer of the corners' points with all their columns, branches as JSON."""
+    geopackage.write(table.withColumnRenamed("branches", "branches_json"), path, layer, order="corner_ord", leave=("x", "y", "key", "corner_ord"))
+
+
 def export(r: Run, config: Config, out: str, collection: bool = True) -> None:
     """All sinks; the feature collection in one file only where ``collection`` asks for it."""
     folder = Path(out)
     r.corners.write.mode("overwrite").parquet(f"{out}/corners.parquet")
     r.table.write.mode("overwrite").parquet(f"{out}/esquinas.parquet")
+    save_geopackage(r.corners, f"{out}/corners.gpkg", "corners")
+    save_geopackage(r.table, f"{out}/esquinas.gpkg", "esquinas")
     save_features(r.table, f"{out}/esquinas_por_linea")
     if collection:
         save_geojson(r.table, f"{out}/esquinas.geojson")

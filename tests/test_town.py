@@ -3,6 +3,7 @@
 import copy
 import json
 import math
+import sqlite3
 import struct
 
 import pytest
@@ -129,6 +130,11 @@ def test_sinks(spark, done):
     place = next(f for f in parts if f["properties"]["corner_id"] == best[0].corner_id)
     assert place["geometry"]["coordinates"] == [best[0].lon, best[0].lat] and place["properties"]["indice"] == round(best[0].indice, 4)
     assert spark.read.parquet(str(out / "esquinas.parquet")).count() == spark.read.parquet(str(out / "corners.parquet")).count() == len(rows)
+    for name, table in (("corners", r.corners), ("esquinas", r.table)):
+        db = sqlite3.connect(str(out / f"{name}.gpkg"))
+        got = {c: (struct.unpack("<2d", g[13:]), json.loads(b)) for c, g, b in db.execute(f"select corner_id, geom, branches_json from {name}")}
+        assert got == {x.corner_id: ((x.lon, x.lat), [b.asDict() for b in x.branches]) for x in table.collect()}
+        assert not {"x", "y", "lon", "branches", "corner_ord"} & {c[1] for c in db.execute(f"pragma table_info({name})")}
     meta = json.loads((out / "run_metadata.json").read_text(encoding="utf-8"))
     assert set(meta["fuentes_no_disponibles"]) == {"semaforos", "censo", "sendas_peatonales"} and "no encontrado" in meta["fuentes_no_disponibles"]["semaforos"] and meta["n_corners"] == len(rows)
     assert json.loads((out / "validation_report.json").read_text(encoding="utf-8"))["status"] == "ok"
