@@ -99,13 +99,14 @@ def _measured(rows: DataFrame, properties: list[str], systems: dict[int, project
     metric = out.withColumn("m", F.transform("rings", lambda ring: F.transform(ring, _metric)))
     shape = F.flatten(F.transform("m", g.path))
     outline = F.flatten(F.transform("rings", lambda ring: g.path(F.transform(ring, lambda p: F.struct(p["lon"].alias("x"), p["lat"].alias("y"))))))
-    return metric.select(F.col("ord").cast("long").alias("ord"), "part", "geom_type", F.col("rings")[0].alias("lonlat"), F.col("m")[0].alias("points"), shape.alias("shape"), outline.alias("outline"), F.coalesce(F.col("geom_type").isin("Polygon", "MultiPolygon"), F.lit(False)).alias("area"), "epsg", *properties)
+    return metric.select(F.col("ord").cast("long").alias("ord"), "part", "geom_type", F.col("rings")[0].alias("lonlat"), F.col("m")[0].alias("points"), shape.alias("shape"), outline.alias("outline"), F.coalesce(F.col("geom_type").isin("Polygon", "MultiPolygon"), F.lit(False)).alias("area"), "epsg", *(F.col(f"`{c}`") for c in properties))
 
 
 def read_shapefile(spark: SparkSession, path: str) -> DataFrame:
-    rows = shapefile.read_shapes(spark, path).repartition(spark.sparkContext.defaultParallelism, "ord")
+    """As ``read_geojson``, with the attributes of the table beside the file."""
+    rows, attributes = shapefile.read(spark, path)
     code = shapefile.epsg(spark, path)
-    return _measured(rows.withColumn("epsg", F.lit(code).cast("int")), [], _systems({code}))
+    return _measured(rows.withColumn("epsg", F.lit(code).cast("int")), attributes, _systems({code}))
 
 
 def read_csv_points(spark: SparkSession, path: str, lon: str = "long", lat: str = "lat", sep: str = ",") -> DataFrame:
