@@ -7,9 +7,11 @@ c the counts in training, N the tokens and V the distinct ones, arcs weigh
 
     root      p(w) = (c(w) + 1) / (N + V + 1)
     word v    p(w | v) = (c(vw) + a p(w)) / (c(v) + a),         failure arc  a / (c(v) + a)
-    pair uv   p(w | uv) = (c(uvw) + a p(w | v)) / (c(uv) + a),  failure arc  a / (c(uv) + a)
+    pair uv   p(w | uv) = (c(uvw) + b p(w | v)) / (c(uv) + b),  failure arc  b / (c(uv) + b)
 
-so each state's weights add up to one, whatever comes. A text is read once from left to right;
+so each state's weights add up to one, whatever comes. ``a`` and ``b`` are estimated from the training texts: as
+Turing has it, the tokens that go on as never before are as many as pairs (triples) that were seen once, so ``a`` is where the
+failure arcs take just that many of the training tokens, the sum over states of c a / (c + a). A text is read once from left to right;
 each token takes its arc, after as many failure arcs as it needs, adds the log weights and moves on to the
 state that the arc leads to.
 
@@ -24,6 +26,8 @@ an empty table gives an empty result; only the named id and text columns are rea
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -31,13 +35,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm import _blocks, _text
+from corvane.llm._storage import materialise
 
 BLOCK_BYTES = 6 << 20
 _END, _START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _ONE = np.uint64(1)
-#: What a block is told: totals in the order of its keys, and the tokens and distinct tokens of the bucket.
-ANSWER = "block long, bucket long, totals binary, n long, v long"
+#: What a block is told: totals in the order of its keys. Block -1 stands for rows that sum the bucket up, ``n`` counts that add up to ``total``.
+ANSWER = "block long, bucket long, totals binary, n long, total long"
 PAIRS, TRIPLES = 0, 1
+#: Counts of words, of pairs that are states, and of pairs or triples that were seen once.
+WORDS, STATES, ONCE = range(3)
+#: Counts are told apart up to this one, and in classes of a hundredth beyond.
+EXACT = 4096
+#: Bounds of ``a`` and ``b``.
+LEAST_A, MOST_A = 1e-3, 1e7
 
 
 def held_out(id_col: str, modulus: int, remainder: int):
@@ -104,26 +115,57 @@ def _sum(place: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(place, weights=weight, minlength=n).astype(np.int64)
 
 
-def _answer(part: pa.Table) -> pa.Table:
-    """To each block the totals of what it asked, and to all how many tokens, and distinct ones, the bucket has."""
+def _classes(counts: np.ndarray) -> np.ndarray:
+    """A number for each count, the same for counts within a hundredth."""
+    return np.where(counts <= EXACT, counts, EXACT + (64 * np.log2(np.maximum(counts, EXACT) / EXACT)).astype(np.int64))
+
+
+def _answer(part: pa.Table, triples: bool, least: int) -> pa.Table:
+    """To each block the totals of what it asked; and how often each count occurs in the bucket."""
     blocks, sizes, known, totals, place = _blocks.add_up(part)
+    value, cut, bucket = totals[place], np.cumsum([0, *sizes]), part.column("bucket")[0].as_py()
+    told = [(b, bucket, _blocks.squeeze(value[x:y]), None, None) for b, x, y in zip(blocks, cut[:-1], cut[1:])]
     words = (known & _ONE) == 0
-    n, v = int(totals[words].sum()), int((totals[words] > 0).sum())
-    value, cut, many = totals[place], np.cumsum([0, *sizes]), len(blocks)
-    told = pa.array([_blocks.squeeze(value[a:b]) for a, b in zip(cut[:-1], cut[1:])], pa.binary())
-    return pa.Table.from_arrays([pa.array(blocks, pa.int64()), pa.array([part.column("bucket")[0].as_py()] * many, pa.int64()), told, pa.array([n] * many, pa.int64()), pa.array([v] * many, pa.int64())], ["block", "bucket", "totals", "n", "v"])
+    summed = {ONCE: totals[~words & (totals == 1)]}
+    if not triples:
+        summed |= {WORDS: totals[words & (totals > 0)], STATES: totals[~words & (totals >= least)]}
+    for kind, counts in summed.items():
+        of = _classes(counts)
+        many, total = np.bincount(of), np.bincount(of, weights=counts)
+        told += [(-1, int(kind << 32 | c), None, int(many[c]), int(total[c])) for c in np.flatnonzero(many).tolist()]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*told), kinds)], ["block", "bucket", "totals", "n", "total"])
+
+
+def _summed(answers: DataFrame) -> dict[int, list[tuple[int, int]]]:
+    """By kind, how many counts there are and their sum, for each class of counts: some thousand rows, whatever the corpus."""
+    found: dict[int, list[tuple[int, int]]] = {WORDS: [], STATES: [], ONCE: []}
+    for r in answers.filter("block < 0").groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).collect():
+        found[r["bucket"] >> 32].append((r["n"], r["total"]))
+    return found
+
+
+def estimate(contexts: list[tuple[int, int]], once: int) -> float:
+    """Where the failure arcs of contexts, so many with counts that add up to so much, take ``once`` tokens; within ``LEAST_A`` and ``MOST_A``."""
+    n, total = (np.array(x, float) for x in zip(*contexts)) if contexts else (np.zeros(0), np.zeros(0))
+    low, high = math.log(LEAST_A), math.log(MOST_A)
+    for _ in range(60):
+        a = math.exp((low + high) / 2)
+        low, high = ((low + high) / 2, high) if (total * a / (total / n + a)).sum() < once else (low, (low + high) / 2)
+    return math.exp((low + high) / 2)
 
 
 class Automaton:
     """States 0 (root), 1 ... (words, then the start of a text) and ``pair0`` ... (pairs); arcs are kept by the words that they read."""
 
-    def __init__(self, t: Tokens, words: np.ndarray, pairs: np.ndarray, triple: np.ndarray, triples: np.ndarray, n: int, v: int, least: int, a: float):
+    def __init__(self, t: Tokens, words: np.ndarray, pairs: np.ndarray, triple: np.ndarray, triples: np.ndarray, n: int, v: int, least: int, a: float, b: float):
         """``words``, ``pairs``, ``triples``: counts; ``triple``: each token's triple, -1 for none."""
         n_words = len(words)
         self.start, self.pair0 = n_words + 1, n_words + 2
         # A start is left as often as an end is read.
         count = np.concatenate([[0], words, [words[t.end]], pairs]).astype(float)
-        self.back = np.log10(a / (count + a))
+        prior = np.where(np.arange(len(count)) < self.pair0, a, b)
+        self.back = np.log10(prior / (count + prior))
         last = np.zeros(len(pairs), np.int64)
         last[t.pair] = t.word
         left = np.zeros(len(pairs), np.int64)  # the word, or start, that a pair begins with
@@ -140,7 +182,7 @@ class Automaton:
         under = np.zeros(len(triples), np.int64)
         at = np.flatnonzero(triple >= 0)
         of[triple[at]], under[triple[at]] = t.pair[at - 1], t.pair[at]
-        self.reads3 = np.log10((triples + a * p2[under]) / (pairs[of] + a)) if len(triples) else np.zeros(0)
+        self.reads3 = np.log10((triples + b * p2[under]) / (pairs[of] + b)) if len(triples) else np.zeros(0)
         self.known1, self.known2, self.known3 = words > 0, pairs > 0, triples > 0
 
     def read(self, t: Tokens, triple: np.ndarray) -> np.ndarray:
@@ -172,8 +214,8 @@ class Automaton:
         return out
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, remainder: int = 2, a: float = 1.0, least: int = 2, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row, learning from all that are not held out."""
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, remainder: int = 2, smoothing: tuple[float, float] | None = None, least: int = 2, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row, learning from all that are not held out; ``smoothing`` is estimated where it is not given."""
     marked = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), held_out(f"`{id_col}`", modulus, remainder).alias("held_out"))
     blocked, buckets, _ = _blocks.deal(marked, "id", "text", ("held_out",), block_bytes)
     by_block = blocked.groupBy("block")
@@ -183,7 +225,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modul
         weight = t.trained
         counts = np.concatenate([_sum(t.word, weight, len(t.words)), _sum(t.pair, weight, len(t.pairs))])
         keys, order = t.keys()
-        return _blocks.send(part.column("block")[0].as_py(), keys, counts[order], buckets, everywhere=True)
+        return _blocks.send(part.column("block")[0].as_py(), keys, counts[order], buckets)
 
     def ask_triples(part: pa.Table, told: pa.Table) -> pa.Table:
         t = Tokens(part)
@@ -195,19 +237,24 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modul
         t = Tokens(part)
         of = lambda kind: told.filter(pc.equal(told.column("kind"), kind))
         words, pairs = t.told(of(PAIRS))
-        n, v = (int(pc.sum(of(PAIRS).column(c)).as_py() or 0) for c in ("n", "v"))
         at = t.open_triples(pairs, least)
         keys, place, _ = _blocks.group(t.triples[at] | _ONE)
         triple = np.full(len(t.word), -1)
         triple[at] = place
-        machine = Automaton(t, words, pairs, triple, _blocks.totals_of(of(TRIPLES)), n, v, least, a)
+        machine = Automaton(t, words, pairs, triple, _blocks.totals_of(of(TRIPLES)), n, v, least, a, b)
         add = lambda x: np.add.reduceat(x, t.first) if len(t.first) else x
         columns = [pa.concat_arrays(t.ids), pa.concat_arrays(t.out), pa.array(t.length), pa.array(add(machine.known1[t.word].astype(np.int64))), pa.array(np.full(len(t.length), n)), pa.array(add(machine.reads1[t.word])), pa.array(machine.read(t, triple))]
         return pa.Table.from_arrays(columns, ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    pairs = by_block.applyInArrow(ask_pairs, _blocks.SENT).groupBy("bucket").applyInArrow(_answer, ANSWER)
-    triples = by_block.cogroup(pairs.groupBy("block")).applyInArrow(ask_triples, _blocks.SENT).groupBy("bucket").applyInArrow(_answer, ANSWER)
-    told = pairs.withColumn("kind", F.lit(PAIRS)).unionAll(triples.withColumn("kind", F.lit(TRIPLES)))
+    # Written, as both what they sum up and what they tell is read.
+    pairs = materialise(by_block.applyInArrow(ask_pairs, _blocks.SENT).groupBy("bucket").applyInArrow(lambda part: _answer(part, False, least), ANSWER))
+    to_blocks = pairs.filter("block >= 0").select("block", "bucket", "totals")
+    triples = by_block.cogroup(to_blocks.groupBy("block")).applyInArrow(ask_triples, _blocks.SENT).groupBy("bucket").applyInArrow(lambda part: _answer(part, True, least), ANSWER)
+    triples = materialise(triples)
+    twos, threes = _summed(pairs), _summed(triples)
+    n, v = sum(x for _, x in twos[WORDS]), sum(x for x, _ in twos[WORDS])
+    a, b = smoothing or (estimate(twos[WORDS], sum(x for x, _ in twos[ONCE])), estimate(twos[STATES], sum(x for x, _ in threes[ONCE])))
+    told = to_blocks.withColumn("kind", F.lit(PAIRS)).unionAll(triples.filter("block >= 0").select("block", "bucket", "totals").withColumn("kind", F.lit(TRIPLES)))
     return by_block.cogroup(told.groupBy("block")).applyInArrow(walk, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 

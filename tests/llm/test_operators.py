@@ -446,8 +446,17 @@ def test_language_em_raises_the_likelihood():
 
 # 8 ---------------------------------------------------------------------------
 
-def plain_scores(rows, a=1.0, least=2):
-    """By the recursive definition, not by states and arcs."""
+def plain_share(counts, once):
+    """The prior at which contexts of these counts back off for ``once`` of their tokens, by plain bisection."""
+    low, high = 1e-3, 1e7
+    for _ in range(100):
+        a = math.sqrt(low * high)
+        low, high = (a, high) if sum(c * a / (c + a) for c in counts) < once else (low, a)
+    return low
+
+
+def plain_model(rows, least=2):
+    """Texts, counts of words, and p(context, word) by the recursive definition, not by states and arcs."""
     lower = lambda s: re.sub("[A-Z]", lambda m: m[0].lower(), s)
     texts = [(r[0], [*map(lower, words(r[1])), None], zlib.crc32(str("" if r[0] is None else r[0]).encode()) % 7 == 2) for r in rows]
     one, two, three = Counter(), Counter(), Counter()
@@ -458,6 +467,8 @@ def plain_scores(rows, a=1.0, least=2):
             two.update(zip(t, t[1:]))
             three.update(zip(t, t[1:], t[2:]))
     n, v = sum(k for w, k in one.items() if w != 0), len([w for w in one if w != 0])
+    a = plain_share([k for w, k in one.items() if w is not None], sum(k == 1 for k in two.values()))
+    b = plain_share([k for k in two.values() if k >= least], sum(k == 1 for w, k in three.items() if two[w[:2]] >= least))
 
     def p(context, w):
         if not context:
@@ -465,8 +476,13 @@ def plain_scores(rows, a=1.0, least=2):
         if len(context) == 1:
             return (two[(*context, w)] + a * p((), w)) / (one[context[0]] + a)
         shorter = p(context[1:], w)
-        return (three[(*context, w)] + a * shorter) / (two[context] + a) if two[context] >= least else shorter
+        return (three[(*context, w)] + b * shorter) / (two[context] + b) if two[context] >= least else shorter
+
+    return texts, one, n, p
 
+
+def plain_scores(rows):
+    texts, one, n, p = plain_model(rows)
     for k, t, held in texts:
         full = [0, *t]
         whole = sum(math.log10(p(tuple(full[max(0, i - 2) : i]), full[i])) for i in range(1, len(full)))
@@ -505,6 +521,31 @@ def test_scoring_after_known_and_unknown_contexts(spark):
             assert got[r[0]] == pytest.approx(r[-1], abs=1e-9)
 
 
+def test_scoring_is_a_distribution():
+    """After whatever words, the probabilities of the whole vocabulary, the end and one unknown word add up to one in the definition that ``test_scoring`` holds the automaton to."""
+    _, one, _, p = plain_model([r for r in ROWS if len(r[1] or "") < 2000])
+    every = [w for w in one if w != 0] + ["unknown"]
+    known = [w for w in every if w is not None]
+    for context in ((), (0,), (known[0],), ("unknown",), (0, known[0]), *zip(known[:12], known[1:13]), ("unknown", known[3])):
+        assert sum(p(context, w) for w in every) == pytest.approx(1)
+
+
+def test_smoothing_is_estimated():
+    for counts, once in (([1, 1, 2, 5, 30], 7), ([3] * 9, 1), ([1], 1), ([9, 9], 0), ([], 0)):
+        got = scoring.estimate([(1, c) for c in counts], once)
+        assert got == pytest.approx(max(1e-3, plain_share(counts, once)), rel=1e-6)
+    many = np.random.default_rng(1).integers(1, 10**6, 4000)
+    of = scoring._classes(many)
+    classes = [(int((of == c).sum()), int(many[of == c].sum())) for c in np.unique(of)]
+    assert scoring.estimate(classes, int(many.sum() * 0.4)) == pytest.approx(plain_share(many.tolist(), int(many.sum() * 0.4)), rel=1e-3)
+
+
+def test_held_out_texts_score_above_the_base(spark):
+    """On whole tables, by half a digit a token; the bound holds at sf0.1 too."""
+    r = scoring.digest(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("held_out").agg(F.sum("n_tokens").alias("n"), F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
+    assert r.s / r.n > r.b / r.n + 0.3
+
+
 # 9, 10 -----------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
