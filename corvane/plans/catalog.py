@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from corvane.functions import crs, projections
 from corvane.functions import geometry as g
 from corvane.functions import text as tx
-from corvane.operators import axes, network, proximity, report, rules, scoring, transects, validation
+from corvane.operators import axes, network, outline, proximity, report, rules, scoring, transects, validation
 from corvane.plans import config
 from corvane.sources import geojson, geopackage, layers
 
@@ -132,6 +132,13 @@ def scope_buffer_semijoin(spark, d):
     return layers.crop_near(p, roads(spark, d).filter("cu = 3").select("shape"), 40.0).select("key")
 
 
+@query(_CITY + _SEG.format(40) + "SELECT DISTINCT key FROM hit WHERE cu = 3")
+def scope_outline(spark, d):
+    """Points inside the outline of a district's buffered streets, by the even-odd rule."""
+    border = layers.scope_outline(roads(spark, d).filter("cu = 3").select("shape"), {"mode": "comuna", "buffer_m": 40.0}, 0.25)
+    return outline.inside(pts(spark, d), border, 40.0)
+
+
 @query(_CITY + """SELECT u, v FROM (SELECT u, v,
   CASE WHEN x2 = x1 THEN CASE WHEN x1 BETWEEN -60 AND 40 THEN 0 ELSE 2 END ELSE least((-60 - x1) / (x2 - x1), (40 - x1) / (x2 - x1)) END AS ax, CASE WHEN x2 = x1 THEN 1 ELSE greatest((-60 - x1) / (x2 - x1), (40 - x1) / (x2 - x1)) END AS bx,
   CASE WHEN y2 = y1 THEN CASE WHEN y1 BETWEEN -50 AND 70 THEN 0 ELSE 2 END ELSE least((-50 - y1) / (y2 - y1), (70 - y1) / (y2 - y1)) END AS ay, CASE WHEN y2 = y1 THEN 1 ELSE greatest((-50 - y1) / (y2 - y1), (70 - y1) / (y2 - y1)) END AS b_y FROM road)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from corvane.functions import crs, projections
 from corvane.functions import geometry as g
 from corvane.functions.text import folded_equal, number, repair
+from corvane.operators import outline
 from corvane.operators.proximity import crossing, intersects_box, within
 from corvane.sources import geojson, shapefile
 from corvane.storage import materialise
@@ -156,6 +157,25 @@ def crop_streets(streets: DataFrame, scope: dict) -> DataFrame:
     return streets.filter(same[0] | same[1] | same[2])
 
 
+def scope_outline(streets: DataFrame | None, scope: dict, degrees: float = 1.0) -> DataFrame | None:
+    """The scope's border as edges (x1, y1, x2, y2) in metres with their ends in degrees (lon1, lat1, lon2, lat2): the box, or all within ``buffer_m`` of its streets; none if all is in scope or it has no streets.
+
+    Inside is what the even-odd rule says. Edges are rows; ``outline.rings`` ties them where rings are wanted.
+    """
+    if scope["mode"] == "all":
+        return None
+    if scope["mode"] == "bbox":
+        w, s, e, n = map(float, scope["bbox"])
+        ends = streets.sparkSession.createDataFrame([(w, s, e, s), (e, s, e, n), (e, n, w, n), (w, n, w, s)], "lon1 double, lat1 double, lon2 double, lat2 double")
+        both = ends.withColumn("a", crs.projected(F.col("lon1"), F.col("lat1"))).withColumn("b", crs.projected(F.col("lon2"), F.col("lat2")))
+        return both.select(F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"), "lon1", "lat1", "lon2", "lat2")
+    if streets is None or streets.isEmpty():
+        return None
+    border = outline.edges(outline.pieces(streets.select(F.inline("shape")), scope["buffer_m"]), scope["buffer_m"], degrees)
+    both = border.withColumn("a", crs.unprojected(F.col("x1"), F.col("y1"))).withColumn("b", crs.unprojected(F.col("x2"), F.col("y2")))
+    return both.select("x1", "y1", "x2", "y2", F.col("a.lon").alias("lon1"), F.col("a.lat").alias("lat1"), F.col("b.lon").alias("lon2"), F.col("b.lat").alias("lat2"))
+
+
 def crop_near(layer: DataFrame, streets: DataFrame, buffer_m: float) -> DataFrame:
     """Rows of a layer within ``buffer_m`` of any street of the scope, by a semi-join of their segments on the grid.
 
