@@ -78,7 +78,9 @@ def compute(corners: DataFrame, layers: dict[str, DataFrame], cfg) -> tuple[Data
         out = out.join(found.select("key", *(F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in facts)), "key", "left")
     else:
         out = out.withColumns({c: null for c in facts})
-    flow = [layers[name].select("shape", F.lit(float(w)).alias("weight")) for name, w in cfg.flow_weights.items() if name in layers]
+    # The parts of a layer's feature are one stop.
+    own = lambda df, name: [F.concat(F.lit(f"{name} "), F.col("ord").cast("string")).alias("ord")] if "ord" in df.columns else [F.concat(F.lit(f"{name} row "), F.monotonically_increasing_id().cast("string")).alias("ord")]
+    flow = [layers[name].select("shape", F.lit(float(w)).alias("weight"), *own(layers[name], name)) for name, w in cfg.flow_weights.items() if name in layers]
     if flow:
         stops = flow[0]
         for more in flow[1:]:

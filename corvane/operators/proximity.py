@@ -30,12 +30,14 @@ def within(sites: DataFrame, targets: DataFrame, radius: float, once: bool = Tru
 
     A site lies in one cell, so a pair comes once for each of the target's segments in reach; of these one stays, or all where not
     ``once``, which spares a shuffle if targets are points or it does not matter. Rows with ``area`` also have the sites inside them.
+    Rows with the same ``ord``, if there is such a column, are parts of one target.
     """
     size, more = _size(radius), [c for c in targets.columns if c not in ("shape", "area")]
     if "area" in targets.columns:
         inside = within_areas(sites, targets.filter("area"), radius).select("key", *more)
-        return within(sites, targets.filter(~F.coalesce("area", F.lit(False))).drop("area"), radius, once).unionAll(inside)
-    numbered = targets.withColumn("_id", F.monotonically_increasing_id())
+        found = within(sites, targets.filter(~F.coalesce("area", F.lit(False))).drop("area"), radius, once).unionAll(inside)
+        return found.dropDuplicates(["key", "ord"]) if once and "ord" in more else found
+    numbered = targets.withColumn("_id", F.col("ord") if "ord" in more else F.monotonically_increasing_id())
     segments = numbered.select("_id", *more, F.inline("shape"))
     s = _placed(sites, size)
     dx, dy, ex, ey = (F.col(a) - F.col(b) for a, b in (("x2", "x1"), ("y2", "y1"), ("x", "x1"), ("y", "y1")))
@@ -84,7 +86,7 @@ def measure(sites: DataFrame, targets: DataFrame, radius: float, once: bool = Tr
 
 
 def _shapes(targets: DataFrame) -> DataFrame:
-    return targets.select("shape", *(c for c in ("area",) if c in targets.columns))
+    return targets.select("shape", *(c for c in ("area", "ord") if c in targets.columns))
 
 
 def nearby_bool(sites: DataFrame, targets: DataFrame, radius: float, name: str = "near") -> DataFrame:

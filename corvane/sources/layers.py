@@ -111,9 +111,14 @@ def read_shapefile(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv_points(spark: SparkSession, path: str, lon: str = "long", lat: str = "lat", sep: str = ",") -> DataFrame:
-    """All columns as text, with ``shape`` in metres; rows without numbers for a place go."""
-    utf8 = spark.read.format("binaryFile").load(path).select(F.bool_and(F.is_valid_utf8(F.col("content").cast("string")))).first()[0]
-    raw = spark.read.csv(path, header=True, sep=sep, encoding="UTF-8" if utf8 else "ISO-8859-1")
+    """All columns as text, with ``shape`` in metres; rows without numbers for a place go.
+
+    One pass over the file's ranges tells its encoding, as a character is never cut by the end of a line, and whether line breaks
+    stand in quotes. Only then a file is read by one task, as such a break looks like the end of a row.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    utf8, within = spark.read.text(path).select(F.bool_and(F.is_valid_utf8("value")), F.bool_or(quotes % 2 == 1)).first()
+    raw = spark.read.csv(path, header=True, sep=sep, encoding="UTF-8" if utf8 in (True, None) else "ISO-8859-1", multiLine=bool(within), quote='"', escape='"')
     x, y = number(F.col(f"`{lon}`")), number(F.col(f"`{lat}`"))
     mx, my = crs.project(x, y)
     return raw.filter(x.isNotNull() & y.isNotNull()).withColumns({"geom_type": F.lit("Point"), "lonlat": F.array(F.struct(x.alias("lon"), y.alias("lat"))), "shape": g.point(mx, my), "area": F.lit(False)})

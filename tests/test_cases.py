@@ -195,3 +195,25 @@ def test_components(spark):
 
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {i: 0 for i in range(300)} | {1000 + i: 1000 for i in range(50)} | {2000 + i: 2000 for i in range(7)}
+
+
+# Features of several parts -----------------------------------------------------
+
+def test_parts_of_a_feature_count_once(spark):
+    """A multipolygon's two parts, and three points of one feature, near a site: one feature each."""
+    from corvane.operators import proximity
+
+    site = spark.createDataFrame([(1, 0.0, 0.0)], "key int, x double, y double")
+    box = lambda x: [(x, -5.0, x + 4, -5.0), (x + 4, -5.0, x + 4, 5.0), (x + 4, 5.0, x, 5.0), (x, 5.0, x, -5.0)]
+    spot = lambda x: [(x, 0.0, x, 0.0)]
+    rows = [(0, box(-2.0), True), (0, box(6.0), True), (1, spot(3.0), False), (1, spot(4.0), False), (1, spot(5.0), False), (2, spot(90.0), False)]
+    parts = spark.createDataFrame(rows, "ord long, shape array<struct<x1:double,y1:double,x2:double,y2:double>>, area boolean")
+    assert proximity.nearby_count(site, parts, 20.0).first().n == 2
+    assert proximity.nearby_count(site, parts.drop("ord"), 20.0).first().n == 5
+    assert proximity.nearby_sum(site, parts, 20.0, F.lit(3.0)).first().total == 6.0
+
+
+def test_formal_crossings_only_needs_a_source(spark):
+    streets = spark.createDataFrame([], "seg_id long, geom_type string, lonlat array<struct<lon:double,lat:double>>, points array<struct<x:double,y:double>>, nomoficial string, tipo_c string, sentido string, bicisenda string, red_jerarq string, comuna double, com_par double, com_impar double, barrio string, barrio_par string, barrio_imp string")
+    with pytest.raises(ValueError, match="formal_crossings_only"):
+        network.build_corners(streets, definition="formal_crossings_only")

@@ -123,3 +123,34 @@ def test_collection_is_written_by_tasks_and_read_again(spark, tmp_path):
         assert json.loads(open(path, encoding="utf-8").read()) == {"type": "FeatureCollection", "features": [{"n": i} for i in range(1000)]}
     geojson.write(df.limit(0), path)
     assert json.loads(open(path, encoding="utf-8").read())["features"] == []
+
+
+# CSV ---------------------------------------------------------------------------
+
+def csv_rows(n, breaks):
+    pick = random.Random(7)
+    for i in range(n):
+        note = pick.choice(["plain", 'say ""no""', "a;b", "Ñandú", ""]) + ("\nnext line" if breaks and i % 50 == 3 else "")
+        yield f'{i},"{note}",{"SD" if i % 17 == 0 else -58 - i / 1e5},{-34.5}'
+
+
+@pytest.mark.parametrize("encoding, breaks", [("utf-8", False), ("latin-1", False), ("latin-1", True), ("utf-8", True)])
+def test_csv_over_many_ranges(spark, tmp_path, encoding, breaks):
+    """The same rows as a plain reader of the whole file; the only bytes that are no UTF-8 stand in the last range."""
+    import pandas as pd
+
+    n = 5000
+    text = "id,note,long,lat\n" + "\n".join(r if encoding == "utf-8" else r.replace("Ñandú", "plain") for r in csv_rows(n, breaks)) + f'\n{n},"último",-58.5,-34.5\n'
+    (tmp_path / "a.csv").write_bytes(text.encode(encoding))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10000")
+    try:
+        df = layers.read_csv_points(spark, str(tmp_path / "a.csv"))
+        tasks, got = df.rdd.getNumPartitions(), {(int(r.id), r.note or "") for r in df.select("id", "note").collect()}
+    finally:
+        spark.conf.set(key, before)
+    want = pd.read_csv(tmp_path / "a.csv", encoding=encoding, dtype=str, keep_default_na=False)
+    want = want[pd.to_numeric(want["long"], errors="coerce").notna()]
+    assert got == set(zip(want["id"].astype(int), want["note"])) and (n, "último") in got
+    assert tasks == 1 if breaks else tasks > 8
