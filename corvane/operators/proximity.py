@@ -103,15 +103,21 @@ def nearby_sum(sites: DataFrame, targets: DataFrame, radius: float, weight: Colu
     return measure(sites, targets, radius, once, **{name: F.sum(F.coalesce(weight, F.lit(0.0)))}).select("key", F.coalesce(name, F.lit(0.0)).alias(name))
 
 
-def close_pairs(points: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (u, v), u < v, of points (key, x, y) at most ``threshold`` apart: each point looks into its cell and the eight around it."""
+def close_pairs(points: DataFrame, threshold: float, together: bool = False) -> DataFrame:
+    """Pairs (u, v), u < v, of points (key, x, y) at most ``threshold`` apart: each point looks into its cell and the eight around it.
+
+    ``together`` deals pairs of one neighbourhood, tiles of 64 cells each way, to one task.
+    """
     size = float(threshold) if threshold > 0 else 1.0
     cell = lambda c, d: F.floor(F.col(c) / size) + d
     a = points.select(F.col("key").alias("v"), F.col("x").alias("ax"), F.col("y").alias("ay"), cell("x", 0).alias("_cx"), cell("y", 0).alias("_cy"))
     b = points.select(F.col("key").alias("u"), F.col("x").alias("bx"), F.col("y").alias("by"), F.explode(F.sequence(cell("x", -1), cell("x", 1))).alias("_cx"), cell("y", 0).alias("_y"))
     b = b.withColumn("_cy", F.explode(F.sequence(F.col("_y") - 1, F.col("_y") + 1)))
     dx, dy = F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")
-    return a.join(b, ["_cx", "_cy"]).filter((F.col("u") < F.col("v")) & (dx * dx + dy * dy <= threshold * threshold)).select("u", "v")
+    pairs = a.join(b, ["_cx", "_cy"]).filter((F.col("u") < F.col("v")) & (dx * dx + dy * dy <= threshold * threshold))
+    if not together:
+        return pairs.select("u", "v")
+    return pairs.select("u", "v", F.shiftright("_cx", 6).alias("_tx"), F.shiftright("_cy", 6).alias("_ty")).repartition("_tx", "_ty").select("u", "v")
 
 
 def crossing(segments: DataFrame, others: DataFrame, size: float) -> DataFrame:

@@ -217,3 +217,32 @@ def test_formal_crossings_only_needs_a_source(spark):
     streets = spark.createDataFrame([], "seg_id long, geom_type string, lonlat array<struct<lon:double,lat:double>>, points array<struct<x:double,y:double>>, nomoficial string, tipo_c string, sentido string, bicisenda string, red_jerarq string, comuna double, com_par double, com_impar double, barrio string, barrio_par string, barrio_imp string")
     with pytest.raises(ValueError, match="formal_crossings_only"):
         network.build_corners(streets, definition="formal_crossings_only")
+
+
+def test_partitions_contract_their_edges(spark, monkeypatch):
+    """A city's close nodes: the same roots as a plain union-find, and at most a fifth of the pairs is left for the rounds."""
+    import random
+
+    from corvane.operators import components as comp
+    from corvane.operators.proximity import close_pairs
+
+    draw = random.Random(6)
+    places = [(i, draw.uniform(0, 6000), draw.uniform(0, 6000)) for i in range(12_000)]
+    pairs = close_pairs(spark.createDataFrame(places, "key long, x double, y double").repartition(8), 60.0, together=True)
+    edges = [(r.u, r.v) for r in pairs.collect()]
+    root = list(range(len(places)))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for u, v in edges:
+        a, b = find(u), find(v)
+        root[max(a, b)] = min(a, b)
+    want = {x: find(x) for e in edges for x in e}
+    assert {r.node: r.root for r in comp.components(pairs).collect()} == want
+    _, links = comp.contracted(pairs)
+    assert len(edges) > 10_000 and links.count() * 5 <= len(edges)
+    monkeypatch.setattr(comp, "HELD", 100)  # several sets of stars from one task
+    assert {r.node: r.root for r in comp.components(pairs).collect()} == want
