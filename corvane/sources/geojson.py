@@ -195,10 +195,13 @@ def read(spark: SparkSession, path: str) -> Read:
     raw = lines(spark, path)
     places = _fold(raw.mapInArrow(_survey, "file string, block long, found string").collect())
     around = raw.mapInArrow(lambda b: _entries(b, places, True), ENTRIES)
-    if (size := around.agg(F.sum(F.length("text"))).first()[0] or 0) > OUTSIDE_BYTES:
+    # One range's text is no larger than the range; that of many is measured before it comes to the driver.
+    size = around.agg(F.sum(F.length("text"))).first()[0] or 0 if len(places) > len({f for f, _ in places}) else 0
+    found = around.select("file", "block", "ord", "text").collect() if size <= OUTSIDE_BYTES else []
+    if (size := max(size, sum(len(r["text"]) for r in found))) > OUTSIDE_BYTES:
         raise ValueError(f"{path} has {size} bytes outside of features")
     texts: dict[str, list[bytes]] = {}
-    for r in around.orderBy("file", "block", "ord").collect():
+    for r in sorted(found, key=lambda r: (r["file"], r["block"], r["ord"])):
         texts.setdefault(r["file"], []).append(bytes(r["text"]))
     systems, chosen = {}, {}
     for file, pieces in texts.items():
