@@ -1,7 +1,8 @@
 """Radius joins as equi-joins on grid cells.
 
 A target is exploded into its segments, and a segment into the cells along it, not into those of its whole box, so
-rows grow with its length. Distances are of plain columns, one segment a row.
+rows grow with its length. Distances are of plain columns, one segment a row. Cells in which very many sites meet very
+many targets are divided into quarters, and these again, until no cell has more than a small part of all the work.
 """
 
 from __future__ import annotations
@@ -11,6 +12,12 @@ from pyspark.sql import functions as F
 
 from corvane.functions import geometry as g
 
+#: A cell is divided where its sites times its targets are more than this, and more than one part in ``MOST_CELLS`` of all cells'.
+LEAST_PAIRS, MOST_CELLS = 1 << 20, 4096
+#: How often a cell is halved each way. At an eighth of the radius nearly all that is compared is in reach, so smaller cells only
+#: send targets to more of them; what is crowded even then, such as equal places, is dealt over shares.
+DEPTH = 3
+
 
 def along_cells(segments: DataFrame, radius: float, size: float) -> DataFrame:
     """Rows with x1, y1, x2, y2, once for each cell (_cx, _cy) of so many metres that comes within ``radius`` of the segment's part above or beside it."""
@@ -44,13 +51,56 @@ def within(sites: DataFrame, targets: DataFrame, radius: float, once: bool = Tru
     long = dx * dx + dy * dy
     t = F.when(long > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (ex * dx + ey * dy) / long))).otherwise(0.0)
     gx, gy = ex - t * dx, ey - t * dy
-    met = s.join(along_cells(segments, float(radius), size), ["_cx", "_cy"]).filter(gx * gx + gy * gy <= radius * radius)
+    s, t_rows, cell = divided(s, along_cells(segments, float(radius), size), float(radius), size)
+    met = s.join(t_rows, cell).filter(gx * gx + gy * gy <= radius * radius)
     if not once:
         return met.select("key", *more)
     found = F.struct(*more) if more else F.lit(True)
     return met.groupBy("key", "_id").agg(F.first(found).alias("_t")).select("key", *(F.col(f"_t.{c}").alias(c) for c in more))
 
 
+def divided(sites: DataFrame, segments: DataFrame, radius: float, size: float) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Sites (key, x, y) and segments (_id, x1, y1, x2, y2), both with cells, on a quadtree fitted to them, and the columns to join by.
+
+    One small job counts what each cell would compare; tables without a crowded cell stay as they are. A crowded cell's sites go to
+    the quarter that they lie in, its segments to all quarters in reach, so a pair still meets once. Quarters compare no more than
+    their cell did, so a level has fewer crowded cells than ``MOST_CELLS``, and only these come to the driver and are broadcast.
+    """
+    cell = ["_level", "_cx", "_cy"]
+    s, t = sites.withColumn("_level", F.lit(0)), segments.withColumn("_level", F.lit(0))
+    limit = None
+    for level in range(DEPTH + 1):
+        count = lambda rows, name: rows.filter(F.col("_level") == level).groupBy(*cell).agg(F.count("*").cast("double").alias(name))  # noqa: B023, E731
+        work = count(s, "_n").join(count(t, "_m"), cell).withColumn("_work", F.col("_n") * F.col("_m"))
+        if limit is None:
+            most, total = work.agg(F.max("_work"), F.sum("_work")).first()
+            if (most or 0) <= LEAST_PAIRS:
+                return sites, segments, ["_cx", "_cy"]
+            limit = max(LEAST_PAIRS, total / MOST_CELLS)
+        crowded = work.filter(F.col("_work") > limit).select(*cell, F.ceil(F.col("_work") / limit).cast("int").alias("_shares"), (F.col("_n") >= F.col("_m")).alias("_deal_sites")).collect()
+        if not crowded:
+            break
+        table = F.broadcast(sites.sparkSession.createDataFrame(crowded, "_level int, _cx long, _cy long, _shares int, _deal_sites boolean"))
+        s, t = s.join(table, cell, "left"), t.join(table, cell, "left")
+        if level == DEPTH:
+            every, none = F.sequence(F.lit(0), F.col("_shares") - 1), F.array(F.lit(0))
+            one = lambda *by: F.array(F.pmod(F.xxhash64(*by), F.col("_shares")).cast("int"))
+            deal = lambda dealt, *by: F.explode(F.when(F.col("_shares").isNull(), none).when(dealt, one(*by)).otherwise(every))
+            s = s.withColumn("_share", deal(F.col("_deal_sites"), "key", "x", "y"))
+            t = t.withColumn("_share", deal(~F.col("_deal_sites"), "_id", "x1", "y1", "x2", "y2"))
+            return s.drop("_shares", "_deal_sites"), t.drop("_shares", "_deal_sites"), [*cell, "_share"]
+        side, hot = size / 2 ** (level + 1), F.col("_shares").isNotNull()
+        down = lambda c, at: F.when(hot, at).otherwise(F.col(c))  # noqa: B023, E731
+        s = s.withColumns({"_level": down("_level", F.lit(level + 1)), "_cx": down("_cx", F.floor(F.col("x") / side)), "_cy": down("_cy", F.floor(F.col("y") / side))}).drop("_shares", "_deal_sites")
+        place = lambda lev, x, y: F.struct(lev.alias("_level"), x.alias("_cx"), y.alias("_cy"))
+        quarters = F.array(*(place(F.lit(level + 1), F.col("_cx") * 2 + i, F.col("_cy") * 2 + j) for i in (0, 1) for j in (0, 1)))
+        whole, far = F.struct("x1", "y1", "x2", "y2"), radius + side * 0.7071068 + 1e-6 * size
+        in_reach = lambda q: g.segment_distance2((q["_cx"] + 0.5) * side, (q["_cy"] + 0.5) * side, whole) <= far * far  # noqa: B023, E731
+        at = F.when(hot, F.filter(quarters, in_reach)).otherwise(F.array(place(*(F.col(c) for c in cell))))
+        t = t.withColumn("_at", F.explode(at)).drop(*cell, "_shares", "_deal_sites").select("*", "_at.*").drop("_at")
+    return s, t, cell
+
+
 def _size(radius: float) -> float:
     return float(radius) if radius > 0 else 1.0
 

@@ -1,6 +1,7 @@
 """Unit cases of single operators on values made by hand."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from corvane.functions import crs
 from corvane.functions import geometry as g
 from corvane.functions.text import number, repair
-from corvane.operators import network, report, rules, scoring, transects
+from corvane.operators import network, proximity, report, rules, scoring, transects
 from corvane.plans import config as cfg
 from tests import town
 
@@ -246,3 +247,59 @@ def test_partitions_contract_their_edges(spark, monkeypatch):
     assert len(edges) > 10_000 and links.count() * 5 <= len(edges)
     monkeypatch.setattr(comp, "HELD", 100)  # several sets of stars from one task
     assert {r.node: r.root for r in comp.components(pairs).collect()} == want
+
+
+def made_crowd(spark):
+    """600 sites and 600 targets, nine tenths of both in one place of 20 m within one cell of 30 m, some of them equal, and targets that are long lines."""
+    draw = random.Random(4)
+    spot = lambda i: (5012.0 + draw.random() * 20, 5012.0 + draw.random() * 20) if i % 10 else (draw.random() * 10000, draw.random() * 10000)
+    places, ends = [(i, *((5015.0, 5015.0) if i % 5 == 1 else spot(i))) for i in range(600)], [spot(i) for i in range(600)]
+    lines = [(*p, *((p[0] + draw.random() * 300, p[1] - draw.random() * 200) if i % 7 == 0 else p)) for i, p in enumerate(ends)]
+    sites = spark.createDataFrame(places, "key long, x double, y double").repartition(8)
+    targets = spark.createDataFrame([([q], i) for i, q in enumerate(lines)], "shape array<struct<x1:double,y1:double,x2:double,y2:double>>, n int").repartition(8)
+    return places, lines, sites, targets
+
+
+def near(p, q, radius):
+    (x, y), (x1, y1, x2, y2) = p, q
+    dx, dy = x2 - x1, y2 - y1
+    t = min(1.0, max(0.0, ((x - x1) * dx + (y - y1) * dy) / (dx * dx + dy * dy))) if dx or dy else 0.0
+    return (x - x1 - t * dx) ** 2 + (y - y1 - t * dy) ** 2 <= radius * radius
+
+
+@pytest.mark.parametrize("radius", [2.0, 30.0])
+def test_crowded_cells_are_divided(spark, monkeypatch, radius):
+    """The pairs are those of every site with every target, each once, whether cells are divided, dealt over shares or left whole."""
+    places, lines, sites, targets = made_crowd(spark)
+    want = sorted((k, i) for k, x, y in places for i, q in enumerate(lines) if near((x, y), q, radius))
+    for least, depth in ((proximity.LEAST_PAIRS, 3), (2000, 3), (2000, 0)):
+        monkeypatch.setattr(proximity, "LEAST_PAIRS", least)
+        monkeypatch.setattr(proximity, "DEPTH", depth)
+        got = proximity.within(sites, targets, radius, once=False).select("key", "n").toPandas()
+        assert sorted(zip(got.key.tolist(), got.n.tolist())) == want
+        assert proximity.within(sites, targets, radius).count() == len(want)
+
+
+def test_crowded_cells_leave_no_task_behind(spark, monkeypatch):
+    """Nine tenths of all rows in one cell: whole cells give it nearly all of what is compared, divided ones at most twice the limit, and tasks about the same."""
+    _, _, sites, targets = made_crowd(spark)
+    segments = targets.select(F.monotonically_increasing_id().alias("_id"), F.inline("shape"))
+    s = sites.withColumns({"_cx": F.floor(F.col("x") / 30), "_cy": F.floor(F.col("y") / 30)})
+
+    def work():
+        a, b, cell = proximity.divided(s, proximity.along_cells(segments, 30.0, 30.0), 30.0, 30.0)
+        cells = a.groupBy(*cell).count().join(b.groupBy(*cell).agg(F.count("*").alias("m")), cell).select(*cell, (F.col("count") * F.col("m")).alias("work")).collect()
+        tasks = a.repartition(8, *cell).groupBy(*cell, F.spark_partition_id().alias("task")).count().join(b.groupBy(*cell).agg(F.count("*").alias("m")), cell).groupBy("task").agg(F.sum(F.col("count") * F.col("m")).alias("work"))
+        busy = [r.work for r in tasks.collect()]
+        return max(r.work for r in cells), sum(r.work for r in cells), sorted([0] * (8 - len(busy)) + busy)
+
+    most, total, tasks = work()
+    assert most > total / 3 and tasks[-1] > 3 * tasks[len(tasks) // 2]
+    monkeypatch.setattr(proximity, "LEAST_PAIRS", 4000)
+    most, divided, tasks = work()
+    assert most <= 8000 and divided <= total and tasks[-1] <= 3 * tasks[len(tasks) // 2]
+
+
+def test_empty_tables_have_no_pairs(spark):
+    _, _, sites, targets = made_crowd(spark)
+    assert proximity.within(sites.limit(0), targets, 30.0).count() == proximity.within(sites, targets.limit(0), 30.0).count() == 0
