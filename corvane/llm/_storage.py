@@ -22,15 +22,28 @@ def shared_folder(spark: SparkSession) -> None:
 BATCH_ROWS = 2000
 
 
-def materialise(df: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """The same rows, computed once; they survive the loss of executors. Large rows ask for fewer of them in a batch."""
+#: Spark's own switch: what an execution shuffled is removed when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialise(df: DataFrame, batch_rows: int = BATCH_ROWS, drop_shuffles: bool = False) -> DataFrame:
+    """The same rows, computed once; they survive the loss of executors. Large rows ask for fewer of them in a batch.
+
+    ``drop_shuffles`` removes the shuffle files behind them once they are written, when nothing reads those again.
+    """
     shared_folder(df.sparkSession)
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = conf.get(key)
-    if 0 < int(before) <= batch_rows:
-        return df.checkpoint()
-    conf.set(key, str(batch_rows))
+    conf = df.sparkSession.conf
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(batch_rows)}
+    if 0 < int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= batch_rows:
+        wanted = {}
+    if drop_shuffles:
+        wanted[CLEANUP] = "true"
+    before = {key: conf.get(key) for key in wanted}
     try:
-        return df.checkpoint()
+        for key, value in wanted.items():
+            conf.set(key, value)
+        # The switch is read when a plan is made, so the plan is made anew.
+        return (df.select("*") if drop_shuffles else df).checkpoint()
     finally:
-        conf.set(key, before)
+        for key, value in before.items():
+            conf.set(key, value)

@@ -246,11 +246,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modul
         columns = [pa.concat_arrays(t.ids), pa.concat_arrays(t.out), pa.array(t.length), pa.array(add(machine.known1[t.word].astype(np.int64))), pa.array(np.full(len(t.length), n)), pa.array(add(machine.reads1[t.word])), pa.array(machine.read(t, triple))]
         return pa.Table.from_arrays(columns, ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    # Written, as both what they sum up and what they tell is read.
-    pairs = materialise(by_block.applyInArrow(ask_pairs, _blocks.SENT).groupBy("bucket").applyInArrow(lambda part: _answer(part, False, least), ANSWER))
+    # Written, as both what they sum up and what they tell is read; what was shuffled for them goes, or three steps' files would lie side by side.
+    pairs = materialise(by_block.applyInArrow(ask_pairs, _blocks.SENT).groupBy("bucket").applyInArrow(lambda part: _answer(part, False, least), ANSWER), drop_shuffles=True)
     to_blocks = pairs.filter("block >= 0").select("block", "bucket", "totals")
     triples = by_block.cogroup(to_blocks.groupBy("block")).applyInArrow(ask_triples, _blocks.SENT).groupBy("bucket").applyInArrow(lambda part: _answer(part, True, least), ANSWER)
-    triples = materialise(triples)
+    triples = materialise(triples, drop_shuffles=True)
     twos, threes = _summed(pairs), _summed(triples)
     n, v = sum(x for _, x in twos[WORDS]), sum(x for x, _ in twos[WORDS])
     a, b = smoothing or (estimate(twos[WORDS], sum(x for x, _ in twos[ONCE])), estimate(twos[STATES], sum(x for x, _ in threes[ONCE])))
