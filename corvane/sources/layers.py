@@ -12,7 +12,7 @@ from corvane.functions import crs, projections
 from corvane.functions import geometry as g
 from corvane.functions.text import folded_equal, number, repair
 from corvane.operators import outline
-from corvane.operators.proximity import crossing, intersects_box, within
+from corvane.operators.proximity import crossing, intersects_box, near_any, within
 from corvane.sources import geojson, shapefile
 from corvane.storage import materialise
 
@@ -182,10 +182,19 @@ def scope_outline(streets: DataFrame | None, scope: dict, degrees: float = 1.0)
 
 
 def crop_near(layer: DataFrame, streets: DataFrame, buffer_m: float) -> DataFrame:
-    """Rows of a layer within ``buffer_m`` of any street of the scope, by a semi-join of their segments on the grid.
+    """Rows of a layer within ``buffer_m`` of any street of the scope.
 
     Two segments that meet have no distance; that of others is the distance of an end of one to the other.
     """
+    if "area" not in layer.columns:
+        return near_any(layer, streets, buffer_m)
+    areas = layer.filter("area")
+    rest = near_any(layer.filter(~F.coalesce("area", F.lit(False))), streets, buffer_m)
+    return rest if areas.isEmpty() else rest.unionAll(_areas_near(areas, streets, buffer_m))
+
+
+def _areas_near(layer: DataFrame, streets: DataFrame, buffer_m: float) -> DataFrame:
+    """Areas that a street is in or near, by a semi-join of their segments on the grid."""
     rows = layer.withColumn("_row", F.xxhash64(F.to_json(F.struct(*[c for c in layer.columns if c != "shape"])), F.to_json("shape")))
     corners = lambda s: F.array(F.struct(s["x1"].alias("x"), s["y1"].alias("y")), F.struct(s["x2"].alias("x"), s["y2"].alias("y")))
     ends = rows.select(F.col("_row").alias("key"), F.explode(F.array_distinct(F.flatten(F.transform("shape", corners)))).alias("p")).select("key", "p.x", "p.y")

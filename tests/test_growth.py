@@ -1,5 +1,6 @@
 """What is shuffled grows with the rows, not with their pairs, where many rows share a place."""
 
+import contextlib
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from corvane.functions import geometry as g
 from corvane.operators import proximity, transects
 from corvane.plans import catalog
+from corvane.sources import layers
 from tests._sql import SMALL
 
 
@@ -25,6 +27,13 @@ def written(spark, run) -> int:
     return total() - before
 
 
+@contextlib.contextmanager
+def no_broadcasts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_roads_need_one_join(spark):
     """The places of both ends come with the pair."""
     plan = catalog.roads(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
@@ -50,4 +59,45 @@ def test_widths_among_many_sidewalks(spark):
         walks = at.select(g.path(F.array(*(corner(i, j) for i, j in ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))))).alias("shape"))
         return written(spark, lambda: transects.roadway_widths(corners, walks).agg(F.sum("width")).collect())
 
-    assert run(1600) < 8 * run(400)
+    with no_broadcasts(spark):
+        assert run(1600) < 8 * run(400)
+
+
+@pytest.mark.parametrize("radius", [0.5, 12.0])
+def test_crop_near_among_many_streets(spark, radius):
+    """Rows of one and of several segments, points and an area, among crowded and single streets, against plain distances; and streets are not shuffled for each of their cells."""
+    pick = random.Random(11)
+    line = lambda x, y, r: (x, y, x + pick.uniform(-r, r), y + pick.uniform(-r, r))
+    streets = [line(pick.uniform(0, 20), pick.uniform(0, 20), 8) for _ in range(3000)] + [line(pick.uniform(-200, 200), pick.uniform(-200, 200), 40) for _ in range(12)]
+    rows = [(k, [line(pick.uniform(-200, 200), pick.uniform(-200, 200), 30)]) for k in range(150)]
+    rows += [(200 + k, [(x := pick.uniform(-40, 60), y := pick.uniform(-40, 60), x, y)]) for k in range(150)]
+    rows += [(400 + k, [line(pick.uniform(-200, 200), pick.uniform(-200, 200), 20) for _ in range(3)]) for k in range(60)]
+
+    def far(p, s):
+        (px, py), (a, b, c, d) = p, s
+        dx, dy = c - a, d - b
+        t = max(0.0, min(1.0, ((px - a) * dx + (py - b) * dy) / (dx * dx + dy * dy))) if dx or dy else 0.0
+        return (px - a - t * dx) ** 2 + (py - b - t * dy) ** 2
+
+    def meets(p, q):
+        turn = lambda x, y, s: (s[2] - s[0]) * (y - s[1]) - (s[3] - s[1]) * (x - s[0])
+        cross = p[:2] != p[2:] and turn(*p[:2], q) * turn(*p[2:], q) < 0 and turn(*q[:2], p) * turn(*q[2:], p) < 0
+        return cross or min(far(p[:2], q), far(p[2:], q), far(q[:2], p), far(q[2:], p)) <= radius**2
+
+    kind = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
+    layer = spark.createDataFrame([(k, s) for k, s in [*rows, rows[0]]], f"key long, shape {kind}").withColumn("area", F.lit(False))
+    about = spark.createDataFrame([([s],) for s in streets], f"shape {kind}")
+    with no_broadcasts(spark):
+        got = []
+        bytes_ = written(spark, lambda: got.extend(x.key for x in layers.crop_near(layer, about, radius).select("key").collect()))
+    want = [k for k, shape in [*rows, rows[0]] if any(meets(p, q) for p in shape for q in streets)]
+    assert sorted(got) == sorted(want)
+    assert radius < 1 or bytes_ < 1_000_000
+
+
+def test_crop_near_keeps_an_area_around_a_street(spark):
+    kind = "key long, area boolean, shape array<struct<x1:double,y1:double,x2:double,y2:double>>"
+    ring = [(0.0, 0.0, 100.0, 0.0), (100.0, 0.0, 100.0, 100.0), (100.0, 100.0, 0.0, 100.0), (0.0, 100.0, 0.0, 0.0)]
+    layer = spark.createDataFrame([(1, True, ring), (2, False, ring), (3, None, ring), (4, False, None)], kind)
+    about = spark.createDataFrame([([(50.0, 50.0, 52.0, 50.0)],)], kind.split(", ")[2])
+    assert [x.key for x in layers.crop_near(layer, about, 5.0).collect()] == [1]
