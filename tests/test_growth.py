@@ -101,3 +101,29 @@ def test_crop_near_keeps_an_area_around_a_street(spark):
     layer = spark.createDataFrame([(1, True, ring), (2, False, ring), (3, None, ring), (4, False, None)], kind)
     about = spark.createDataFrame([([(50.0, 50.0, 52.0, 50.0)],)], kind.split(", ")[2])
     assert [x.key for x in layers.crop_near(layer, about, 5.0).collect()] == [1]
+
+
+def test_counts_near_roads_shuffle_no_pairs(spark):
+    """Targets of one segment meet a site once; those of several still count once."""
+    pick = random.Random(5)
+    kind = "shape array<struct<x1:double,y1:double,x2:double,y2:double>>"
+    line = lambda: (pick.uniform(0, 60), pick.uniform(0, 60), pick.uniform(0, 60), pick.uniform(0, 60))
+    sites = spark.createDataFrame([(k, pick.uniform(0, 60), pick.uniform(0, 60)) for k in range(50)], "key long, x double, y double")
+    ones, bent = [([line()],) for _ in range(200)], [([line(), line()],) for _ in range(20)]
+    plan = proximity.within(sites, spark.createDataFrame(ones, kind), 9.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan
+    got = {x.key: x.n for x in proximity.nearby_count(sites, spark.createDataFrame(ones + bent, kind), 9.0).collect()}
+    each = [proximity.nearby_count(sites, spark.createDataFrame(part, kind), 9.0).collect() for part in (ones, bent)]
+    assert got == {k: sum(next(x.n for x in part if x.key == k) for part in each) for k in range(50)}
+    assert max(x.n for x in each[1]) <= 20
+
+
+def test_first_bearings_are_reduced_without_a_sort(spark):
+    rows = spark.createDataFrame([(k % 7, f"S{k % 3}", k * 37.3 % 360, (k * 61) % 1009) for k in range(1000)], "node long, nomoficial string, bearing_deg double, far long")
+    from corvane.operators import network
+
+    found = network.first_bearings(rows, "node", 30.0, F.col("far"))
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    plain = network.dedupe_branches(rows, "node", 30.0, F.col("far"), F.struct("nomoficial", "bearing_deg")).select("node", "branch.nomoficial", "branch.bearing_deg", "first")
+    assert sorted(found.select("node", "nomoficial", "bearing_deg", "first").collect()) == sorted(plain.collect())
+    assert "SortAggregate" not in catalog.branch_dedupe(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
