@@ -10,7 +10,7 @@ bucket by bucket:
    are alike, every node in them has one edge in and one out, so each run is a piece of a nonbranching path, and it is
    repeated if there are two or more. Buckets with one run hold nothing repeated. Neither needs its edges one by one.
 2. The other buckets' nodes become rows (node, edge in, edge out). Spark counts the edges, by two independent
-   hashes, and the degrees of the nodes; both are joined back to the blocks of texts that asked.
+   hashes, and the degrees of the nodes, over rows that keep the block of texts that is told.
 3. Each text's repeated edges compact to paths, cut at nodes that branch or end anywhere. Each path is kept as a span
    of source coordinates with a hash of all its words; ``paths`` holds the places of a path against each other.
 
@@ -28,7 +28,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.llm import _blocks, _text
@@ -195,16 +195,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocked, _, kinds = _blocks.deal(docs, id_col, text_col, carry, block_bytes)
     by_block = blocked.groupBy("block")
     runs = by_block.applyInArrow(lambda part: _emit_runs(part, k), RUNS)
-    buckets = runs.groupBy("anchor").agg(F.sum("n").alias("total"), (F.min("content") != F.max("content")).alias("differ"), F.max("loose").alias("loose")).filter("total > 1 or loose")
+    # A row carries its bucket's, edge's or node's facts on: one shuffle serves to add up and to answer.
+    bucket, edge, node = (Window.partitionBy(*by) for by in (["anchor"], ["edge", "second"], ["node"]))
+    counted = runs.select("block", "anchor", F.sum("n").over(bucket).alias("total"), (F.min("content").over(bucket) != F.max("content").over(bucket)).alias("differ"), F.max("loose").over(bucket).alias("loose"))
     state = F.when(F.col("differ") | F.col("loose"), MIXED).otherwise(SURE)
-    known = runs.select("block", "anchor").join(buckets.select("anchor", state.alias("kind")), "anchor").select("block", "kind", F.col("anchor").alias("value"))
+    known = counted.filter("total > 1 or loose").select("block", state.alias("kind"), F.col("anchor").alias("value"))
     nodes = by_block.cogroup(known.groupBy("block")).applyInArrow(lambda part, told: _emit_nodes(part, told, k), NODES)
-    twice = nodes.filter("edge <> 0").groupBy("edge", "second").agg(F.sum("n").alias("total")).filter("total > 1").select("edge", "second")
-    repeated = nodes.select("block", "edge", "second").join(twice, ["edge", "second"], "left_semi").select("block", F.lit(EDGE).alias("kind"), F.col("edge").alias("value"))
+    twice = nodes.filter("edge <> 0").select("block", "edge", F.sum("n").over(edge).alias("total")).filter("total > 1")
+    repeated = twice.select("block", F.lit(EDGE).alias("kind"), F.col("edge").alias("value"))
     # A node of one edge in and one out has the same two wherever it stands; 0 is the end of a text.
-    forks = nodes.groupBy("node").agg(F.sum("n").alias("total"), F.min("prev").alias("p0"), F.max("prev").alias("p1"), F.min("edge").alias("e0"), F.max("edge").alias("e1"))
-    forks = forks.filter("total > 1 and (p0 <> p1 or e0 <> e1)").select("node")
-    cuts = nodes.select("block", "node").distinct().join(forks, "node", "left_semi").select("block", F.lit(CUT).alias("kind"), F.col("node").alias("value"))
+    ways = {"total": F.sum("n")} | {f"{c}{i}": f(c) for c in ("prev", "edge") for i, f in enumerate((F.min, F.max))}
+    forks = nodes.select("block", "node", *(f.over(node).alias(c) for c, f in ways.items())).filter("total > 1 and (prev0 <> prev1 or edge0 <> edge1)")
+    cuts = forks.select("block", F.lit(CUT).alias("kind"), F.col("node").alias("value")).distinct()
     answers = known.unionAll(repeated).unionAll(cuts)
     schema = ", ".join(x for x in kinds.split(", ") if not x.startswith("text ")) + f", n_words long, n_removed long, kept_sha256 string, spans {SPANS}" + ", kept_text string" * with_text
 
