@@ -3,10 +3,11 @@
 The area is the union of a disc around each end of a segment and of a strip along each segment. Its border consists
 of pieces of the discs' circles and of the strips' long sides that lie inside no other disc or strip:
 
-1. Each circle and side is cut where it meets the circles and sides of segments near it, found on a grid.
-2. A piece stays if its middle is not nearer to any of those segments than the radius. All pieces have the area on their left.
-3. Ends that are the same but for rounding become one corner; each piece is tied to the one that begins where it ends.
-4. Pieces tied in a ring are found as components, and their order by doubling steps. Both are joins, so no ring is held in a task.
+1. Cells of a quadtree that one disc or strip holds are left out, by the segments' ends first. The border runs through the other cells.
+2. Each circle and side that comes into one of these is cut where it meets the others there.
+3. A piece stays if its middle lies in such a cell and is not nearer to any of those segments than the radius. All pieces have the area on their left.
+4. Ends that are the same but for rounding become one corner; each piece is tied to the one that begins where it ends.
+5. Pieces tied in a ring are found as components, and their order by doubling steps. Both are joins, so no ring is held in a task.
 
 Defined results: equal segments count once, whichever way they run; a segment of no length is a disc; no segments, no pieces; where
 rings touch in a corner they may be tied either way, which changes neither the area nor what is inside by the even-odd rule.
@@ -21,11 +22,13 @@ from pyspark.sql import functions as F
 
 from corvane.functions import geometry as g
 from corvane.operators.components import components, label
-from corvane.operators.proximity import along_cells, close_pairs
+from corvane.operators.proximity import along_cells, broadcast_few, close_pairs, dealt
 from corvane.storage import materialise
 
 #: Metres within which ends are the same corner, and by how much a piece's middle may lie inside by rounding.
 SAME, SLACK = 1e-4, 1e-6
+#: By how much cells are taken as wider than they are. A cell with more than ``CROWD`` rows is divided into quarters, ``DEPTH`` times at most; the largest are half the radius.
+EDGE, CROWD, DEPTH = 1e-3, 16, 6
 
 
 def _lines(segments: DataFrame) -> DataFrame:
@@ -35,23 +38,75 @@ def _lines(segments: DataFrame) -> DataFrame:
     return materialise(turned.dropna().distinct().withColumn("sid", F.monotonically_increasing_id()))
 
 
-def _primitives(lines: DataFrame) -> DataFrame:
-    """(pid, round, x1, y1, x2, y2): a circle around each distinct end, and both ways along each segment, whose right side is one of its strip."""
-    ends = lines.select(F.explode(F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))).alias("p")).select("p.x", "p.y").distinct()
-    circles = ends.select(F.lit(True).alias("round"), F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("x").alias("x2"), F.col("y").alias("y2"))
-    long = lines.filter("x1 <> x2 or y1 <> y2")
-    there = long.select(F.lit(False).alias("round"), "x1", "y1", "x2", "y2")
-    back = long.select(F.lit(False).alias("round"), F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))
-    return materialise(circles.unionAll(there).unionAll(back).withColumn("pid", F.monotonically_increasing_id()))
+def _facing(rows: DataFrame) -> DataFrame:
+    """Segments (a, b, c, d) with their unit vector (ux, uy), that of a point to the east, their length, and the width of a square of side 1 seen along them."""
+    c = F.col
+    sized = rows.withColumns({"dx": c("c") - c("a"), "dy": c("d") - c("b")}).withColumn("long", F.sqrt(c("dx") * c("dx") + c("dy") * c("dy")))
+    unit = {"ux": F.when(c("long") > 0, c("dx") / c("long")).otherwise(1.0), "uy": F.when(c("long") > 0, c("dy") / c("long")).otherwise(0.0)}
+    return sized.withColumns(unit).withColumn("wide", F.abs("ux") + F.abs("uy")).drop("dx", "dy")
+
 
+def _held(rows: DataFrame, size: float, r: float) -> DataFrame:
+    """``rows`` of a cell of a side and a segment, those alone where the strip, or the disc of a point, may come into the cell, with ``_whole``: whether the discs and the strip surely hold all of it.
 
-def _near(primitives: DataFrame, lines: DataFrame, radius: float) -> DataFrame:
-    """Primitives with each segment (a, b, c, d) that may come within twice the radius of theirs."""
-    size = 2.0 * radius
-    x = along_cells(primitives, 0.0, size).select("pid", "_cx", "_cy")
-    y = along_cells(lines, size, size).select("sid", "_cx", "_cy")
-    pairs = x.join(y, ["_cx", "_cy"]).select("pid", "sid").distinct()
-    return materialise(pairs.join(primitives, "pid").join(lines.select("sid", *(F.col(p).alias(q) for p, q in zip(("x1", "y1", "x2", "y2"), "abcd"))), "sid"))
+    The cell counts as the box around it that runs along the segment, which for points is the cell.
+    """
+    c = F.col
+    at = rows.withColumns({"_x": (c("_cx") + 0.5) * size - c("a"), "_y": (c("_cy") + 0.5) * size - c("b"), "_e": c("wide") * (size / 2 + EDGE)})
+    at = at.withColumns({"_at": c("_x") * c("ux") + c("_y") * c("uy"), "_left": F.abs(c("_y") * c("ux") - c("_x") * c("uy"))})
+    zero = F.lit(0.0)
+    off = {"_near": F.greatest(zero, -c("_at") - c("_e"), c("_at") - c("_e") - c("long")), "_far": F.greatest(zero, c("_e") - c("_at"), c("_at") + c("_e") - c("long")), "_beside": F.greatest(zero, c("_left") - c("_e"))}
+    at = at.withColumns(off).filter((c("_near") * c("_near") + c("_beside") * c("_beside") <= (r + EDGE) ** 2) & ((c("long") == 0) | (c("_near") == 0)))
+    across = c("_left") + c("_e")
+    return at.withColumn("_whole", c("_far") * c("_far") + across * across < (r - EDGE) ** 2).drop("_x", "_y", "_e", "_at", "_left", *off)
+
+
+def _open_cells(lines: DataFrame, r: float) -> tuple[DataFrame, DataFrame]:
+    """(_level, _cx, _cy, oid): what comes into each cell that no single segment's area holds, on a quadtree; and what these are, (oid, a, b, c, d): segments, and their ends as points.
+
+    The border runs through such cells only. What has its circle or side there, or its area, comes into the cell, so all that can
+    cut or cover the border in a cell is listed with it. Ends, which are few, rule out most cells before segments are asked.
+    """
+    cell, names = ["_level", "_cx", "_cy"], dict(zip(("x1", "y1", "x2", "y2"), "abcd"))
+    ends = lines.select(F.explode(F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))).alias("p")).select("p.x", "p.y").distinct()
+    points = materialise(ends.select((F.monotonically_increasing_id() * 2).alias("oid"), F.col("x").alias("a"), F.col("y").alias("b"), F.col("x").alias("c"), F.col("y").alias("d")))
+    long = lines.filter("x1 <> x2 or y1 <> y2").select((F.col("sid") * 2 + 1).alias("oid"), *(F.col(p).alias(q) for p, q in names.items()))
+    size = r / 2
+    celled = lambda rows: along_cells(_facing(dealt(rows, "oid")).withColumnsRenamed({q: p for p, q in names.items()}), r + EDGE, size).withColumnsRenamed(names)
+    few, many = _held(celled(points), size, r), celled(long)
+    shut = broadcast_few(materialise(few.filter("_whole").select("_cx", "_cy").distinct()))
+    apart = few.join(shut, ["_cx", "_cy"], "left_anti"), _held(many.join(shut, ["_cx", "_cy"], "left_anti"), size, r)
+    found = apart[0].unionByName(apart[1]).withColumn("_level", F.lit(0))
+    leaves = None
+    for level in range(DEPTH + 1):
+        by = Window.partitionBy(*cell)
+        judged = found.withColumns({"_shut": F.max("_whole").over(by), "_n": F.count("*").over(by)}).filter("not _shut")
+        judged = materialise(judged.drop("_shut", "_whole"))
+        full = F.lit(level < DEPTH) & (F.col("_n") > CROWD)
+        leaf = judged.filter(~full).drop("_n")
+        leaves = leaf if leaves is None else leaves.unionByName(leaf)
+        rest = judged.filter(full).drop("_n")
+        if level == DEPTH or rest.isEmpty():
+            break
+        quarters = F.array(*(F.struct((F.col("_cx") * 2 + i).alias("_cx"), (F.col("_cy") * 2 + j).alias("_cy")) for i in (0, 1) for j in (0, 1)))
+        divided = rest.withColumn("_q", F.explode(quarters)).drop("_cx", "_cy").select("*", "_q.*").drop("_q").withColumn("_level", F.lit(level + 1))
+        found = _held(divided, size / 2 ** (level + 1), r)
+    return materialise(leaves.select(*cell, "oid")), materialise(leaves.select("oid", *"abcd").distinct())
+
+
+def _primitives(obstacles: DataFrame) -> DataFrame:
+    """(pid, oid, round, x1, y1, x2, y2): a circle around each end, and both ways along each segment, whose right side is one of its strip."""
+    point = F.col("oid") % 2 == 0
+    way = F.explode(F.when(point, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))).alias("_w")
+    turned = lambda a, b: F.when(F.col("_w") == 0, F.col(a)).otherwise(F.col(b))
+    return materialise(obstacles.select("*", way).select((F.col("oid") * 2 + F.col("_w")).alias("pid"), "oid", point.alias("round"), turned("a", "c").alias("x1"), turned("b", "d").alias("y1"), turned("c", "a").alias("x2"), turned("d", "b").alias("y2")))
+
+
+def _near(primitives: DataFrame, obstacles: DataFrame, leaves: DataFrame) -> DataFrame:
+    """Primitives with each point or segment (a, b, c, d) that comes into an open cell with them."""
+    cell = ["_level", "_cx", "_cy"]
+    pairs = leaves.join(leaves.withColumnRenamed("oid", "sid"), cell).select("oid", "sid").distinct()
+    return materialise(pairs.join(primitives, "oid").drop("oid").join(obstacles.withColumnRenamed("oid", "sid"), "sid"))
 
 
 def _measures(near: DataFrame, r: float) -> DataFrame:
@@ -102,9 +157,9 @@ def pieces(segments: DataFrame, radius: float) -> DataFrame:
     r = float(radius)
     if r <= 0:
         raise ValueError("an outline needs a radius")
-    lines = _lines(segments)
-    primitives = _primitives(lines)
-    near = _near(primitives, lines, r)
+    leaves, obstacles = _open_cells(_lines(segments), r)
+    primitives = _primitives(obstacles)
+    near = _near(primitives, obstacles, leaves)
     of = ["pid", "round", "x1", "y1", "x2", "y2"]
     every = primitives.select(*of).withColumn("t", F.lit(None).cast("double"))
     cut = every.unionAll(_cuts(near, r)).groupBy(*of).agg(F.sort_array(F.collect_set("t")).alias("ts"))
@@ -126,7 +181,9 @@ def pieces(segments: DataFrame, radius: float) -> DataFrame:
     at = F.when(size > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (ex * dx + ey * dy) / size))).otherwise(0.0)
     deep = (ex - at * dx) ** 2 + (ey - at * dy) ** 2 < (r - SLACK) ** 2
     covered = spans.select("piece", "pid", "mx", "my").join(near.select("pid", *"abcd"), "pid").filter(deep).select("piece").distinct()
-    kept = spans.join(covered, "piece", "left_anti")
+    cells = F.array(*(F.struct(F.lit(i).alias("_level"), *(F.floor(F.col(m) / (r / 2 / 2**i)).alias(n) for m, n in (("mx", "_cx"), ("my", "_cy")))) for i in range(DEPTH + 1)))
+    open_ = spans.select("piece", F.explode(cells).alias("_c")).select("piece", "_c.*").join(leaves.select("_level", "_cx", "_cy").distinct(), ["_level", "_cx", "_cy"], "left_semi")
+    kept = spans.join(open_.select("piece"), "piece", "left_semi").join(covered, "piece", "left_anti")
     # Strips of segments that lie on each other have common pieces.
     place = [F.round(F.col(v) / (10 * SAME)).cast("long") for v in ("mx", "my")]
     first = kept.groupBy("round", *place).agg(F.min("piece").alias("piece")).select("piece")

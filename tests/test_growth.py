@@ -127,3 +127,18 @@ def test_first_bearings_are_reduced_without_a_sort(spark):
     plain = network.dedupe_branches(rows, "node", 30.0, F.col("far"), F.struct("nomoficial", "bearing_deg")).select("node", "branch.nomoficial", "branch.bearing_deg", "first")
     assert sorted(found.select("node", "nomoficial", "bearing_deg", "first").collect()) == sorted(plain.collect())
     assert "SortAggregate" not in catalog.branch_dedupe(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_outline_compares_along_the_border_only(spark):
+    """Four times as many streets in one place have about the same border; what is cut and compared for it grows no faster than they do."""
+    from corvane.operators import outline
+
+    def run(n: int) -> int:
+        pick = random.Random(n)
+        line = lambda x, y: (x, y, x + pick.uniform(-8, 8), y + pick.uniform(-8, 8))
+        lines = outline._lines(spark.createDataFrame([line(pick.uniform(0, 60), pick.uniform(0, 60)) for _ in range(n)], "x1 double, y1 double, x2 double, y2 double"))
+        leaves, obstacles = outline._open_cells(lines, 20.0)
+        return outline._near(outline._primitives(obstacles), obstacles, leaves).count()
+
+    few, many = run(300), run(1200)
+    assert 0 < many < 6 * few and many < 1200 * 20
