@@ -142,3 +142,20 @@ def test_outline_compares_along_the_border_only(spark):
 
     few, many = run(300), run(1200)
     assert 0 < many < 6 * few and many < 1200 * 20
+
+
+def test_corners_reduce_streets_where_they_lie(spark):
+    """Eight times each street adds nothing to what a corner has, and next to nothing to what is shuffled."""
+    from corvane.operators import network
+
+    base = catalog._streets(spark, SMALL)
+
+    def run(n: int) -> tuple[int, list]:
+        streets = base.crossJoin(spark.range(n).withColumnRenamed("id", "_again")).withColumn("seg_id", F.col("seg_id") + F.col("_again") * 10**12)
+        got = []
+        wrote = written(spark, lambda: got.extend(network.build_corners(streets).select("corner_ord", "n_branches", "acute_angle_raw", "comuna", "barrio").filter("n_branches > 3").collect()))
+        return wrote, sorted(map(str, got))
+
+    (one, few), (eight, many) = run(1), run(8)
+    assert few and few == many
+    assert eight < 3 * one
