@@ -160,3 +160,19 @@ def test_corners_reduce_streets_where_they_lie(spark):
         (one, few), (eight, many) = run(1), run(8)
     assert few and few == many
     assert eight < 3 * one
+
+
+def test_more_rows_in_a_place_make_no_smaller_cells(spark, monkeypatch):
+    """Five times as many sites and targets in the same places: a target still goes to about as many cells, so what is shuffled grows with the rows."""
+    monkeypatch.setattr(proximity, "LEAST_PAIRS", 2000)
+
+    def cells(n: int) -> float:
+        pick = random.Random(7)
+        place = lambda: [pick.gauss(0, 125), pick.gauss(0, 125)]
+        sites = spark.createDataFrame([(k, *place()) for k in range(n)], "key long, x double, y double")
+        targets = spark.createDataFrame([(k, *place()) for k in range(n)], "_id long, x1 double, y1 double").withColumns({"x2": F.col("x1"), "y2": F.col("y1")})
+        placed = sites.withColumns({"_cx": F.floor(F.col("x") / 100), "_cy": F.floor(F.col("y") / 100)})
+        return proximity.divided(placed, proximity.along_cells(targets, 100.0, 100.0), 100.0, 100.0)[1].count() / n
+
+    few, many = cells(400), cells(2000)
+    assert many < 1.5 * few
