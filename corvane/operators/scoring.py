@@ -20,7 +20,7 @@ def _free(df: DataFrame, name: str) -> str:
     return name
 
 
-def normalise_all(df: DataFrame, specs: list[tuple[str, str, str, str | None]]) -> DataFrame:
+def normalise_all(df: DataFrame, specs: list[tuple[str, str, str, str | None]], row: str | None = None) -> DataFrame:
     """``df`` with a column ``out`` on [0, 1] for each (value, out, method, group); nulls stay null.
 
     Methods are percentile (average rank over number of values), minmax, both 0.5 where all values are equal, binary,
@@ -28,19 +28,21 @@ def normalise_all(df: DataFrame, specs: list[tuple[str, str, str, str | None]])
 
     All columns go together: values are stacked to (column, group, value), distinct ones counted once, and cut into ranges of about equal
     size whose totals give each range's first rank, so no partition holds all of a column or group. One join takes the
-    results back to the rows.
+    results back to the rows. Rows that are stored already, with a column ``row`` that tells them apart, are not stored again.
     """
     if unknown := {m for _, _, m, _ in specs} - {"percentile", "minmax", "binary", "zero_inflated", "rank"}:
         raise ValueError(f"unknown normalisation: {sorted(unknown)}")
-    row = _free(df, "row_id")
-    rows = materialise(df.withColumn(row, F.monotonically_increasing_id()))
+    rows = df
+    if row is None:
+        row = _free(df, "row_id")
+        rows = materialise(df.withColumn(row, F.monotonically_increasing_id()), drop_shuffles=True)
     double = lambda c: F.col(f"`{c}`").cast("double")
     ranked = [(i, *spec) for i, spec in enumerate(specs) if spec[2] != "binary"]
     out = rows
     if ranked:
         cells = [F.struct(F.lit(i).alias("i"), (F.lit("") if group is None else F.col(f"`{group}`").cast("string")).alias("g"), (F.when(double(value) > 0, double(value)) if method == "zero_inflated" else double(value)).alias("v")) for i, value, _, method, group in ranked]
         long = rows.select(F.col(row).alias("row"), F.inline(F.array(*cells))).filter("g is not null and v is not null")
-        scores = _scores(materialise(long.groupBy("i", "g", "v").agg(F.count("*").alias("n"))), {i: method for i, _, _, method, _ in ranked})
+        scores = _scores(materialise(long.groupBy("i", "g", "v").agg(F.count("*").alias("n")), drop_shuffles=True), {i: method for i, _, _, method, _ in ranked})
         wide = long.join(scores, ["i", "g", "v"]).groupBy("row").agg(*(F.max(F.when(F.col("i") == i, F.col("score"))).alias(f"s{i}") for i, *_ in ranked)).withColumnRenamed("row", row)
         out = rows.join(wide, row, "left")
     found = {}
@@ -96,8 +98,8 @@ def method_of(axis: str, only_binary: bool, overrides: dict[str, str], default:
     return overrides.get(axis) or ("binary" if only_binary else default)
 
 
-def compute_index(axes: DataFrame, weights: dict[str, float], method: str = "percentile", overrides: dict[str, str] | None = None, group: str | None = None, reasons: dict[str, str] | None = None, mitigation: tuple[str, ...] = MITIGATION) -> Weighted:
-    """Columns <axis>_raw, <axis>_norm, riesgo_bruto, indice and indice_comuna beside those of ``axes``.
+def weigh(axes: DataFrame, weights: dict[str, float], method: str = "percentile", overrides: dict[str, str] | None = None, reasons: dict[str, str] | None = None, mitigation: tuple[str, ...] = MITIGATION, row: str | None = None) -> Weighted:
+    """Columns <axis>_raw, <axis>_norm and riesgo_bruto beside those of ``axes``; ``row`` as in ``normalise_all``.
 
     Axes without any value are left out and the weights of the others scaled up to the same
     total; a null of an axis that has values adds nothing to its row.
@@ -110,9 +112,15 @@ def compute_index(axes: DataFrame, weights: dict[str, float], method: str = "per
     raw = axes.withColumns({f"{a}_raw": F.col(a).cast("double") if a in axes.columns else F.lit(None).cast("double") for a in weights})
     raw = raw.withColumns({f"{a}_norm": F.lit(None).cast("double") for a in weights if a not in used})
     result.methods = {a: method_of(a, facts[a][1], overrides or {}, method) for a in used}
-    out, risk = normalise_all(raw, [(f"{a}_raw", f"{a}_norm", result.methods[a], None) for a in used]), F.lit(0.0)
+    out, risk = normalise_all(raw, [(f"{a}_raw", f"{a}_norm", result.methods[a], None) for a in used], row), F.lit(0.0)
     for a in used:  # in the order of the weights, as sums of doubles depend on it
         risk = risk + F.coalesce(F.col(f"{a}_norm"), F.lit(0.0)) * F.lit(-1.0 if a in mitigation else 1.0) * F.lit(result.included[a])
-    out = out.withColumn("riesgo_bruto", risk)
-    result.scores = normalise_all(out, [("riesgo_bruto", "indice", method, None), ("riesgo_bruto", "indice_comuna", method, group)])
+    result.scores = out.withColumn("riesgo_bruto", risk)
+    return result
+
+
+def compute_index(axes: DataFrame, weights: dict[str, float], method: str = "percentile", overrides: dict[str, str] | None = None, group: str | None = None, reasons: dict[str, str] | None = None, mitigation: tuple[str, ...] = MITIGATION) -> Weighted:
+    """``weigh``, and the risk on [0, 1] as indice and, within ``group``, as indice_comuna."""
+    result = weigh(axes, weights, method, overrides, reasons, mitigation)
+    result.scores = normalise_all(result.scores, [("riesgo_bruto", "indice", method, None), ("riesgo_bruto", "indice_comuna", method, group)])
     return result

@@ -176,3 +176,30 @@ def test_more_rows_in_a_place_make_no_smaller_cells(spark, monkeypatch):
 
     few, many = cells(400), cells(2000)
     assert many < 1.5 * few
+
+
+def test_points_in_reach_go_to_columns_and_rows(spark, monkeypatch):
+    """Sites and points meet once, however finely cells are cut; what is shuffled for it is less than a copy of each point for all cells in reach."""
+    pick = random.Random(9)
+    place = lambda: (pick.choice((pick.gauss(0, 125), pick.randint(-3, 3) * 50.0)), pick.gauss(0, 125))
+    places, ends = [place() for _ in range(800)], [place() for _ in range(800)]
+    sites = spark.createDataFrame([(k, *p) for k, p in enumerate([*places, *places[:5]])], "key long, x double, y double")
+    targets = spark.createDataFrame([(*p, k) for k, p in enumerate([*ends, *ends[:5]])], "x double, y double, n long").select(g.point(F.col("x"), F.col("y")).alias("shape"), "n")
+    want = sorted((k, n) for k, p in enumerate([*places, *places[:5]]) for n, q in enumerate([*ends, *ends[:5]]) if (p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2 <= 100.0**2)
+    for least in (proximity.LEAST_PAIRS, 2000):
+        monkeypatch.setattr(proximity, "LEAST_PAIRS", least)
+        for most in (1, 4):
+            monkeypatch.setattr(proximity, "MOST_PARTS", most)
+            got = proximity.within(sites, targets, 100.0, once=False).toPandas()
+            assert sorted(zip(got.key.tolist(), got.n.tolist())) == want
+    with no_broadcasts(spark):
+        assert written(spark, lambda: proximity.nearby_sum(sites, targets, 100.0, F.lit(1.0), once=False).agg(F.sum("total")).collect()) < 400_000
+
+
+def test_corner_index_ranks_its_risk_once(spark, monkeypatch):
+    from corvane.operators import scoring
+
+    asked, plain = [], scoring.normalise_all
+    monkeypatch.setattr(scoring, "normalise_all", lambda df, specs, *more: asked.extend(out for _, out, *_ in specs) or plain(df, specs, *more))
+    catalog.corner_index(spark, SMALL)
+    assert asked.count("indice") == asked.count("indice_comuna") == 1
