@@ -203,3 +203,32 @@ def test_corner_index_ranks_its_risk_once(spark, monkeypatch):
     monkeypatch.setattr(scoring, "normalise_all", lambda df, specs, *more: asked.extend(out for _, out, *_ in specs) or plain(df, specs, *more))
     catalog.corner_index(spark, SMALL)
     assert asked.count("indice") == asked.count("indice_comuna") == 1
+
+
+def test_what_holds_lines_against_streets_is_compiled(spark):
+    """The virtual machine compiles methods of up to 8000 bytes and goes on interpreting longer ones."""
+    kind = "shape array<struct<x1:double,y1:double,x2:double,y2:double>>"
+    layer = spark.createDataFrame([(k, [(float(k), 0.0, k + 9.0, 9.0)]) for k in range(50)], f"key long, {kind}")
+    streets = spark.createDataFrame([([(float(k), 9.0, k + 9.0, 0.0)],) for k in range(50)], kind)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = layers.crop_near(layer, streets, 1.0)._jdf.queryExecution().executedPlan()
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        stages = debug.codegenStringSeq(plan)
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sizes and max(sizes) < 8000
+
+
+def test_roads_of_a_district_are_made_alone(spark):
+    """Pairs of which u is one of some points: all of them, and others are not compared; points in one place, on cells' borders and of equal keys among them."""
+    pick = random.Random(6)
+    places = [(k, pick.choice((pick.uniform(-50, 50), pick.randint(-5, 5) * 10.0)), pick.choice((pick.uniform(-50, 50), 10.0)), k % 5) for k in pick.sample(range(1000), 200)]
+    places += [(2000, 0.0, 10.0, 3), (2001, 0.0, 10.0, 3), (2002, 0.0, 10.0, 1), (2002, 1.0, 10.0, 3)]
+    df = spark.createDataFrame(places, "key long, x double, y double, comuna int")
+    got = [(x.u, x.v, x.ucomuna, x.vcomuna, x.ux, x.vy) for x in proximity.close_pairs(df, 10.0, carry=("comuna", "x", "y"), first=F.col("comuna") == 3).collect()]
+    want = [(a[0], b[0], a[3], b[3], a[1], b[2]) for a in places for b in places if a[0] < b[0] and a[3] == 3 and (a[1] - b[1]) ** 2 + (a[2] - b[2]) ** 2 <= 100]
+    assert sorted(got) == sorted(want) and want
+    whole = catalog.roads(spark, SMALL).filter("cu = 3")
+    assert sorted(map(str, catalog.roads(spark, SMALL, 3).collect())) == sorted(map(str, whole.collect()))
