@@ -205,6 +205,24 @@ def test_corner_index_ranks_its_risk_once(spark, monkeypatch):
     assert asked.count("indice") == asked.count("indice_comuna") == 1
 
 
+def in_order(n: int, long: float) -> list:
+    """Streets in one cell, from west to east."""
+    pick = random.Random(n)
+    line = lambda x, y: (x, y, x + pick.uniform(-long, long), y + pick.uniform(-long, long))
+    return sorted(line(pick.uniform(0.5, 24.5), pick.uniform(0.5, 24.5)) for _ in range(n))
+
+
+def test_crop_near_whatever_order_streets_come_in(spark):
+    """Points by many streets that come in order: those they are held against first lie all over the cell, so hardly any point is left over, and hardly any street is dealt."""
+    pick = random.Random(2)
+    kind = "shape array<struct<x1:double,y1:double,x2:double,y2:double>>"
+    layer = spark.createDataFrame([(k, [(x := pick.uniform(8, 17), y := pick.uniform(8, 17), x, y)]) for k in range(600)], f"key long, {kind}")
+    streets, got = spark.createDataFrame([([s],) for s in in_order(20000, 2.0)], kind), []
+    with no_broadcasts(spark):
+        wrote = written(spark, lambda: got.extend(layers.crop_near(layer, streets, 12.0).select("key").collect()))
+    assert len(got) == 600 and wrote < 100_000
+
+
 def test_what_holds_lines_against_streets_is_compiled(spark):
     """The virtual machine compiles methods of up to 8000 bytes and goes on interpreting longer ones."""
     kind = "shape array<struct<x1:double,y1:double,x2:double,y2:double>>"
