@@ -31,11 +31,24 @@ SAME, SLACK = 1e-4, 1e-6
 EDGE, CROWD, DEPTH = 1e-3, 16, 6
 
 
-def _lines(segments: DataFrame) -> DataFrame:
-    """Distinct segments (sid, x1, y1, x2, y2), the smaller end first."""
+def _turned(segments: DataFrame) -> DataFrame:
+    """Segments (x1, y1, x2, y2) with the smaller end first."""
     back = (F.col("x1") > F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") > F.col("y2")))
     turned = segments.select(*(F.when(back, F.col(b)).otherwise(F.col(a)).cast("double").alias(a) for a, b in (("x1", "x2"), ("y1", "y2"), ("x2", "x1"), ("y2", "y1"))))
-    return materialise(turned.dropna().distinct().withColumn("sid", F.monotonically_increasing_id()))
+    return turned.dropna()
+
+
+def _lines(segments: DataFrame) -> DataFrame:
+    """Distinct segments (sid, x1, y1, x2, y2), the smaller end first."""
+    return materialise(_turned(segments).distinct().withColumn("sid", F.monotonically_increasing_id()))
+
+
+def _deep(shut: DataFrame, around: int) -> DataFrame:
+    """Cells (_cx, _cy) of ``shut`` that have only such cells for so many cells each way."""
+    for c, other in (("_cx", "_cy"), ("_cy", "_cx")):
+        near = shut.withColumn(c, F.explode(F.sequence(F.col(c) - around, F.col(c) + around)))
+        shut = near.groupBy(c, other).agg(F.count("*").alias("_n")).filter(F.col("_n") == 2 * around + 1).select("_cx", "_cy")
+    return shut
 
 
 def _facing(rows: DataFrame) -> DataFrame:
@@ -61,20 +74,33 @@ def _held(rows: DataFrame, size: float, r: float) -> DataFrame:
     return at.withColumn("_whole", c("_far") * c("_far") + across * across < (r - EDGE) ** 2).drop("_x", "_y", "_e", "_at", "_left", *off)
 
 
-def _open_cells(lines: DataFrame, r: float) -> tuple[DataFrame, DataFrame]:
+def _open_cells(segments: DataFrame, r: float) -> tuple[DataFrame, DataFrame]:
     """(_level, _cx, _cy, oid): what comes into each cell that no single segment's area holds, on a quadtree; and what these are, (oid, a, b, c, d): segments, and their ends as points.
 
     The border runs through such cells only. What has its circle or side there, or its area, comes into the cell, so all that can
-    cut or cover the border in a cell is listed with it. Ends, which are few, rule out most cells before segments are asked.
+    cut or cover the border in a cell is listed with it. Ends, which are few, rule out most cells before segments are asked. Segments no
+    longer than the radius that begin deep among such cells are dropped where they lie; only the others are told apart and kept.
     """
     cell, names = ["_level", "_cx", "_cy"], dict(zip(("x1", "y1", "x2", "y2"), "abcd"))
-    ends = lines.select(F.explode(F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))).alias("p")).select("p.x", "p.y").distinct()
+    size, xy = r / 2, ("x1", "y1", "x2", "y2")
+    # What is said of each segment is kept short, and segments are turned after most are dropped: long expressions are not compiled.
+    plain = segments.select(*(F.col(c).cast("double").alias(c) for c in xy))
+    ends = plain.dropna().select(F.explode(F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))).alias("p")).select("p.x", "p.y").distinct()
     points = materialise(ends.select((F.monotonically_increasing_id() * 2).alias("oid"), F.col("x").alias("a"), F.col("y").alias("b"), F.col("x").alias("c"), F.col("y").alias("d")))
-    long = lines.filter("x1 <> x2 or y1 <> y2").select((F.col("sid") * 2 + 1).alias("oid"), *(F.col(p).alias(q) for p, q in names.items()))
-    size = r / 2
     celled = lambda rows: along_cells(_facing(dealt(rows, "oid")).withColumnsRenamed({q: p for p, q in names.items()}), r + EDGE, size).withColumnsRenamed(names)
-    few, many = _held(celled(points), size, r), celled(long)
-    shut = broadcast_few(materialise(few.filter("_whole").select("_cx", "_cy").distinct()))
+    far = r + EDGE + 1e-6 * size
+    over = lambda c: F.explode(F.sequence(F.floor((F.col(c) - far) / size), F.floor((F.col(c) + far) / size)))
+    flat = {c: F.lit(v) for c, v in (("long", 0.0), ("ux", 1.0), ("uy", 0.0), ("wide", 1.0))}
+    few = _held(dealt(points, "oid").withColumn("_cx", over("a")).withColumn("_cy", over("b")).withColumns(flat), size, r)
+    shut = materialise(few.filter("_whole").select("_cx", "_cy").distinct())
+    # No farther than four cells come the strips of segments that are no longer than four cells less the radius and some room.
+    deep, shut = broadcast_few(materialise(_deep(shut, 4))), broadcast_few(shut)
+    dx, dy, most = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), max(r - 4 * EDGE, 0.0)
+    at = plain.withColumns({"_cx": F.floor(F.col("x1") / size), "_cy": F.floor(F.col("y1") / size), "_short": F.coalesce(dx * dx + dy * dy <= most * most, F.lit(False))})
+    deep = deep.select("_cx", "_cy", F.lit(True).alias("_short"))
+    lines = _lines(at.join(deep, ["_cx", "_cy", "_short"], "left_anti").select(*xy))
+    long = lines.filter("x1 <> x2 or y1 <> y2").select((F.col("sid") * 2 + 1).alias("oid"), *(F.col(p).alias(q) for p, q in names.items()))
+    many = celled(long)
     apart = few.join(shut, ["_cx", "_cy"], "left_anti"), _held(many.join(shut, ["_cx", "_cy"], "left_anti"), size, r)
     found = apart[0].unionByName(apart[1]).withColumn("_level", F.lit(0))
     leaves = None
@@ -157,7 +183,7 @@ def pieces(segments: DataFrame, radius: float) -> DataFrame:
     r = float(radius)
     if r <= 0:
         raise ValueError("an outline needs a radius")
-    leaves, obstacles = _open_cells(_lines(segments), r)
+    leaves, obstacles = _open_cells(segments, r)
     primitives = _primitives(obstacles)
     near = _near(primitives, obstacles, leaves)
     of = ["pid", "round", "x1", "y1", "x2", "y2"]

@@ -250,3 +250,26 @@ def test_roads_of_a_district_are_made_alone(spark):
     assert sorted(got) == sorted(want) and want
     whole = catalog.roads(spark, SMALL).filter("cu = 3")
     assert sorted(map(str, catalog.roads(spark, SMALL, 3).collect())) == sorted(map(str, whole.collect()))
+
+
+def test_outline_keeps_no_segments_deep_inside(spark, monkeypatch):
+    """Segments that begin far from the border are dropped where they lie, but for long ones; the outline is that of all."""
+    from corvane.operators import outline
+
+    pick, kept, plain = random.Random(8), [], outline._lines
+    line = lambda: (x := pick.uniform(0, 400), y := pick.uniform(0, 400), x + pick.uniform(-8, 8), y + pick.uniform(-8, 8))
+    lines = [*(line() for _ in range(4000)), (200.0, 200.0, 480.0, 200.0)]
+    monkeypatch.setattr(outline, "_lines", lambda segments: kept.append(segments.count()) or plain(segments))
+    border = outline.edges(outline.pieces(spark.createDataFrame(lines, "x1 double, y1 double, x2 double, y2 double"), 20.0), 20.0)
+    spots = [(i, pick.uniform(-40, 520), pick.uniform(-40, 440)) for i in range(1500)]
+
+    def far(x, y):
+        best = 1e9
+        for a, b, c, d in lines:
+            t = max(0.0, min(1.0, ((x - a) * (c - a) + (y - b) * (d - b)) / ((c - a) ** 2 + (d - b) ** 2)))
+            best = min(best, ((x - a - t * (c - a)) ** 2 + (y - b - t * (d - b)) ** 2) ** 0.5)
+        return best
+
+    got = {x.key for x in outline.inside(spark.createDataFrame(spots, "key long, x double, y double"), border, 20.0).collect()}
+    assert all((i in got) == (at < 20.0) for i, x, y in spots if abs((at := far(x, y)) - 20.0) > 0.01)
+    assert len(kept) == 1 and kept[0] < 3000
