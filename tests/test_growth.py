@@ -273,3 +273,17 @@ def test_outline_keeps_no_segments_deep_inside(spark, monkeypatch):
     got = {x.key for x in outline.inside(spark.createDataFrame(spots, "key long, x double, y double"), border, 20.0).collect()}
     assert all((i in got) == (at < 20.0) for i, x, y in spots if abs((at := far(x, y)) - 20.0) > 0.01)
     assert len(kept) == 1 and kept[0] < 3000
+
+
+def test_corners_leave_no_shuffles_of_finished_steps(spark):
+    """What the steps before the last one shuffled is off the disk by the time that they are stored."""
+    from corvane.operators import network
+
+    def held() -> int:
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return sum(f.length() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_"))
+
+    with no_broadcasts(spark):
+        before, left = held(), []
+        wrote = written(spark, lambda: (network.build_corners(catalog._streets(spark, SMALL)), left.append(held() - before)))
+    assert wrote > 100_000 and left[0] < wrote / 4
